@@ -139,9 +139,13 @@ def extract_tag(tags: Column, variants: list[str]) -> Column:
     """Value for the first variant name present (case-insensitive; when keys
     differ only in case the later entry wins). Empty value gives null."""
     entries = F.map_entries(tags)
+
+    def named(name: str):
+        return lambda e: F.lower(e.getField("key")) == F.lit(name.lower())
+
     picks = []
     for v in variants:
-        hits = F.filter(entries, lambda e, v=v: F.lower(e.getField("key")) == F.lit(v.lower()))
+        hits = F.filter(entries, named(v))
         picks.append(F.try_element_at(hits, F.lit(-1)).getField("value"))
     return F.nullif(F.coalesce(*picks), F.lit(""))
 

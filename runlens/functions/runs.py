@@ -93,10 +93,15 @@ def is_retry(attempts: list[Column], originals: list[Column], run_id: Column) ->
     The original id is the first *truthy* candidate (0 falls through here,
     unlike :func:`original_attempt_run_id`), compared with a truthy run id.
     """
+    return is_retry_of([lenient_int(a) for a in attempts], [lenient_int(o) for o in originals], run_id)
+
+
+def is_retry_of(attempt_ints: list[Column], original_ints: list[Column], run_id: Column) -> Column:
+    """:func:`is_retry` over candidates already parsed to integers."""
     any_attempt = F.lit(False)
-    for a in attempts:
-        any_attempt = any_attempt | F.coalesce(lenient_int(a) > F.lit(0), F.lit(False))
-    orig = F.coalesce(*[num_truthy(lenient_int(o)) for o in originals])
+    for a in attempt_ints:
+        any_attempt = any_attempt | F.coalesce(a > F.lit(0), F.lit(False))
+    orig = F.coalesce(*[num_truthy(o) for o in original_ints])
     differs = F.coalesce((orig != run_id) & (run_id != F.lit(0)), F.lit(False))
     return any_attempt | differs
 
@@ -107,16 +112,16 @@ def clean_error(message: Column | str) -> Column:
     return F.when(m != F.lit(""), strip_text(F.replace(m, F.lit("\n"), F.lit(" "))))
 
 
-def error_category(message: Column | str) -> Column:
-    up = F.upper(clean_error(message))
+def category_of_upper(up: Column) -> Column:
+    """First category key contained in already cleaned, upper-cased text."""
     out = F.lit(None).cast("string")
     for key in reversed(ERROR_CATEGORIES):
         out = F.when(up.contains(key), F.lit(key)).otherwise(out)
     return out
 
 
-def error_provider(message: Column | str) -> Column:
-    up = F.upper(clean_error(message))
+def provider_of_upper(up: Column) -> Column:
+    """First provider whose trigger substrings occur in upper-cased text."""
     out = F.lit(None).cast("string")
     for label, keys in reversed(ERROR_PROVIDERS):
         hit = F.lit(False)
@@ -126,6 +131,14 @@ def error_provider(message: Column | str) -> Column:
     return out
 
 
+def error_category(message: Column | str) -> Column:
+    return category_of_upper(F.upper(clean_error(message)))
+
+
+def error_provider(message: Column | str) -> Column:
+    return provider_of_upper(F.upper(clean_error(message)))
+
+
 def error_short(message: Column | str) -> Column:
     return F.substring(clean_error(message), 1, SHORT_ERROR_CHARS)
 

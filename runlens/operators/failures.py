@@ -183,101 +183,134 @@ def _pick(branch: Column, cases: dict[str, Column]) -> Column:
 
 def _rows(e: DataFrame) -> DataFrame:
     """P2-P6 + U1: the head row of every run and the child rows of multi-task
-    runs, built as one array per run and exploded."""
+    runs, built as one array per run and exploded.
+
+    Built in stages (per-run picks, head fields, error fields, rows) so each
+    expression is evaluated once and later stages refer to it by name; the
+    optimizer keeps the stages apart rather than duplicate non-trivial work.
+    """
     br = F.col("_branch")
     md = F.col("_out.metadata")
     det = F.col("_det")
-    run_state = F.col("state")
-    det_ok = F.col("_det_ok")
+    is_single = br == F.lit("single")
+    is_multi = br == F.lit("multi")
 
+    # Stage 1: the output's state (state, else status, when non-empty) and
+    # the times and names each branch reads.
     st = C.first_truthy(C.struct_truthy(md.getField("state"), STATE_FIELDS),
                         C.struct_truthy(md.getField("status"), STATE_FIELDS))
+    s1 = e.select(
+        "run_id", "job_id", "run_name", "run_page_url", "state", "attempt_number", "run_attempt",
+        "original_attempt_run_id", "_branch", "_det_ok", "_call_err", "_det_err", "_task_text",
+        md.alias("_md"), det.alias("_det"), F.col("_out.error").alias("_out_error"), st.alias("_st"),
+        F.when(is_single, C.first_truthy(C.num_truthy(md.getField("start_time")), F.col("start_time")))
+        .otherwise(F.col("start_time")).alias("_start"),
+        F.when(is_single, C.first_truthy(C.num_truthy(md.getField("end_time")), F.col("end_time")))
+        .otherwise(F.col("end_time")).alias("_end"),
+        C.first_truthy(C.str_truthy(md.getField("run_name")), F.col("run_name")).alias("_single_run_name"),
+        # attempt / original-id candidates, each parsed once
+        C.lenient_int(md.getField("attempt_number")).alias("_a_md"),
+        C.lenient_int(det.getField("attempt_number")).alias("_a_det"),
+        C.lenient_int(F.col("attempt_number")).alias("_a_run"),
+        C.lenient_int(F.col("run_attempt")).alias("_a_run2"),
+        C.lenient_int(det.getField("original_attempt_run_id")).alias("_o_det"),
+        C.lenient_int(F.col("original_attempt_run_id")).alias("_o_run"),
+    )
+
+    md, det, st = F.col("_md"), F.col("_det"), F.col("_st")
     term = st.getField("termination_details")
-    single_run_name = C.first_truthy(C.str_truthy(md.getField("run_name")), F.col("run_name"))
-    single_start = C.first_truthy(C.num_truthy(md.getField("start_time")), F.col("start_time"))
-    single_end = C.first_truthy(C.num_truthy(md.getField("end_time")), F.col("end_time"))
-    start = F.when(br == "single", single_start).otherwise(F.col("start_time"))
-    end = F.when(br == "single", single_end).otherwise(F.col("end_time"))
-    run_attempts = [F.col("attempt_number"), F.col("run_attempt")]
-    run_orig = [F.col("original_attempt_run_id")]
+    run_state = F.col("state")
     rid = F.col("run_id")
+    a_md, a_det, o_det = F.col("_a_md"), F.col("_a_det"), F.col("_o_det")
+    a_run = [F.col("_a_run"), F.col("_a_run2")]
+    o_run = [F.col("_o_run")]
+    no_job = F.lit(-1).cast("bigint")
 
-    det_keys = R.present_kinds(det)
-    md_keys = R.present_kinds(md)
-    multi_text = F.coalesce(F.col("_task_text"), F.col("_call_err"))
     output_error = _pick(br, {
-        "single": F.col("_out.error"),
-        "multi": multi_text,
+        "single": F.col("_out_error"),
+        "multi": F.coalesce(F.col("_task_text"), F.col("_call_err")),
         "fallback": F.concat(F.lit("get-output multi-task fallback failed: "), F.col("_det_err")),
         "generic": F.concat(F.lit("get-output error: "), F.col("_call_err")),
     })
-    err_basis = F.when(br == "single", C.first_truthy(C.str_truthy(F.col("_out.error")), st.getField("state_message"))
-                       ).otherwise(output_error)
-    is_multi = br == "multi"
     head = {
         "job_id": _pick(br, {
-            "single": C.first_truthy(C.num_truthy(md.getField("job_id")), C.num_truthy(F.col("job_id")), F.lit(-1).cast("bigint")),
-            "multi": C.first_truthy(C.num_truthy(det.getField("job_id")), C.num_truthy(F.col("job_id")), F.lit(-1).cast("bigint")),
-            "fallback": C.first_truthy(C.num_truthy(F.col("job_id")), F.lit(-1).cast("bigint")),
-            "generic": C.first_truthy(C.num_truthy(F.col("job_id")), F.lit(-1).cast("bigint")),
+            "single": C.first_truthy(C.num_truthy(md.getField("job_id")), C.num_truthy(F.col("job_id")), no_job),
+            "multi": C.first_truthy(C.num_truthy(det.getField("job_id")), C.num_truthy(F.col("job_id")), no_job),
+            "fallback": C.first_truthy(C.num_truthy(F.col("job_id")), no_job),
+            "generic": C.first_truthy(C.num_truthy(F.col("job_id")), no_job),
         }),
         "run_id": rid,
         "job_name": _pick(br, {
-            "single": C.first_truthy(C.str_truthy(md.getField("job_name")), single_run_name),
+            "single": C.first_truthy(C.str_truthy(md.getField("job_name")), F.col("_single_run_name")),
             "multi": C.first_truthy(C.str_truthy(det.getField("job_name")), F.col("run_name")),
             "fallback": F.col("run_name"),
-            "generic": C.first_truthy(F.when(det_ok, C.str_truthy(det.getField("job_name"))), F.col("run_name")),
+            "generic": C.first_truthy(F.when(F.col("_det_ok"), C.str_truthy(det.getField("job_name"))),
+                                      F.col("run_name")),
         }),
-        "run_name": F.when(br == "single", single_run_name).otherwise(F.col("run_name")),
-        "run_page_url": F.when(br == "single", C.first_truthy(C.str_truthy(md.getField("run_page_url")),
-                                                              F.col("run_page_url"))).otherwise(F.col("run_page_url")),
-        "child_task_run_id": F.lit(None).cast("bigint"),
-        "child_task_key": F.lit(None).cast("string"),
+        "run_name": F.when(is_single, F.col("_single_run_name")).otherwise(F.col("run_name")),
+        "run_page_url": F.when(is_single, C.first_truthy(C.str_truthy(md.getField("run_page_url")),
+                                                         F.col("run_page_url"))).otherwise(F.col("run_page_url")),
+        "child_task_run_id": F.lit(None),
+        "child_task_key": F.lit(None),
         "task_type": _pick(br, {
-            "single": R.infer_task_type(md_keys, md.getField("task")),
+            "single": R.infer_task_type(R.present_kinds(md), md.getField("task")),
             "multi": F.lit("multi_task_run"),
-            "fallback": F.lit(None).cast("string"),
-            "generic": F.when(det_ok, R.infer_task_type(det_keys, det.getField("task"))),
+            "fallback": F.lit(None),
+            "generic": F.when(F.col("_det_ok"), R.infer_task_type(R.present_kinds(det), det.getField("task"))),
         }),
-        "job_start_datetime_iso": C.iso_utc(start),
-        "job_end_datetime_iso": C.iso_utc(end),
-        "duration_ms": C.duration_ms(start, end),
-        "life_cycle_state": F.when(br == "single", C.first_truthy(C.str_truthy(st.getField("life_cycle_state")),
-                                                                  st.getField("state"))
+        "job_start_datetime_iso": C.iso_utc(F.col("_start")),
+        "job_end_datetime_iso": C.iso_utc(F.col("_end")),
+        "duration_ms": C.duration_ms(F.col("_start"), F.col("_end")),
+        "life_cycle_state": F.when(is_single, C.first_truthy(C.str_truthy(st.getField("life_cycle_state")),
+                                                             st.getField("state"))
                                    ).otherwise(run_state.getField("life_cycle_state")),
-        "result_state": F.when(br == "single", st.getField("result_state")).otherwise(run_state.getField("result_state")),
-        "state_message": F.when(br == "single", st.getField("state_message")).otherwise(run_state.getField("state_message")),
-        "termination_code": F.when(br == "single", term.getField("code")),
-        "termination_type": F.when(br == "single", term.getField("type")),
-        "termination_reason": F.when(br == "single", term.getField("reason")),
+        "result_state": F.when(is_single, st.getField("result_state")).otherwise(run_state.getField("result_state")),
+        "state_message": F.when(is_single, st.getField("state_message")).otherwise(run_state.getField("state_message")),
+        "termination_code": F.when(is_single, term.getField("code")),
+        "termination_type": F.when(is_single, term.getField("type")),
+        "termination_reason": F.when(is_single, term.getField("reason")),
         "output_error": output_error,
         "is_retry": _pick(br, {
-            "single": R.is_retry([md.getField("attempt_number")] + run_attempts, run_orig, rid),
-            "multi": R.is_retry([det.getField("attempt_number")] + run_attempts,
-                                [det.getField("original_attempt_run_id")] + run_orig, rid),
-            "fallback": R.is_retry(run_attempts, run_orig, rid),
-            "generic": R.is_retry(run_attempts, run_orig, rid),
+            "single": R.is_retry_of([a_md] + a_run, o_run, rid),
+            "multi": R.is_retry_of([a_det] + a_run, [o_det] + o_run, rid),
+            "fallback": R.is_retry_of(a_run, o_run, rid),
+            "generic": R.is_retry_of(a_run, o_run, rid),
         }),
         "attempt_number": _pick(br, {
-            "single": R.attempt_number(md.getField("attempt_number"), *run_attempts),
-            "multi": R.attempt_number(det.getField("attempt_number"), *run_attempts),
-            "fallback": R.attempt_number(*run_attempts),
-            "generic": R.attempt_number(*run_attempts),
+            "single": F.coalesce(a_md, *a_run),
+            "multi": F.coalesce(a_det, *a_run),
+            "fallback": F.coalesce(*a_run),
+            "generic": F.coalesce(*a_run),
         }),
-        "original_attempt_run_id": F.when(
-            is_multi, R.original_attempt_run_id(det.getField("original_attempt_run_id"), *run_orig)
-        ).otherwise(R.original_attempt_run_id(*run_orig)),
-        "error_category": R.error_category(err_basis),
-        "error_provider": R.error_provider(err_basis),
-        "error_message_short": R.error_short(err_basis),
+        "original_attempt_run_id": F.when(is_multi, F.coalesce(o_det, *o_run)).otherwise(F.coalesce(*o_run)),
     }
     names = [n for n, _ in FAILURE_FIELDS]
     typed = dict(FAILURE_FIELDS)
-    head_struct = F.struct(*[head[n].cast(typed[n]).alias(n) for n in names],
-                           F.when(is_multi, F.lit("multi_summary")).otherwise(br).alias("row_kind"))
+    error_fields = ["error_category", "error_provider", "error_message_short"]
+
+    # Stage 2: head-row fields by name, plus the cleaned text the error
+    # fields read.
+    s2 = s1.select(
+        "_branch", "_det",
+        *[head[n].cast(typed[n]).alias(n) for n in names if n not in error_fields],
+        err_basis_expr(is_single, st, output_error).alias("_err"),
+    )
+
+    # Stage 3: error fields from the cleaned text (computed once).
+    err = F.col("_err")
+    up = F.upper(err)
+    s3 = s2.select(
+        "*",
+        R.category_of_upper(up).alias("error_category"),
+        R.provider_of_upper(up).alias("error_provider"),
+        F.substring(err, 1, R.SHORT_ERROR_CHARS).alias("error_message_short"),
+    )
 
+    # Stage 4: [head] ++ children for multi-task runs, exploded.
     blank_for_child = {"termination_code", "termination_type", "termination_reason", "output_error",
-                       "error_category", "error_provider", "error_message_short"}
+                       *error_fields}
+    head_struct = F.struct(*[F.col(n).alias(n) for n in names],
+                           F.when(is_multi, F.lit("multi_summary")).otherwise(br).alias("row_kind"))
 
     def child(t: Column) -> Column:
         over = {
@@ -287,12 +320,7 @@ def _rows(e: DataFrame) -> DataFrame:
         }
         fields = []
         for n in names:
-            if n in over:
-                v = over[n]
-            elif n in blank_for_child:
-                v = F.lit(None)
-            else:
-                v = head[n]
+            v = over.get(n, F.lit(None) if n in blank_for_child else F.col(n))
             fields.append(v.cast(typed[n]).alias(n))
         return F.struct(*fields, F.lit("multi_task").alias("row_kind"))
 
@@ -300,7 +328,15 @@ def _rows(e: DataFrame) -> DataFrame:
     no_tasks = F.array().cast(tasks_type)
     tasks = F.when(is_multi, F.coalesce(det.getField("tasks"), no_tasks)).otherwise(no_tasks)
     rows = F.concat(F.array(head_struct), F.transform(tasks, child))
-    return e.select(F.explode(rows).alias("r")).select("r.*")
+    return s3.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def err_basis_expr(is_single: Column, st: Column, output_error: Column) -> Column:
+    """Text the error fields are derived from, cleaned once: the output's
+    error (else the state message) for answered runs, the row's error text
+    otherwise."""
+    single = C.first_truthy(C.str_truthy(F.col("_out_error")), st.getField("state_message"))
+    return R.clean_error(F.when(is_single, single).otherwise(output_error))
 
 
 def failure_rows(runs: DataFrame, outputs: DataFrame, details: DataFrame, *,

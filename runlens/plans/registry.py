@@ -52,3 +52,89 @@ for _name, _kind in [
     register(_name, O.rows_of_kind_sql(_kind))(
         lambda spark, d, _kind=_kind: FL.rows_of_kind(failure_rows(spark, d), _kind)
     )
+
+
+# ------------------------------------------------------------------ job side
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import inventory as INV  # noqa: E402
+from ..operators import ownership as OWN  # noqa: E402
+from ..operators import summary as SUM  # noqa: E402
+
+
+def inventory(spark: SparkSession, d: str) -> DataFrame:
+    return INV.job_inventory(X.jobs(spark, d), X.clusters(spark, d), X.workspace_objects(spark, d),
+                             X.job_runs(spark, d))
+
+
+def summary(spark: SparkSession, d: str) -> DataFrame:
+    return SUM.job_summary(INV.as_table(inventory(spark, d)), X.AS_OF)
+
+
+def tracker(spark: SparkSession, d: str) -> DataFrame:
+    return OWN.project_tracker(X.crosswalk(spark, d))
+
+
+SUMMARY_COLS = ", ".join(SUM.summary_columns())
+
+
+@register("job_inventory", O.job_sql(f"SELECT {O.INVENTORY_COLS} FROM inventory"))
+def q_job_inventory(spark: SparkSession, d: str) -> DataFrame:
+    return INV.as_table(inventory(spark, d))
+
+
+@register("job_summary", O.job_sql(f"SELECT {SUMMARY_COLS} FROM summary"))
+def q_job_summary(spark: SparkSession, d: str) -> DataFrame:
+    return summary(spark, d)
+
+
+@register("job_language", O.job_sql("SELECT job_id, job_name, job_language FROM summary"))
+def q_job_language(spark: SparkSession, d: str) -> DataFrame:
+    return SUM.job_language(summary(spark, d))
+
+
+@register("job_pivots", O.job_sql(f"SELECT job_id, {O._pivot_names()} FROM summary"))
+def q_job_pivots(spark: SparkSession, d: str) -> DataFrame:
+    return SUM.job_pivots(summary(spark, d))
+
+
+@register("inventory_counts", O.job_sql(
+    "SELECT CAST(count(*) AS BIGINT) AS task_rows, CAST(count(DISTINCT job_id) AS BIGINT) AS jobs FROM inventory"))
+def q_inventory_counts(spark: SparkSession, d: str) -> DataFrame:
+    return INV.inventory_counts(inventory(spark, d))
+
+
+@register("last_run", O.job_sql(
+    "SELECT job_id, last_run_duration_seconds, last_run_status, last_run_end_time FROM last_run"))
+def q_last_run(spark: SparkSession, d: str) -> DataFrame:
+    return INV.last_runs(X.job_runs(spark, d))
+
+
+@register("dbr_version", O.job_sql(
+    "SELECT job_id, task_key, cluster_type, dbr_version FROM inventory WHERE task_key IS NOT NULL"))
+def q_dbr_version(spark: SparkSession, d: str) -> DataFrame:
+    return inventory(spark, d).where(F.col("task_key").isNotNull()).select(
+        "job_id", "task_key", "cluster_type", "dbr_version")
+
+
+@register("notebook_language", O.job_sql(
+    "SELECT job_id, task_key, notebook_path, notebook_name, notebook_language FROM inventory "
+    "WHERE task_type = 'notebook'"))
+def q_notebook_language(spark: SparkSession, d: str) -> DataFrame:
+    return inventory(spark, d).where(F.col("task_type") == "notebook").select(
+        "job_id", "task_key", "notebook_path", "notebook_name", "notebook_language")
+
+
+@register("project_tracker", O.job_sql("SELECT job_name, project_name, tower_owner, manager FROM project_tracker"))
+def q_project_tracker(spark: SparkSession, d: str) -> DataFrame:
+    return tracker(spark, d)
+
+
+@register("migration_list", O.job_sql(
+    f"SELECT {', '.join('summary.' + c for c in SUM.summary_columns())}, job_cost.jobid, pt.project_name, "
+    "pt.manager, pt.tower_owner FROM summary LEFT JOIN project_tracker pt "
+    "ON LOWER(TRIM(summary.job_name)) = LOWER(TRIM(pt.job_name)) "
+    "LEFT JOIN job_cost ON CAST(summary.job_id AS VARCHAR) = job_cost.jobid "
+    "WHERE summary.job_name <> 'null' AND pt.job_name <> 'null' AND ran_last_6_months = 'Y'"))
+def q_migration_list(spark: SparkSession, d: str) -> DataFrame:
+    return OWN.migration_list(summary(spark, d), tracker(spark, d), X.job_cost(spark, d))
