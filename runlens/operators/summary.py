@@ -86,9 +86,15 @@ def job_summary(inventory: DataFrame, as_of) -> DataFrame:
         *[F.sum(n).alias(n) for n, _ in pivots],
     )
     as_of_col = as_of if not isinstance(as_of, str) else F.lit(as_of).cast("timestamp")
-    tags = J.parse_tags(F.col("job_tags"))
-    name = F.col("job_name")
-    out = level2.select(
+    # Parsed tags and name issues are computed once here and read by name
+    # below (each tag column and the flag would otherwise re-evaluate them).
+    staged = level2.select(
+        "*",
+        J.parse_tags(F.col("job_tags")).alias("_tags"),
+        J.job_name_issues(F.col("job_name")).alias("job_name_issues"),
+    )
+    tags = F.col("_tags")
+    out = staged.select(
         *KEYS,
         F.col("num_tasks").cast("bigint").alias("num_tasks"),
         "last_run_end_time",
@@ -96,8 +102,8 @@ def job_summary(inventory: DataFrame, as_of) -> DataFrame:
         J.vote_label(F.col("n_langs"), F.col("top_lang"), F.col("top_count"), F.col("total"),
                      F.col("pair"), F.col("flagged")).alias("job_language"),
         F.when(F.col("inv"), F.lit("Y")).otherwise(F.lit("N")).alias("investigation_needed"),
-        J.job_name_flag(name).alias("job_name_flag"),
-        J.job_name_issues(name).alias("job_name_issues"),
+        F.when(F.col("job_name_issues").isNotNull(), F.lit("Y")).otherwise(F.lit("N")).alias("job_name_flag"),
+        "job_name_issues",
         *[J.extract_tag(tags, v).alias(c) for c, v in J.TAG_VARIANTS.items()],
         F.nullif(F.array_join(F.col("versions"), ", "), F.lit("")).alias("dbr_versions"),
         F.size("versions").cast("bigint").alias("dbr_version_count"),

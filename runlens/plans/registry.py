@@ -20,9 +20,27 @@ QUERIES: dict[str, Builder] = {}
 ORACLE: dict[str, str] = {}
 
 
+_PLANS: dict = {}
+
+
+def prepared(name: str, fn: Builder) -> Builder:
+    """Build a query's DataFrame once per (session, folder) and hand out the
+    same lazy plan afterwards, like a prepared statement: every action still
+    optimizes and executes it over the data, but the driver-side
+    construction of large expression trees is not repeated."""
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        key = (name, id(spark), spark.sparkContext.applicationId, d)
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, d)
+        return _PLANS[key]
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: Builder) -> Builder:
-        QUERIES[name] = fn
+        QUERIES[name] = prepared(name, fn)
         if sql is not None:
             ORACLE[name] = sql
         return fn
