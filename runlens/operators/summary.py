@@ -1,19 +1,21 @@
 """Job-level summary of the inventory (one row per job, 42 columns).
 
 The reference reads the whole inventory into pandas and loops over groups
-on the driver. Here it is two grouped aggregations and no join:
+on the driver. Here it is one window and two grouped aggregations, no join:
 
-    level 1: group by (job keys, task language)  -> partial sums, sets, min/max
-    level 2: group by job keys                   -> merge, then the language vote
+    mark the first row of each (job, task key)   -> distinct count as a sum
+    group by (job keys, language)                -> counters, versions, vote inputs
+    group by job keys                            -> merge + language vote
 
-Both levels aggregate map-side first, so a job owning a large share of the
-rows is collapsed before the shuffle. The only collected sets are task keys
-and runtime versions of one job, which one job definition bounds.
+Aggregates are partial (map-side) first, so a job owning a large share of
+the rows is collapsed before the shuffle; the window is partitioned by
+(job, task key), which spreads a hot job over its keys. The only collected
+lists are runtime versions and language names, small closed vocabularies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import jobs as J
@@ -56,12 +58,31 @@ def job_summary(inventory: DataFrame, as_of) -> DataFrame:
     version = F.col("dbr_version")
     vkey = J.version_key(version)
     pivots = _pivots()
-    level1 = inventory.select(*KEYS, "task_key", "task_type", "cluster_type", "dbr_version",
-                              "notebook_language", "last_run_end_time", lang.alias("lang")).groupBy(
-        *KEYS, "lang"
-    ).agg(
+    # Null-free grouping keys (value + is-null flag per nullable key): both
+    # aggregates below are then hash-partitioned on the same columns and the
+    # per-job join between them needs no further shuffle.
+    gk = ["job_id", "_gname", "_gname_null", "_gtags", "_gtags_null"]
+    base = inventory.select(
+        "job_id",
+        F.coalesce(F.col("job_name"), F.lit("")).alias("_gname"), F.col("job_name").isNull().alias("_gname_null"),
+        F.coalesce(F.col("job_tags"), F.lit("")).alias("_gtags"), F.col("job_tags").isNull().alias("_gtags_null"),
+        "task_key", "task_type", "cluster_type", "dbr_version", "notebook_language", "last_run_end_time",
+        lang.alias("lang"),
+    )
+    # Each distinct (job, task key) is marked once, by a window partitioned
+    # on that pair: the distinct count becomes a plain sum, so no job's keys
+    # are ever gathered in one place, and a hot job spreads over as many
+    # window partitions as it has keys.
+    first = F.row_number().over(
+        Window.partitionBy(*gk, "task_key").orderBy(F.col("lang").asc_nulls_first(),
+                                                    F.col("dbr_version").asc_nulls_first())
+    ) == 1
+    marked = base.withColumn("_first", first & F.col("task_key").isNotNull())
+    # Level 1, per (job, language): counters, runtime versions (a small closed
+    # vocabulary), earliest parseable version; partial aggregation first.
+    level1 = marked.groupBy(*gk, "lang").agg(
         F.count(F.lit(1)).alias("n"),
-        F.collect_set("task_key").alias("keys"),
+        F.count_if("_first").alias("keys"),
         F.collect_set("dbr_version").alias("versions"),
         F.min(F.when(vkey.isNotNull(), F.struct(vkey.getField("major").alias("major"),
                                                  vkey.getField("minor").alias("minor"),
@@ -70,20 +91,26 @@ def job_summary(inventory: DataFrame, as_of) -> DataFrame:
         F.bool_or(F.coalesce(F.col("task_type").isin(*J.INVESTIGATION_TYPES), F.lit(False))).alias("inv"),
         *[F.count_if(c).alias(n) for n, c in pivots],
     )
+    # Level 2, per job: merge, and the language vote over the level-1 rows
+    # (one per language, so the collected names are a handful).
     voting = F.col("lang").isNotNull() & (F.col("lang") != F.lit(J.INVESTIGATION_MARKER))
-    level2 = level1.groupBy(*KEYS).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("num_tasks"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("versions")))).alias("versions"),
+    level2 = level1.groupBy(*gk).agg(
+        F.sum("keys").alias("num_tasks"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("versions")))).alias("versions"),
         F.min("min_v").getField("v").alias("min_dbr_version"),
         F.max("end").alias("last_run_end_time"),
         F.bool_or("inv").alias("inv"),
+        F.bool_or(F.coalesce(F.col("lang") == F.lit(J.INVESTIGATION_MARKER), F.lit(False))).alias("flagged"),
         F.count(F.when(voting, F.lit(1))).alias("n_langs"),
         F.sum(F.when(voting, F.col("n")).otherwise(F.lit(0))).alias("total"),
         F.max_by(F.when(voting, F.col("lang")), F.when(voting, F.col("n"))).alias("top_lang"),
         F.max(F.when(voting, F.col("n"))).alias("top_count"),
         F.array_sort(F.collect_list(F.when(voting, F.col("lang")))).alias("pair"),
-        F.bool_or(F.coalesce(F.col("lang") == F.lit(J.INVESTIGATION_MARKER), F.lit(False))).alias("flagged"),
         *[F.sum(n).alias(n) for n, _ in pivots],
+    ).select(
+        "*",
+        F.when(~F.col("_gname_null"), F.col("_gname")).alias("job_name"),
+        F.when(~F.col("_gtags_null"), F.col("_gtags")).alias("job_tags"),
     )
     as_of_col = as_of if not isinstance(as_of, str) else F.lit(as_of).cast("timestamp")
     # Parsed tags and name issues are computed once here and read by name
