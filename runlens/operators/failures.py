@@ -202,6 +202,7 @@ def _rows(e: DataFrame) -> DataFrame:
     s1 = e.select(
         "run_id", "job_id", "run_name", "run_page_url", "state", "attempt_number", "run_attempt",
         "original_attempt_run_id", "_branch", "_det_ok", "_call_err", "_det_err", "_task_text",
+        F.col("start_time").alias("run_start_time"),
         md.alias("_md"), det.alias("_det"), F.col("_out.error").alias("_out_error"), st.alias("_st"),
         F.when(is_single, C.first_truthy(C.num_truthy(md.getField("start_time")), F.col("start_time")))
         .otherwise(F.col("start_time")).alias("_start"),
@@ -291,7 +292,7 @@ def _rows(e: DataFrame) -> DataFrame:
     # Stage 2: head-row fields by name, plus the cleaned text the error
     # fields read.
     s2 = s1.select(
-        "_branch", "_det",
+        "_branch", "_det", "run_start_time",
         *[head[n].cast(typed[n]).alias(n) for n in names if n not in error_fields],
         err_basis_expr(is_single, st, output_error).alias("_err"),
     )
@@ -310,7 +311,8 @@ def _rows(e: DataFrame) -> DataFrame:
     blank_for_child = {"termination_code", "termination_type", "termination_reason", "output_error",
                        *error_fields}
     head_struct = F.struct(*[F.col(n).alias(n) for n in names],
-                           F.when(is_multi, F.lit("multi_summary")).otherwise(br).alias("row_kind"))
+                           F.when(is_multi, F.lit("multi_summary")).otherwise(br).alias("row_kind"),
+                           F.col("run_start_time"))
 
     def child(t: Column) -> Column:
         over = {
@@ -322,7 +324,7 @@ def _rows(e: DataFrame) -> DataFrame:
         for n in names:
             v = over.get(n, F.lit(None) if n in blank_for_child else F.col(n))
             fields.append(v.cast(typed[n]).alias(n))
-        return F.struct(*fields, F.lit("multi_task").alias("row_kind"))
+        return F.struct(*fields, F.lit("multi_task").alias("row_kind"), F.col("run_start_time"))
 
     tasks_type = e.schema["_det"].dataType["tasks"].dataType
     no_tasks = F.array().cast(tasks_type)
@@ -341,7 +343,8 @@ def err_basis_expr(is_single: Column, st: Column, output_error: Column) -> Colum
 
 def failure_rows(runs: DataFrame, outputs: DataFrame, details: DataFrame, *,
                  window: tuple[int | None, int | None] | None = None) -> DataFrame:
-    """All failure rows with a ``row_kind`` column naming the branch.
+    """All failure rows with a ``row_kind`` column naming the branch and the
+    ``run_start_time`` of the run each row came from.
 
     ``runs`` are landed run records (page entries), ``outputs`` and
     ``details`` the landed API answers (schemas in ``runlens.schemas``).
@@ -366,7 +369,7 @@ def failure_log(runs: DataFrame, outputs: DataFrame, details: DataFrame, *, inge
 
 
 def rows_of_kind(rows: DataFrame, kind: str) -> DataFrame:
-    return rows.where(F.col("row_kind") == F.lit(kind)).drop("row_kind")
+    return rows.where(F.col("row_kind") == F.lit(kind)).drop("row_kind", "run_start_time")
 
 
 def debug_rows(runs: DataFrame, *, host: str | None, ingest_iso: str) -> DataFrame:
