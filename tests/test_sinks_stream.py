@@ -98,3 +98,47 @@ def test_stream_equals_batch(spark, scratch):
     batch = FL.failure_log(S.read_run_pages(spark, f"{scratch}/pages"), outs(spark), dets(spark),
                            ingest_iso=stamp())
     assert got == sorted(tuple(map(repr, r)) for r in batch.collect())
+
+
+def test_view_and_layout(spark, scratch):
+    from runlens.operators import ownership as OWN
+    from runlens.plans import registry as RG
+    from runlens.sources import fixtures as X
+    d = "/root/testdata/sf0.001"
+    for t in ("t_summary", "t_crosswalk", "t_cost"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    summary = RG.summary(spark, d)
+    summary.write.saveAsTable("t_summary")
+    X.crosswalk(spark, d).write.saveAsTable("t_crosswalk")
+    X.job_cost(spark, d).write.saveAsTable("t_cost")
+    OWN.create_view(spark, "v_migration", "t_summary", "t_crosswalk", "t_cost")
+    by_sql = sorted(map(repr, spark.table("v_migration").collect()))
+    by_df = sorted(map(repr, OWN.migration_list(spark.table("t_summary"), OWN.project_tracker(X.crosswalk(spark, d)),
+                                                  X.job_cost(spark, d)).collect()))
+    assert by_sql == by_df and len(by_sql) > 0
+    log = RG.QUERIES["failure_log"](spark, d)
+    spark.sql("DROP TABLE IF EXISTS t_laid_out")
+    K.write_laid_out(log, "t_laid_out", partitions=4)
+    spark.catalog.refreshTable("t_laid_out")
+    assert spark.table("t_laid_out").count() == log.count()
+    assert "end_date" in spark.table("t_laid_out").columns
+
+
+def test_lookup_readers(spark, scratch):
+    land(f"{scratch}/clusters/c.json", [{"cluster_id": "c1", "spark_version": "14.3.x"}])
+    land(f"{scratch}/objects/o.json", [{"path": "/a/b", "language": "PYTHON"}])
+    land(f"{scratch}/jobs/j.json", [{"job_id": 1, "settings": {"name": "n", "tags": {"team": "a"}, "tasks": [
+        {"task_key": "t", "existing_cluster_id": "c1", "notebook_task": {"notebook_path": "/a/b"}}]}},
+        {"job_id": 2, "settings": {"name": "empty"}}])
+    land(f"{scratch}/runs/r.json", [{"job_id": 1, "run_id": 5, "start_time": 1000, "end_time": 1150,
+                                      "state": {"result_state": "FAILED"}}])
+    from runlens.operators import inventory as INV
+    inv = INV.job_inventory(S.read_jobs(spark, f"{scratch}/jobs"), S.read_clusters(spark, f"{scratch}/clusters"),
+                            S.read_workspace_objects(spark, f"{scratch}/objects"),
+                            S.read_job_runs(spark, f"{scratch}/runs"))
+    rows = {r.job_id: r for r in INV.as_table(inv).collect()}
+    r = rows[1]
+    assert (r.task_type, r.cluster_type, r.dbr_version, r.notebook_name, r.notebook_language) == \
+        ("notebook", "interactive", "14.3.x", "b", "PYTHON")
+    assert (r.last_run_status, r.last_run_duration_seconds, r.job_tags) == ("FAILED", 0.2, '{"team":"a"}')
+    assert rows[2].task_key is None and rows[2].task_type is None and rows[2].job_tags is None
