@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import common as C
 from ..functions import runs as R
-from ..schemas import FAILURE_FIELDS, FAILURE_LOG_FIELDS
+from ..schemas import FAILURE_FIELDS
 
 NO_OUTPUT = "no output landed"
 NO_DETAILS = "no details landed"
@@ -38,6 +38,18 @@ def failed_runs(runs: DataFrame) -> DataFrame:
     return runs.where(F.col("state.result_state") == F.lit("FAILED"))
 
 
+def latest_records(runs: DataFrame) -> DataFrame:
+    """One record per run id when a run was landed more than once (the one
+    with the latest end, then start; ties broken by the whole record).
+
+    Grouped by ``run_id``, so its hash partitioning is the one the enrichment
+    joins need: no extra exchange, and run ids are unique keys (no skew).
+    """
+    cols = ["end_time", "start_time"] + [c for c in runs.columns if c not in ("end_time", "start_time")]
+    best = runs.groupBy(F.col("run_id").alias("_rid")).agg(F.max(F.struct(*cols)).alias("_r"))
+    return best.select(*[F.col("_r").getField(c).alias(c) for c in runs.columns])
+
+
 def runs_in_window(runs: DataFrame, start_ms: int | None, end_ms: int | None) -> DataFrame:
     """start time in the half-open window ``[start_ms, end_ms)``.
 
@@ -352,7 +364,7 @@ def failure_rows(runs: DataFrame, outputs: DataFrame, details: DataFrame, *,
     r = failed_runs(runs)
     if window is not None:
         r = runs_in_window(r, *window)
-    e = enrich_runs(r, outputs, details)
+    e = enrich_runs(latest_records(r), outputs, details)
     texts = task_error_text(task_errors(e, outputs)).withColumnRenamed("error_text", "_task_text")
     e = e.join(texts, "run_id", "left")
     return _rows(e)

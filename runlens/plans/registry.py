@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.common import to_epoch_ms_strict
 from ..operators import failures as FL
 from ..sources import fixtures as X
 from . import oracle as O

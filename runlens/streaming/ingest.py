@@ -18,7 +18,6 @@ from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import failures as FL
@@ -92,4 +91,4 @@ def refresh(spark: SparkSession, table: str) -> None:
         spark.catalog.refreshTable(table)
 
 
-__all__ = ["ingest_batch", "start_failure_stream", "failure_batch_writer", "refresh", "F"]
+__all__ = ["ingest_batch", "start_failure_stream", "failure_batch_writer", "refresh"]

@@ -123,3 +123,14 @@ def test_dedup_and_new_only(spark, scratch):
     assert FL.new_only(b, a, FL.event_key(b)).count() == 0
     d = FL.dedup_latest(a.unionByName(b), FL.event_key(a))
     assert {r.row_added_at for r in d.collect()} == {"2024-02-02T00:00:00+00:00"}
+
+
+def test_relanded_run_counts_once(spark, scratch):
+    landed_fixture(scratch)
+    # the same failed run landed again in a later page, with a later end time
+    land(f"{scratch}/pages/p3.json", [{"runs": [run(4, end_time=T0 + H + 9000)], "has_more": False}])
+    runs = S.read_run_pages(spark, f"{scratch}/pages")
+    outs = S.read_run_outputs(spark, f"{scratch}/outputs")
+    dets = S.read_run_details(spark, f"{scratch}/details")
+    rows = [r for r in FL.failure_rows(runs, outs, dets).collect() if r.run_id == 4]
+    assert len(rows) == 1 and rows[0].duration_ms == 9000
