@@ -98,3 +98,26 @@ def test_tracker(spark):
     assert set(out) == {"a", "b", "c"}
     assert (out["a"].tower_owner, out["a"].manager, out["a"].project_name) == ("Untagged", "a", "p")
     assert out["b"].manager == "b" and out["c"].manager == "c" and out["b"].project_name == "Untagged"
+
+
+def test_cluster_type_and_runtime_version(spark):
+    from runlens.schemas import JOB_TASK
+    rows = [
+        {"task_key": "a", "run_job_task": "{}", "job_cluster_key": "k"},
+        {"task_key": "b", "spark_jar_task": "{}", "job_cluster_key": "k", "existing_cluster_id": "c"},
+        {"task_key": "c", "spark_jar_task": "{}"},
+        {"task_key": "d", "notebook_task": {"notebook_path": None}},
+        {"task_key": "e", "spark_jar_task": "{}", "environment_key": "env"},
+        {"task_key": "f", "spark_jar_task": "{}", "new_cluster": {"spark_version": "15.4.x"}},
+    ]
+    df = spark.createDataFrame([(r,) for r in rows], f"t {JOB_TASK.simpleString()}")
+    t = F.col("t")
+    ttype = J.task_type(t)
+    jcs = F.array(F.struct(F.lit("k").alias("job_cluster_key"),
+                           F.struct(F.lit("13.3.x").alias("spark_version")).alias("new_cluster")))
+    out = df.select(ttype.alias("ty"), J.cluster_type(t, ttype).alias("ct"),
+                    J.runtime_version(t, J.shared_cluster_version(jcs, t.getField("job_cluster_key")),
+                                      F.lit("9.1.x")).alias("v")).collect()
+    assert [r.ty for r in out] == ["run_job", "spark_jar", "spark_jar", "notebook", "spark_jar", "spark_jar"]
+    assert [r.ct for r in out] == ["none", "job_cluster", "unknown", "serverless", "serverless", "job_cluster"]
+    assert [r.v for r in out] == ["13.3.x", "13.3.x", None, None, None, "15.4.x"]
