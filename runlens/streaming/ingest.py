@@ -71,14 +71,21 @@ def failure_batch_writer(outputs: Callable[[SparkSession], DataFrame],
 def start_failure_stream(spark: SparkSession, pages_dir: str, outputs: Callable[[SparkSession], DataFrame],
                          details: Callable[[SparkSession], DataFrame], log_table: str, *,
                          checkpoint: str | None = None, available_now: bool = True,
-                         ingest_iso: Callable[[], str] | None = None) -> StreamingQuery:
+                         ingest_iso: Callable[[], str] | None = None,
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Landed page files -> failure log, as a Structured Streaming query.
 
     The checkpoint defaults to ``<spark.checkpoint.dir>/failure-log-stream``
     (a shared folder; the run fails if none is configured).
+    ``max_files_per_trigger`` bounds each micro-batch, so a backlog of
+    landed pages is worked off in batches of known size (with
+    ``availableNow`` all of it is still processed in one run).
     """
     location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/failure-log-stream"
-    pages = spark.readStream.schema(RUN_PAGE).json(pages_dir)
+    reader = spark.readStream.schema(RUN_PAGE)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    pages = reader.json(pages_dir)
     runs = FL.failed_runs(runs_of_pages(pages))
     w = runs.writeStream.foreachBatch(failure_batch_writer(outputs, details, log_table, ingest_iso)).option(
         "checkpointLocation", location)

@@ -91,7 +91,8 @@ def test_stream_equals_batch(spark, scratch):
     os.link(f"{scratch}/pages/p2.json", f"{src}/p2.json")
     q = I.start_failure_stream(spark, src, outs, dets, "t_stream", checkpoint=ck, ingest_iso=stamp)
     q.awaitTermination()
-    q = I.start_failure_stream(spark, src, outs, dets, "t_stream", checkpoint=ck, ingest_iso=stamp)
+    q = I.start_failure_stream(spark, src, outs, dets, "t_stream", checkpoint=ck, ingest_iso=stamp,
+                               max_files_per_trigger=1)
     q.awaitTermination()
     spark.catalog.refreshTable("t_stream")
     got = sorted(tuple(map(repr, r)) for r in spark.table("t_stream").collect())
