@@ -13,9 +13,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer's size estimate of a plan (an upper bound for file scans and
     the operators over them), or None when it is not available."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # noqa: BLE001 - e.g. Spark Connect: no estimate, no hint
         return None
+    # py4j hands a Scala BigInt over as a Python int; older bridges as an object
+    return size if isinstance(size, int) else int(size.toString())
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
