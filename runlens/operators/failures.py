@@ -62,6 +62,13 @@ def runs_in_window(runs: DataFrame, start_ms: int | None, end_ms: int | None) ->
         cond = cond & (F.col("start_time") >= F.lit(start_ms))
     if end_ms is not None:
         cond = cond & (F.col("start_time") < F.lit(end_ms))
+    if "start_date" in runs.columns:
+        # landed parquet partitioned by start date: the same bounds on the
+        # partition column let the scan skip whole date folders
+        if start_ms is not None:
+            cond = cond & (F.col("start_date") >= F.to_date(F.timestamp_millis(F.lit(start_ms))))
+        if end_ms is not None:
+            cond = cond & (F.col("start_date") <= F.to_date(F.timestamp_millis(F.lit(end_ms))))
     return runs.where(cond)
 
 

@@ -72,3 +72,21 @@ def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
 def read_job_cost(spark: SparkSession, path: str) -> DataFrame:
     """S9."""
     return spark.read.schema(JOB_COST).json(path)
+
+
+def land_run_pages(spark: SparkSession, pages_path: str, out_path: str, *, mode: str = "append") -> None:
+    """Convert landed page files once into parquet run records partitioned by
+    start date, so later window filters prune whole date folders.
+
+    Range partitioning on (start date, run id) gives each writer a contiguous
+    slice: a busy day is split over several tasks instead of one.
+    """
+    runs = read_run_pages(spark, pages_path).withColumn(
+        "start_date", F.to_date(F.timestamp_millis(F.col("start_time"))))
+    (runs.repartitionByRange("start_date", "run_id")
+     .write.mode(mode).partitionBy("start_date").parquet(out_path))
+
+
+def read_landed_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Run records written by :func:`land_run_pages` (with ``start_date``)."""
+    return spark.read.parquet(path)

@@ -134,3 +134,17 @@ def test_relanded_run_counts_once(spark, scratch):
     dets = S.read_run_details(spark, f"{scratch}/details")
     rows = [r for r in FL.failure_rows(runs, outs, dets).collect() if r.run_id == 4]
     assert len(rows) == 1 and rows[0].duration_ms == 9000
+
+
+def test_landed_parquet_prunes_dates(spark, scratch):
+    landed_fixture(scratch)
+    S.land_run_pages(spark, f"{scratch}/pages", f"{scratch}/runs_parquet")
+    landed = S.read_landed_runs(spark, f"{scratch}/runs_parquet")
+    outs = S.read_run_outputs(spark, f"{scratch}/outputs")
+    dets = S.read_run_details(spark, f"{scratch}/details")
+    window = (T0, T0 + 24 * H)
+    from_json = FL.failure_rows(S.read_run_pages(spark, f"{scratch}/pages"), outs, dets, window=window)
+    from_parquet = FL.failure_rows(landed, outs, dets, window=window)
+    assert sorted(map(repr, from_json.collect())) == sorted(map(repr, from_parquet.collect()))
+    plan = FL.runs_in_window(landed, *window)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(start_date" in plan and ">= 2024-01-10" in plan and "<= 2024-01-11" in plan
