@@ -103,17 +103,37 @@ def duration_seconds_1dp(start_ms: Column | str, end_ms: Column | str) -> Column
 
 # Accepted time-text shapes (fixed values of the reference's parser):
 #  1. ISO 8601 when the text has 'T', ends with 'Z' or contains '+'
+#     (extended or basic form; fraction of any length, truncated to micros)
 #  2. 'YYYY-MM-DD HH:MM:SS' (UTC)
 #  3. 'YYYY-MM-DD' (start of day, UTC)
-_ISO_SHAPE = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?)?)?"
-    r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)?$"
-)
+_ZONE = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)?"
+_TIME = r"[0-9]{2}(:?[0-9]{2}(:?[0-9]{2})?)?([.,][0-9]+)?"
+_ISO_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([^0-9]" + _TIME + ")?" + _ZONE + "$"
+_ISO_BASIC = r"^[0-9]{8}([^0-9]" + _TIME + ")?" + _ZONE + "$"
 _PLAIN_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 _DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
+def _iso_extended(s: Column) -> Column:
+    """Normalise ISO text the way Python's ``fromisoformat`` reads it: a
+    trailing 'Z' as +00:00, basic forms to extended form, any single non-digit
+    between date and time as the separator (so '2025-09-24+02:00' is 02:00,
+    not a zone), a fraction after hours or minutes as fractional seconds, and
+    the fraction cut to microseconds."""
+    t = F.regexp_replace(s, r"Z$", "+00:00")
+    t = F.regexp_replace(t, r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=[^0-9]|$)", "$1-$2-$3")
+    t = F.regexp_replace(t, r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[^0-9](?=[0-9]{2})", "$1T")
+    t = F.regexp_replace(t, r"T([0-9]{2})([0-9]{2})([0-9]{2})", "T$1:$2:$3")
+    t = F.regexp_replace(t, r"T([0-9]{2})([0-9]{2})(?=[-+.,]|$)", "T$1:$2")
+    t = F.regexp_replace(t, r"T([0-9]{2}):([0-9]{2})([0-9]{2})", "T$1:$2:$3")
+    t = F.regexp_replace(t, r"T([0-9]{2})([0-9]{2}):([0-9]{2})", "T$1:$2:$3")
+    # Spark's cast wants seconds before a zone or fraction: pad 'HH', 'HH:mm'
+    t = F.regexp_replace(t, r"T([0-9]{2})(?=[-+.,]|$)", "T$1:00:00")
+    t = F.regexp_replace(t, r"T([0-9]{2}):([0-9]{2})(?=[-+.,]|$)", "T$1:$2:00")
+    t = F.regexp_replace(t, r",", ".")
+    return F.regexp_replace(t, r"(\.[0-9]{6})[0-9]+", "$1")
+
+
 def to_epoch_ms(text: Column | str) -> Column:
     """Time text -> epoch milliseconds (UTC when no zone); null if unparseable.
 
@@ -123,12 +143,11 @@ def to_epoch_ms(text: Column | str) -> Column:
     """
     s = strip_text(text)
     iso_branch = s.contains("T") | s.endswith("Z") | s.contains("+")
-    iso_txt = F.regexp_replace(F.regexp_replace(s, "Z$", "+00:00"), ",", ".")
-    iso_ts = iso_txt.try_cast("timestamp")
+    iso_ts = _iso_extended(s).try_cast("timestamp")
     date_ts = F.try_to_timestamp(F.concat(s, F.lit(" 00:00:00")), F.lit("yyyy-M-d H:m:s"))
     plain_ts = F.try_to_timestamp(s, F.lit("yyyy-M-d H:m:s"))
     ts = (
-        F.when(iso_branch, F.when(s.rlike(_ISO_SHAPE), iso_ts))
+        F.when(iso_branch, F.when(s.rlike(_ISO_SHAPE) | s.rlike(_ISO_BASIC), iso_ts))
         .when((F.length(s) == 10) & s.rlike(_DATE_SHAPE), date_ts)
         .when(s.rlike(_PLAIN_SHAPE), plain_ts)
     )
@@ -147,8 +166,8 @@ def to_epoch_ms_strict(value: str) -> int:
     s = value.strip()
     iso = "T" in s or s.endswith("Z") or "+" in s
     dt = None
-    if iso and re.match(_ISO_SHAPE, s):
-        dt = datetime.fromisoformat(re.sub("Z$", "+00:00", s).replace(",", "."))
+    if iso and (re.match(_ISO_SHAPE, s) or re.match(_ISO_BASIC, s)):
+        dt = datetime.fromisoformat(re.sub("Z$", "+00:00", s))
     elif not iso and len(s) == 10 and re.match(_DATE_SHAPE, s):
         dt = datetime.strptime(s, "%Y-%m-%d")
     elif not iso and re.match(_PLAIN_SHAPE, s):

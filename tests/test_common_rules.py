@@ -40,6 +40,9 @@ def test_duration_seconds_half_up(spark):
     ("2025-09-24T12:34:56+02:00", 1758717296000 - 7_200_000),
     ("2025-09-24T12:34:56.7899", 1758717296789),
     ("2025", None), ("12:00", None), ("2025-09-24 12:00:00-02:00", None), ("Tuesday", None),
+    ("20250924T123456", 1758717296000), ("2025-09-24T12.5", 1758715200500),
+    ("2025-09-24+02:00", 1758679200000),  # '+' read as the date/time separator, as Python does
+    ("2025-09-24Z", 1758672000000), ("2025-09-24T12:34:56.1234567", 1758717296123),
 ])
 def test_to_epoch_ms(spark, text, ms):
     assert vals(spark, C.to_epoch_ms, [text]) == [ms]
