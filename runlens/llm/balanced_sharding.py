@@ -4,7 +4,8 @@ Documents are linked if their texts are equal. Every document starts in the
 shard its id hashes to. Then, a few rounds over:
 
 * each group of linked documents votes: its members are counted by shard, and
-  the shard with most of them is where the others want to go;
+  the shard with most of them is where the others want to go (ties go by a
+  hash of group and shard);
 * the wishes are counted by pair of shards (``shards`` squared numbers, the
   only thing the driver sees) and cut to quotas, so that no shard grows above
   its capacity;
@@ -81,9 +82,10 @@ def propagate(rows: DataFrame, shards: int, rounds: int, slack: float) -> DataFr
     group = ["text_hash", "text_crc32"]
     for turn in range(rounds):
         votes = state.where("group_rows is not null").groupBy(*group, "shard").agg(F.count(F.lit(1)).alias("votes"))
+        # shards with equally many members are told apart by a hash, so that wishes are spread over the shards
         wanted = votes.groupBy(*group).agg(
-            F.max(F.struct("votes", (-F.col("shard")).alias("less"))).alias("top")
-        ).select(*group, (-F.col("top.less")).alias("wanted"))
+            F.max(F.struct("votes", F.xxhash64(*group, "shard"), "shard")).alias("top")
+        ).select(*group, F.col("top.shard").alias("wanted"))
         moves = state.join(wanted, group, "left")
         asked = (votes.join(wanted, group).where("shard <> wanted").groupBy("shard", "wanted")
                  .agg(F.sum("votes").alias("n")).collect())  # shards squared rows at most
@@ -146,7 +148,7 @@ def even(rows: DataFrame, shards: int) -> DataFrame:
             .drop("single", "by_text", "by_id", "_offset", "_nth", "_to", "_at"))
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, rounds: int = 4, slack: float = 0.02) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 16, rounds: int = 6, slack: float = 0.02) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard), one row per document of ``docs``."""
     rows = narrow(docs)
     settled = stored(propagate(rows, shards, rounds, slack), "shard-settled")

@@ -17,11 +17,11 @@ they are read as UTF-8, so a character split over several tokens comes back;
 ``decode`` of ids that stop amid a character gives U+FFFD for the rest.
 
 Matches repeat, so a worker remembers those it has encoded, up to
-``REMEMBERED``; then it starts anew. A space between two other characters is
-always where a match begins (the pattern takes it as the optional first
-character of the next match, whatever follows), so text is first cut there
-and whole pieces are looked up; texts with a space between white space are
-cut by the pattern alone.
+``REMEMBERED``; then it starts anew. A space after a character that is no
+white space, or before one, is always where a match begins (the pattern takes
+it as the first character of the next match), so text is first cut there and
+whole pieces are looked up; texts with a space that has white space before it
+and none but white space or the end after it are cut by the pattern alone.
 
 Defined results: null texts count as empty: no ids, the digests of no bytes.
 Special tokens are never used. Ids without a token decode to no bytes.
@@ -42,7 +42,7 @@ from .common import bounded_batches
 #: Pieces a worker remembers before it starts anew.
 REMEMBERED = 300_000
 #: Where cutting at spaces alone could differ from the pattern.
-AMID_SPACE = regex.compile(r"\s\x20\s")
+AMID_SPACE = regex.compile(r"\s\x20(?!\S)")
 
 
 def byte_characters() -> list[str]:

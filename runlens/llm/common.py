@@ -47,12 +47,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, for the short-lived tables of a loop."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def crc_bucket(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``: the fold of a row."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(n)
@@ -163,22 +157,23 @@ def connected_components(links: DataFrame) -> DataFrame:
     and drops loops and repeats, so the graph shrinks until no link is left. A large component needs no task
     that holds it: the minimum is pre-aggregated and the renaming is a join on nodes.
     """
-    edges = cut(
+    # written tables, not checkpoints: those keep the estimates of the joins they come from, which multiply up
+    edges = stored(
         links.where(F.col("a") != F.col("b"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     found = ends.select("node", F.col("node").alias("root"))
     while not edges.isEmpty():
         sides = edges.select(F.col("a").alias("n"), F.col("b").alias("to")).union(edges.select("b", "a"))
         step = sides.groupBy("n").agg(F.min("to").alias("to")).where("to < n")
-        step = cut(step)
+        step = stored(step, "steps")
         on = step.select(F.col("n").alias("to"), F.col("to").alias("next"))
-        move = cut(step.join(on, "to", "left").select("n", F.coalesce("next", "to").alias("to")))
-        found = cut(found.join(move, found["root"] == move["n"], "left")
-                    .select("node", F.coalesce("to", "root").alias("root")))
+        move = stored(step.join(on, "to", "left").select("n", F.coalesce("next", "to").alias("to")), "moves")
+        found = stored(found.join(move, found["root"] == move["n"], "left")
+                       .select("node", F.coalesce("to", "root").alias("root")), "roots")
         for side in ("a", "b"):
             renamed = move.select(F.col("n").alias(side), F.col("to").alias(f"new_{side}"))
             edges = edges.join(renamed, side, "left").withColumn(side, F.coalesce(f"new_{side}", side)).drop(f"new_{side}")
-        edges = cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        edges = stored(edges.where("a <> b")
+                       .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     return found

@@ -13,10 +13,9 @@ Content regions are then selected in three steps:
    lines of the upper cluster mark the content.
 
 The region is the page's ``article``/``main`` element where one holds marked
-lines, else the deepest container that holds most of the marked text. Every
-line of the region is kept, whatever its own ratio, but for furniture inside
-it; only when no container narrower than the page holds the content, the
-lines before the first and after the last marked line go.
+lines, else the deepest container that holds most of the marked text, else
+the page. Every line of the region is kept, whatever its own ratio, but for
+furniture inside it and lines that are several links and nothing else.
 
 Defined results: null, empty or text-free pages give the empty string; a page
 without any upper cluster keeps all its lines that are not furniture;
@@ -44,6 +43,8 @@ NO_TEXT = frozenset("script style template noscript iframe object svg canvas mat
                     "textarea button input datalist head title".split())
 FURNITURE = frozenset("nav footer aside form menu dialog fieldset".split()) | NO_TEXT
 REGIONS = frozenset(["article", "main"])
+#: Elements that hold blocks of text; the others (paragraphs, headings, list items) are such blocks.
+CONTAINERS = REGIONS | frozenset("html body div section center table tbody tr td".split())
 #: Elements whose end tag may be left out: a new one of the same kind ends an open one.
 IMPLIED_END = frozenset("p li dt dd tr td th option".split())
 # Words in class, id and role values that name page furniture.
@@ -109,7 +110,7 @@ class Lines(HTMLParser):
         bad = bad or tag in FURNITURE or (tag == "header" and not inside) or (
             tag not in ("html", "body") and names_furniture(attrs, inside))
         number = 0
-        if block:
+        if tag in CONTAINERS:
             self.count += 1
             number = self.count
             if tag in REGIONS:
@@ -203,16 +204,7 @@ def extract(html: str | None, sigma: float = 1.0, region_share: float = REGION_S
     elif total:
         narrow = [n for n, w in weights.items() if w >= region_share * total]
         region = max(narrow) if narrow else 0  # containers are numbered in page order: the largest is the deepest
-        inside = [i for i in kept if region in lines[i][3]]
-        spans = inside and sum(len(lines[i][0]) for i in inside) < sum(len(lines[i][0]) for i in kept)
-        if spans:
-            kept = inside
-        else:
-            up = np.flatnonzero(marked)
-            first = up[0]
-            while first > 0 and (first - 1) in kept and len(lines[first - 1][0]) and lines[first - 1][2] == 0:
-                first -= 1  # a heading stands directly before its text
-            kept = [i for i in kept if first <= i <= up[-1]]
+        kept = [i for i in kept if not region or region in lines[i][3]]
     kept = [i for i in kept if not menu_like(lines[i])]
     return " ".join(lines[i][0] for i in kept)
 

@@ -20,7 +20,8 @@ queries a zero there: then the angle orders vectors as the inner product does.
 The set of queries grows with the table, so it is never broadcast: queries
 are dealt into blocks, and every pair of a query block and a shard is one
 bounded unit of work. ``share`` sets how far the search ascends, and with it
-recall; at ``share`` = 1 the search is exact.
+recall; at ``share`` = 1 the search is exact. A shard gives more than ``k`` candidates if it
+has them, so no query returns fewer than there are.
 
 Defined results: vectors that are null, empty, zero or hold null or
 non-finite components, and rows without a vec_id, take no part. Rows that
@@ -74,12 +75,12 @@ class Forest:
                 longest[t] = np.maximum(longest[t], shared)
         return longest
 
-    def candidates(self, queries: np.ndarray, share: float) -> np.ndarray:
-        """queries x vectors: True for the candidates."""
+    def candidates(self, queries: np.ndarray, share: float, least: int) -> np.ndarray:
+        """queries x vectors: True for the candidates, at least ``least`` of them if the shard has as many."""
         strings = self._strings(np.column_stack([queries, np.zeros(len(queries))]))
         longest = self.descend(strings)
         n = len(self.vectors)
-        wanted = int(np.ceil(share * n))
+        wanted = min(n, max(int(np.ceil(share * n)), least))
         found = np.zeros((len(queries), n), bool)
         got = np.zeros(len(queries), np.int64)
         low, high = np.zeros_like(strings), np.zeros_like(strings)  # slices already taken
@@ -117,7 +118,7 @@ def _search(k: int, trees: int, share: float, longest: float, seed: int):
             x = matrix(unit.column("embedding"))
             vectors, names = x[here], ids[here]
             forest = Forest(vectors, longest, trees, seed)
-            found = forest.candidates(x[asked], share)
+            found = forest.candidates(x[asked], share, k + 1)
             query_ids, best = [], []
             for q, row in enumerate(asked):
                 at = np.flatnonzero(found[q])

@@ -158,10 +158,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Colum
         .groupBy("doc_id").agg(F.max(F.struct("_label", "_terms")).alias("_row"))
         .select("_row.*").toArrow()
     )
-    counts = np.array(rows.column("_terms").to_pylist(), np.float64).reshape(rows.num_rows, -1)
     if not rows.num_rows:
         none = np.zeros((0, 0))
         return Model(none, none, none, none, 0.5 if known is None else float(known), power)
+    counts = np.array(rows.column("_terms").to_pylist(), np.float64)
     y = rows.column("_label").to_numpy().astype(int)
     size, counts = counts[:, -1], counts[:, :-1]
     x = _weights(counts, size)

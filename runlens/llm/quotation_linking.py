@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, stored
+from .common import stored
 
 #: The quote marks a line begins with, with one blank after the last.
 MARKS = r"^((?:[ \t]*>)*)"
@@ -132,16 +132,16 @@ def reply_links(messages: DataFrame) -> DataFrame:
 
 def threads(links: DataFrame) -> DataFrame:
     """(conv_id, turn, thread_turn, depth) for every linked message: its chain's first turn and the steps to it."""
-    up = cut(links.where("parent_turn is not null").select("conv_id", "turn", F.col("parent_turn").alias("top"),
-                                                           F.lit(1).cast("long").alias("depth")))
+    up = stored(links.where("parent_turn is not null").select("conv_id", "turn", F.col("parent_turn").alias("top"),
+                                                              F.lit(1).cast("long").alias("depth")), "climb")
     while True:
         above = up.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("higher"),
                           F.col("depth").alias("more"))
         joined = up.join(above, ["conv_id", "top"], "left")
         if joined.where("higher is not null").isEmpty():
             return up.withColumnRenamed("top", "thread_turn")
-        up = cut(joined.select("conv_id", "turn", F.coalesce("higher", "top").alias("top"),
-                               (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
+        up = stored(joined.select("conv_id", "turn", F.coalesce("higher", "top").alias("top"),
+                                  (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "climb")
 
 
 def rebuilt(messages: DataFrame) -> DataFrame:

@@ -1,0 +1,90 @@
+"""Quotation linking on written threads, and against its SQL restatement."""
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from runlens.llm import oracle, quotation_linking
+
+MESSAGES = "conv_id long, turn long, role string, text string"
+
+
+def run(spark, rows):
+    return quotation_linking.rebuilt(spark.createDataFrame(rows, MESSAGES).withColumn("depth", F.lit("clash")))
+
+
+def tree(rows):
+    return {(r["conv_id"], r["turn"]): (r["parent_turn"], r["thread_turn"], r["depth"], r["n_quotes"], r["n_linked"], r["text"])
+            for r in rows}
+
+
+THREAD = [
+    (1, 0, "user", "How do I\nsort a list?"),
+    (1, 1, "assistant", "> How do I\n> sort  a LIST?\nUse sorted.\n\nIt is stable."),
+    (1, 2, "user", "An unrelated question."),
+    (1, 3, "user", ">> How do I sort a list?\n> It is stable.\nWhat does that mean?"),
+    (1, 4, "assistant", "> > It is stable.\n> What does that mean?\nEqual items keep their order."),
+    (1, 5, "user", "> never said\nHm."),
+    (1, 6, "user", "\t>\t> Use sorted.\r\nThanks\r\n"),
+    (2, 0, "user", "How do I sort a list?"),
+    (2, 1, "user", "> What does that mean?\nother conversation"),
+]
+
+
+def test_threads(spark):
+    found = run(spark, THREAD).collect()
+    assert tree(found) == {
+        (1, 0): (None, 0, 0, 0, 0, "How do I\nsort a list?"),
+        (1, 1): (0, 0, 1, 1, 1, "Use sorted.\n\nIt is stable."),
+        (1, 2): (None, 2, 0, 0, 0, "An unrelated question."),
+        (1, 3): (1, 0, 2, 2, 2, "What does that mean?"),
+        (1, 4): (3, 0, 3, 2, 2, "Equal items keep their order."),
+        (1, 5): (None, 5, 0, 1, 0, "Hm."),
+        (1, 6): (1, 0, 2, 1, 1, "Thanks"),
+        (2, 0): (None, 0, 0, 0, 0, "How do I sort a list?"),
+        (2, 1): (None, 1, 0, 1, 0, "other conversation"),
+    }
+    assert [(r["conv_id"], r["turn"]) for r in found] == [(1, t) for t in (0, 1, 3, 4, 6, 2, 5)] + [(2, 0), (2, 1)]
+
+
+def test_repeated_passages_do_not_multiply_and_the_first_is_the_original(spark):
+    rows = [(1, t, "user", "ok") for t in range(60)] + [(1, 60 + t, "user", "> ok\nme too") for t in range(60)]
+    found = run(spark, rows).collect()
+    assert len(found) == 120
+    assert {r["parent_turn"] for r in found if r["turn"] >= 60} == {0}
+
+
+def test_long_chain(spark):
+    rows = [(7, 0, "user", "message 0")] + [(7, t, "user", f"> message {t - 1}\nmessage {t}") for t in range(1, 100)]
+    found = tree(run(spark, rows).collect())
+    assert all(found[7, t][1:3] == (0, t) for t in range(100))
+
+
+def test_odd_rows(spark):
+    rows = [(1, 0, "user", None), (1, 1, "user", ""), (1, 2, None, ">"), (1, 3, "user", "> \n>\n"), (None, 4, "user", "> x\ny"),
+            (1, None, "user", "> x\nz"), (1, 5, "user", "word " * 100_000), (1, 6, "user", "> " + "word " * 100_000 + "\nyes"),
+            (1, 7, "user", "same"), (1, 7, "user", "same"), (1, 8, "user", "> same\nr"), (1, 8, "user", "> same\nr")]
+    found = run(spark, rows).collect()
+    assert len(found) == len(rows)
+    by = {}
+    for r in found:
+        by.setdefault((r["conv_id"], r["turn"]), []).append((r["text"].strip()[:4], r["parent_turn"], r["n_quotes"]))
+    assert by[1, 0] == by[1, 1] == by[1, 2] == by[1, 3] == [("", None, 0)]
+    assert by[None, 4] == [("y", None, 0)] and by[1, None] == [("z", None, 0)]
+    assert by[1, 6] == [("yes", 5, 1)] and by[1, 7] == [("same", None, 0)] * 2
+    assert by[1, 8] == [("r", 7, 1)] * 2  # one message of the tree, two rows
+    assert run(spark, []).count() == 0
+
+
+@pytest.mark.parametrize("messages", ["SELECT * FROM thread", oracle.QUOTED_MESSAGES.replace("conversations", "talk")])
+def test_against_sql(spark, messages):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE thread (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO thread VALUES (?, ?, ?, ?)", THREAD)
+    con.execute("CREATE VIEW talk AS SELECT * FROM '/root/testdata/sf0.001/conversations.parquet' WHERE conv_id < 100")
+    rows = [tuple(r) for r in con.execute(f"SELECT conv_id, turn, role, text FROM ({messages})").fetchall()]
+    want = con.execute(oracle.conversations(messages))
+    columns = [c[0] for c in want.description]
+    key = lambda r: (r["conv_id"], r["turn"])
+    assert sorted((r.asDict() for r in run(spark, rows).collect()), key=key) == sorted(
+        (dict(zip(columns, r, strict=True)) for r in want.fetchall()), key=key)
