@@ -97,7 +97,8 @@ def threshold(rows: DataFrame, budgets: DataFrame) -> DataFrame:
         )
         upto = Window.partitionBy("key").orderBy("next")  # at most 2**DIGIT rows a source
         counted = (
-            histogram.withColumn("sum", F.sum("words").over(upto)).join(room, ["key", "prefix"])
+            histogram.withColumn("sum", F.sum("words").over(upto))
+            .join(room.select("key", "room", "prefix", "taken"), ["key", "prefix"])
             .groupBy("key", "room", "prefix", "taken")
             .agg(F.min(F.when(F.col("taken") + F.col("sum") > F.col("room"), F.struct("next", "words", "sum", "n")))
                  .alias("over"), F.max("sum").alias("all"))
