@@ -62,6 +62,10 @@ TAG_VARIANTS = {
     "domain": ["domain"],
 }
 
+# Marks the place of a bare word while literals are read; no tag text holds it.
+BARE = "\x00"
+
+# Fixed value: how a runtime version begins.
 VERSION_RE = r"^(\d+)\.(\d+)"
 
 
@@ -127,11 +131,20 @@ def tags_text(tags: Column | str) -> Column:
 def parse_tags(text: Column | str) -> Column:
     """Tag text -> map; unparseable text gives an empty map.
 
-    Reads the JSON we write, and the legacy Python-literal text (single
-    quotes; ``None`` values are turned into JSON null first).
+    Reads the JSON we write as it is. Text that is not JSON with double quotes
+    is read as the legacy Python literal: single-quoted text, and the words
+    ``None``, ``True`` and ``False``, which are replaced only outside quotes
+    (a boolean's text stays as Python writes it).
     """
-    t = F.regexp_replace(col_of(text), r":\s*None\s*(?=[,}])", ": null")
-    parsed = F.from_json(t, "map<string,string>")
+    t = col_of(text)
+    strict = {"allowSingleQuotes": "false"}
+    quoted = r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")"""
+    literal = t
+    for word, value in (("None", "null"), ("True", '"True"'), ("False", '"False"')):
+        # a quoted text is matched first and put back as it is; only a bare word reaches the second group
+        literal = F.regexp_replace(literal, quoted + r"|\b" + word + r"\b", "$1" + BARE)
+        literal = F.replace(F.regexp_replace(literal, quoted + BARE, "$1"), F.lit(BARE), F.lit(value))
+    parsed = F.coalesce(F.from_json(t, "map<string,string>", strict), F.from_json(literal, "map<string,string>"))
     return F.coalesce(parsed, F.create_map().cast("map<string,string>"))
 
 
@@ -195,7 +208,8 @@ def recency_flag(end_time: Column, as_of: Column, months: int = 6) -> Column:
 
 def vote_label(n_langs: Column, top_lang: Column, top_count: Column, total: Column,
                pair: Column, flagged: Column) -> Column:
-    """Job language from per-language counts (marker excluded) and a flag."""
+    """Job language from per-language counts (marker excluded) and a flag.
+    The label texts are fixed values."""
     base = (
         F.when(n_langs == 0, F.lit("no_language_tasks"))
         .when(n_langs == 1, top_lang)

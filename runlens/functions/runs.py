@@ -39,20 +39,25 @@ ERROR_PROVIDERS = [
     ("UNITY_CATALOG", ["SCHEMA", "CATALOG", "TABLE"]),
 ]
 
+# Fixed value: characters of the short error field (the full text stays in
+# ``output_error`` and ``state_message``).
 SHORT_ERROR_CHARS = 240
+# Fixed value: what a refused get-output call of a multi-task run says.
 MULTI_TASK_REFUSAL = "multiple tasks is not supported"
 
 
-def present_kinds(obj: Column, kinds: list[str] = RUN_TASK_KINDS) -> Column:
-    """Array of the ``<kind>_task`` field names that are non-null in a struct.
+def present_kinds(obj: Column, kinds: list[str] = RUN_TASK_KINDS, keys: bool = True) -> Column:
+    """Names of the kind fields that a payload struct holds.
 
-    For struct-typed payloads a present-but-null key cannot be told from an
-    absent one; raw JSON text should use :func:`raw_keys` instead.
+    They are read from its ``payload_keys``, which landed readers fill, so a
+    kind with a null value counts; a payload without them (``keys`` False, or
+    null) gives the kinds whose fields are not null.
     """
-    return F.filter(
+    filled = F.filter(
         F.array(*[F.when(obj.getField(k).isNotNull(), F.lit(k)) for k in kinds]),
         lambda x: x.isNotNull(),
     )
+    return F.coalesce(obj.getField("payload_keys"), filled) if keys else filled
 
 
 def raw_keys(raw: Column | str) -> Column:

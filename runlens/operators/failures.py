@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import common as C
 from ..functions import runs as R
 from ..schemas import FAILURE_FIELDS
+from .joins import NO_KEY, latest
 
 NO_OUTPUT = "no output landed"
 NO_DETAILS = "no details landed"
@@ -40,14 +41,15 @@ def failed_runs(runs: DataFrame) -> DataFrame:
 
 def latest_records(runs: DataFrame) -> DataFrame:
     """One record per run id when a run was landed more than once (the one
-    with the latest end, then start; ties broken by the whole record).
+    with the latest end, then start)."""
+    return latest(runs, ["run_id"], [F.col("end_time").desc_nulls_last(), F.col("start_time").desc_nulls_last()])
 
-    Grouped by ``run_id``, so its hash partitioning is the one the enrichment
-    joins need: no extra exchange, and run ids are unique keys (no skew).
-    """
-    cols = ["end_time", "start_time"] + [c for c in runs.columns if c not in ("end_time", "start_time")]
-    best = runs.groupBy(F.col("run_id").alias("_rid")).agg(F.max(F.struct(*cols)).alias("_r"))
-    return best.select(*[F.col("_r").getField(c).alias(c) for c in runs.columns])
+
+def latest_answers(answers: DataFrame, keys: list[str]) -> DataFrame:
+    """One landed answer per key: the latest landing; where the landing time is
+    unknown or equal, an answer rather than a failed call."""
+    landed = [F.col("landed_at").desc_nulls_last()] if "landed_at" in answers.columns else []
+    return latest(answers, keys, [*landed, F.col("http_status").asc_nulls_last()])
 
 
 def runs_in_window(runs: DataFrame, start_ms: int | None, end_ms: int | None) -> DataFrame:
@@ -81,13 +83,14 @@ def _output_key(task_key: Column) -> Column:
 def enrich_runs(runs: DataFrame, outputs: DataFrame, details: DataFrame) -> DataFrame:
     """J1 + J2: each run with its run-level output and its details, plus the
     branch it takes and the text of a failed get-output call."""
-    out = outputs.where(_output_key(F.col("task_key")) == F.lit("")).select(
+    at_run = latest_answers(outputs.where(_output_key(F.col("task_key")) == F.lit("")).drop("task_key"), ["run_id"])
+    out = at_run.select(
         F.col("run_id"),
         F.col("http_status").alias("_out_status"),
         F.col("response_text").alias("_out_text"),
         F.col("body").alias("_out"),
     )
-    det = details.select(
+    det = latest_answers(details, ["run_id"]).select(
         F.col("run_id"),
         F.col("http_status").alias("_det_status"),
         F.col("response_text").alias("_det_text"),
@@ -150,12 +153,16 @@ def task_errors(enriched: DataFrame, outputs: DataFrame) -> DataFrame:
         F.when(tid.isNotNull(), tid).when(key.isNotNull(), F.col("parent_run_id")).alias("lookup_run_id"),
         F.when(tid.isNotNull(), F.lit("")).otherwise(key).alias("lookup_key"),
     )
-    outs = outputs.select(
-        F.col("run_id").alias("lookup_run_id"),
-        _output_key(F.col("task_key")).alias("lookup_key"),
-        F.col("http_status"), F.col("response_text"), F.col("body.error").alias("error"),
-    )
-    j = tasks.join(outs, ["lookup_run_id", "lookup_key"], "left")
+    landed_at = ["landed_at"] if "landed_at" in outputs.columns else []
+    outs = latest_answers(outputs.select(
+        F.col("run_id").alias("at_run"),
+        _output_key(F.col("task_key")).alias("at_key"),
+        F.col("http_status"), F.col("response_text"), F.col("body.error").alias("error"), *landed_at,
+    ), ["at_run", "at_key"]).drop(*landed_at)
+    # a task with neither id nor key looks up a key that no output has, spread by its run
+    tasks = tasks.withColumn("at_run", F.coalesce("lookup_run_id", "parent_run_id")).withColumn(
+        "at_key", F.coalesce("lookup_key", F.lit(NO_KEY)))
+    j = tasks.join(outs, ["at_run", "at_key"], "left")
     looked_up = F.col("lookup_run_id").isNotNull()
     failed = F.col("http_status") >= 400
     no_err = F.lit("no error field")
@@ -246,6 +253,12 @@ def _rows(e: DataFrame) -> DataFrame:
     o_run = [F.col("_o_run")]
     no_job = F.lit(-1).cast("bigint")
 
+    def has_keys(kind) -> bool:
+        return "payload_keys" in kind.names
+
+    def kinds(obj: Column, kind) -> Column:
+        return R.present_kinds(obj, keys=has_keys(kind))
+
     output_error = _pick(br, {
         "single": F.col("_out_error"),
         "multi": F.coalesce(F.col("_task_text"), F.col("_call_err")),
@@ -273,10 +286,10 @@ def _rows(e: DataFrame) -> DataFrame:
         "child_task_run_id": F.lit(None),
         "child_task_key": F.lit(None),
         "task_type": _pick(br, {
-            "single": R.infer_task_type(R.present_kinds(md), md.getField("task")),
+            "single": R.infer_task_type(kinds(md, s1.schema["_md"].dataType), md.getField("task")),
             "multi": F.lit("multi_task_run"),
             "fallback": F.lit(None),
-            "generic": F.when(F.col("_det_ok"), R.infer_task_type(R.present_kinds(det), det.getField("task"))),
+            "generic": F.when(F.col("_det_ok"), R.infer_task_type(kinds(det, s1.schema["_det"].dataType), det.getField("task"))),
         }),
         "job_start_datetime_iso": C.iso_utc(F.col("_start")),
         "job_end_datetime_iso": C.iso_utc(F.col("_end")),
@@ -333,11 +346,13 @@ def _rows(e: DataFrame) -> DataFrame:
                            F.when(is_multi, F.lit("multi_summary")).otherwise(br).alias("row_kind"),
                            F.col("run_start_time"))
 
+    tasks_type = e.schema["_det"].dataType["tasks"].dataType
+
     def child(t: Column) -> Column:
         over = {
             "child_task_run_id": _task_id(t),
             "child_task_key": t.getField("task_key"),
-            "task_type": R.infer_task_type(R.present_kinds(t), t.getField("task")),
+            "task_type": R.infer_task_type(R.present_kinds(t, keys=has_keys(tasks_type.elementType)), t.getField("task")),
         }
         fields = []
         for n in names:
@@ -345,7 +360,6 @@ def _rows(e: DataFrame) -> DataFrame:
             fields.append(v.cast(typed[n]).alias(n))
         return F.struct(*fields, F.lit("multi_task").alias("row_kind"), F.col("run_start_time"))
 
-    tasks_type = e.schema["_det"].dataType["tasks"].dataType
     no_tasks = F.array().cast(tasks_type)
     tasks = F.when(is_multi, F.coalesce(det.getField("tasks"), no_tasks)).otherwise(no_tasks)
     rows = F.concat(F.array(head_struct), F.transform(tasks, child))
@@ -391,12 +405,19 @@ def rows_of_kind(rows: DataFrame, kind: str) -> DataFrame:
     return rows.where(F.col("row_kind") == F.lit(kind)).drop("row_kind", "run_start_time")
 
 
-def debug_rows(runs: DataFrame, *, host: str | None, ingest_iso: str) -> DataFrame:
-    """K6: one diagnostic row per run: ids, state JSON cut to 4000, host."""
+# Fixed value: characters of the state text that the reference stores.
+DEBUG_STATE_CHARS = 4000
+
+
+def debug_rows(runs: DataFrame, *, host: str | None, ingest_iso: str,
+               max_chars: int | None = DEBUG_STATE_CHARS) -> DataFrame:
+    """K6: one diagnostic row per run: ids, the whole state object as landed
+    (cut to ``max_chars``; None keeps all of it), host."""
+    state = F.coalesce("state_raw", F.to_json("state")) if "state_raw" in runs.columns else F.to_json("state")
     return runs.select(
         F.col("job_id").cast("bigint").alias("job_id"),
         F.col("run_id").cast("bigint").alias("run_id"),
-        F.substring(F.to_json(F.col("state")), 1, 4000).alias("state_json"),
+        (state if max_chars is None else F.substring(state, 1, max_chars)).alias("state_json"),
         F.col("run_name"), F.col("run_page_url"),
         F.lit(host).cast("string").alias("workspace_host"),
         F.lit(ingest_iso).alias("ingest_iso"),
@@ -404,8 +425,9 @@ def debug_rows(runs: DataFrame, *, host: str | None, ingest_iso: str) -> DataFra
 
 
 def event_key(df: DataFrame, kind: str = "event") -> Column:
-    """T3 keys: 'event' collapses repeats of a run/task row; 'attempt' links
-    retries to their first attempt."""
+    """T3 keys of single rows: 'event' is the run's or task's own id, 'attempt'
+    links retries to their first attempt. Task rows without an id share the
+    'event' key of their run; :func:`dedup_runs` keeps them all."""
     if kind == "attempt":
         return F.coalesce(F.col("original_attempt_run_id"), F.col("run_id"))
     return F.coalesce(F.col("child_task_run_id"), F.col("run_id"))
@@ -423,6 +445,14 @@ def dedup_latest(df: DataFrame, key: Column, order_col: str = "row_added_at") ->
     return best.select(*[F.col("_r").getField(c).alias(c) for c in df.columns])
 
 
+def dedup_runs(df: DataFrame, order_col: str = "row_added_at") -> DataFrame:
+    """T3 without loss: of each run the rows of its latest ingest, all of them
+    (summary, tasks with and without an id). One aggregate of narrow rows and
+    a join on the run."""
+    newest = df.groupBy("run_id").agg(F.max(order_col).alias(order_col))
+    return df.join(newest, ["run_id", order_col], "left_semi")
+
+
 def new_only(df: DataFrame, existing: DataFrame, key: Column) -> DataFrame:
     """Rows whose key is not yet in ``existing`` (left anti join)."""
     left = df.withColumn("_key", key)

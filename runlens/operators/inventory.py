@@ -6,9 +6,11 @@ runtime version. Here those calls are joins:
 
     jobs --explode_outer(tasks)--> task rows                     (G3, P10)
          shared cluster version: filter over the job's own list  (J5, no join)
-         ⟕ clusters on existing_cluster_id                       (J6, checked broadcast)
-         ⟕ workspace_objects on notebook_path                    (J7, checked broadcast)
-         ⟕ latest run per job                                    (J8 + T1, partial agg)
+         ⟕ clusters on existing_cluster_id                       (J6, null keys spread)
+         ⟕ workspace_objects on notebook_path                    (J7, null keys spread)
+
+The latest run (J8 + T1, partial aggregation) joins the jobs before their
+tasks are exploded: one row per job.
 """
 
 from __future__ import annotations
@@ -18,8 +20,9 @@ from pyspark.sql import functions as F
 
 from ..functions import common as C
 from ..functions import jobs as J
-from .joins import broadcast_if_small, unique_lookup
+from .joins import spread_key, unique_lookup
 
+# The columns of the inventory.
 INVENTORY_COLUMNS = [
     "job_id", "job_name", "job_tags", "task_key", "task_type", "cluster_type",
     "dbr_version", "notebook_path", "notebook_name", "notebook_language",
@@ -55,8 +58,9 @@ def job_inventory(jobs: DataFrame, clusters: DataFrame, workspace_objects: DataF
     """P10: 13 inventory columns; a job without tasks gives one row whose
     task fields are null. ``job_tags`` stays a map (see :func:`as_table`)."""
     tags = F.col("settings.tags")
-    rows = jobs.select(
-        "job_id",
+    ended = ["last_run_duration_seconds", "last_run_status", "last_run_end_time"]
+    rows = jobs.join(last_runs(job_runs), "job_id", "left").select(
+        "job_id", *ended,
         F.col("settings.name").alias("job_name"),
         F.when(F.size(tags) > 0, tags).alias("job_tags"),
         F.col("settings.job_clusters").alias("_jcs"),
@@ -67,7 +71,7 @@ def job_inventory(jobs: DataFrame, clusters: DataFrame, workspace_objects: DataF
     ttype = F.when(has_task, J.task_type(t))
     nb_path = t.getField("notebook_task").getField("notebook_path")
     rows = rows.select(
-        "job_id", "job_name", "job_tags",
+        "job_id", "job_name", "job_tags", *ended,
         t.getField("task_key").alias("task_key"),
         ttype.alias("task_type"),
         F.when(has_task, J.cluster_type(t, ttype)).alias("cluster_type"),
@@ -77,14 +81,12 @@ def job_inventory(jobs: DataFrame, clusters: DataFrame, workspace_objects: DataF
         C.str_truthy(t.getField("existing_cluster_id")).isNotNull().alias("_uses_existing"),
         F.when(ttype == "notebook", nb_path).alias("notebook_path"),
     )
-    cl = broadcast_if_small(unique_lookup(clusters, "cluster_id", "spark_version"))
-    wo = broadcast_if_small(unique_lookup(workspace_objects, "path", "language"))
-    runs = last_runs(job_runs)
     path = F.col("notebook_path")
     out = (
-        rows.join(cl, rows["_cluster_id"] == cl["cluster_id"], "left")
-        .join(wo, path == wo["path"], "left")
-        .join(runs, "job_id", "left")
+        rows.withColumns({"cluster_id": spread_key(F.col("_cluster_id"), "job_id", "task_key"),
+                          "path": spread_key(path, "job_id", "task_key")})
+        .join(unique_lookup(clusters, "cluster_id", "spark_version"), "cluster_id", "left")
+        .join(unique_lookup(workspace_objects, "path", "language"), "path", "left")
     )
     return out.select(
         "job_id", "job_name", "job_tags", "task_key", "task_type", "cluster_type",
@@ -92,7 +94,7 @@ def job_inventory(jobs: DataFrame, clusters: DataFrame, workspace_objects: DataF
         "notebook_path",
         J.notebook_name(path).alias("notebook_name"),
         F.when(path != "", F.col("language")).alias("notebook_language"),
-        "last_run_duration_seconds", "last_run_status", "last_run_end_time",
+        *ended,
     )
 
 

@@ -1,37 +1,37 @@
-"""Join helpers: lookups against dimension tables with a checked broadcast."""
+"""Join helpers for lookups.
+
+No broadcast is hinted: ``spark.sql.autoBroadcastJoinThreshold`` and AQE
+decide from sizes, at plan time and again from the real shuffle sizes.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest estimated size of a lookup side that is hinted for broadcast.
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# A character no key of an API holds: keys that begin with it match nothing.
+NO_KEY = "\x00"
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of a plan (an upper bound for file scans and
-    the operators over them), or None when it is not available."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no estimate, no hint
-        return None
-    # py4j hands a Scala BigInt over as a Python int; older bridges as an object
-    return size if isinstance(size, int) else int(size.toString())
+def unique_lookup(df: DataFrame, key: str, value: str) -> DataFrame:
+    """One value per key (the greatest when a key was landed twice), so a
+    lookup join never multiplies rows."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the estimate is known and under ``limit``.
+def spread_key(key: Column, *row: Column | str) -> Column:
+    """A text lookup key whose nulls are spread over the partitions of a shuffle
+    join: a null becomes a text that matches nothing and differs by ``row``."""
+    return F.coalesce(key, F.concat(F.lit(NO_KEY), F.xxhash64(*row).cast("string")))
 
-    Beyond the limit the join stays a shuffle join (AQE may still switch it
-    to a broadcast from the real shuffle sizes), so a lookup table that grows
-    with the data never lands whole on every executor by assumption.
-    """
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
 
+def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """One row per key: the first in ``order``, ties settled by a hash of the row.
 
-def unique_lookup(df: DataFrame, key: str, value: str) -> DataFrame:
-    """One value per key (the greatest when a key was landed twice), so a
-    lookup join never multiplies rows."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
+    A rank with a limit of one: Spark applies the limit in every partition
+    before the shuffle, and a join on the first keys reuses the exchange and
+    the sort. Only one row per task is held, whatever its width.
+    """
+    others = [c for c in df.columns if c not in keys]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*others)))
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

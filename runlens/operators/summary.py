@@ -7,10 +7,12 @@ on the driver. Here it is one window and two grouped aggregations, no join:
     group by (job keys, language)                -> counters, versions, vote inputs
     group by job keys                            -> merge + language vote
 
-Aggregates are partial (map-side) first, so a job owning a large share of
-the rows is collapsed before the shuffle; the window is partitioned by
-(job, task key), which spreads a hot job over its keys. The only collected
-lists are runtime versions and language names, small closed vocabularies.
+Over a stored inventory the aggregates are partial (map-side) first, so a job
+owning a large share of the rows is collapsed before the shuffle, and the
+window is dealt by (job, task key). Where the input is already partitioned by
+job (the inventory computed in the same plan), Spark keeps that partitioning:
+a job's rows then meet in one task. The only collected lists are runtime
+versions and language names, small closed vocabularies.
 """
 
 from __future__ import annotations
@@ -48,12 +50,17 @@ def summary_columns() -> list[str]:
     return fixed + pivot_names()
 
 
-def job_summary(inventory: DataFrame, as_of) -> DataFrame:
+def job_summary(inventory: DataFrame, as_of, only_recent: bool = False) -> DataFrame:
     """P11 over an inventory in table form (``job_tags`` as text).
 
     ``as_of`` (a timestamp Column or literal) fixes "now" for the six-month
-    recency flag, so results are repeatable.
+    recency flag, so results are repeatable. ``only_recent`` keeps the jobs
+    that flag marks 'Y'; a job's end time is the same on all its rows, so the
+    others are dropped before any task is aggregated.
     """
+    as_of_col = as_of if not isinstance(as_of, str) else F.lit(as_of).cast("timestamp")
+    if only_recent:
+        inventory = inventory.where(J.recency_flag(F.col("last_run_end_time"), as_of_col) == F.lit("Y"))
     lang = J.task_language(F.col("task_type"), F.col("notebook_language"))
     version = F.col("dbr_version")
     vkey = J.version_key(version)
@@ -70,9 +77,8 @@ def job_summary(inventory: DataFrame, as_of) -> DataFrame:
         lang.alias("lang"),
     )
     # Each distinct (job, task key) is marked once, by a window partitioned
-    # on that pair: the distinct count becomes a plain sum, so no job's keys
-    # are ever gathered in one place, and a hot job spreads over as many
-    # window partitions as it has keys.
+    # on that pair: the distinct count becomes a plain sum, so no set of a
+    # job's keys is built.
     first = F.row_number().over(
         Window.partitionBy(*gk, "task_key").orderBy(F.col("lang").asc_nulls_first(),
                                                     F.col("dbr_version").asc_nulls_first())
@@ -112,7 +118,6 @@ def job_summary(inventory: DataFrame, as_of) -> DataFrame:
         F.when(~F.col("_gname_null"), F.col("_gname")).alias("job_name"),
         F.when(~F.col("_gtags_null"), F.col("_gtags")).alias("job_tags"),
     )
-    as_of_col = as_of if not isinstance(as_of, str) else F.lit(as_of).cast("timestamp")
     # Parsed tags and name issues are computed once here and read by name
     # below (each tag column and the flag would otherwise re-evaluate them).
     staged = level2.select(

@@ -15,11 +15,10 @@ from ..functions import jobs as J
 from ..functions import runs as R
 from ..operators import failures as FL
 from ..operators.masking import masked_view
-from ..schemas import FAILURE_FIELDS
 from ..sources import fixtures as X
 from ..streaming.watermark import watermark_of
 from . import oracle as O
-from .registry import failure_rows, inventory, register
+from .registry import inventory, register
 
 _RUNS_WITH = f"WITH {O.RUNS_CTE}\n"
 _EV = "(SELECT *, CAST(props->>'$.k' AS BIGINT) AS k FROM events)"
@@ -29,6 +28,20 @@ def _landed(spark, d):
     return X.run_records(spark, d), X.run_outputs(spark, d), X.run_details(spark, d)
 
 
+@register("relanded_answers", O.failure_log_sql())
+def q_relanded_answers(spark: SparkSession, d: str) -> DataFrame:
+    """The failure log where every answer was landed twice, a failed call first: the log is the same."""
+    runs, outputs, details = _landed(spark, d)
+
+    def twice(answers: DataFrame) -> DataFrame:
+        first = answers.withColumns({
+            "landed_at": F.lit(1).cast("long"), "http_status": F.lit(500), "response_text": F.lit("retry"),
+            "body": F.lit(None).cast(answers.schema["body"].dataType)})
+        return first.unionByName(answers.withColumn("landed_at", F.lit(2).cast("long")))
+
+    return FL.failure_log(runs.unionByName(runs), twice(outputs), twice(details), ingest_iso=X.INGEST_ISO)
+
+
 # --------------------------------------------------------------- filters F1 F2 F4
 
 @register("runs_in_window", _RUNS_WITH + "SELECT run_id, job_id, start_time, result_state FROM runs "
@@ -50,7 +63,7 @@ def q_failed_runs(spark: SparkSession, d: str) -> DataFrame:
     "SELECT run_id, call_err AS output_error, branch FROM e WHERE branch IN ('multi', 'fallback')"))
 def q_multi_task_runs(spark: SparkSession, d: str) -> DataFrame:
     r, o, de = _landed(spark, d)
-    e = FL.enrich_runs(FL.failed_runs(r), o, de)
+    e = FL.enrich_runs(FL.latest_records(FL.failed_runs(r)), o, de)
     return e.where(F.col("_branch").isin("multi", "fallback")).select(
         "run_id", F.col("_call_err").alias("output_error"), F.col("_branch").alias("branch"))
 
@@ -61,13 +74,13 @@ def q_multi_task_runs(spark: SparkSession, d: str) -> DataFrame:
     "SELECT parent_run_id, pos, task_key, task_run_id, label, output_run_id, http_status, task_error_text FROM te2"))
 def q_task_errors(spark: SparkSession, d: str) -> DataFrame:
     r, o, de = _landed(spark, d)
-    return FL.task_errors(FL.enrich_runs(FL.failed_runs(r), o, de), o)
+    return FL.task_errors(FL.enrich_runs(FL.latest_records(FL.failed_runs(r)), o, de), o)
 
 
 @register("task_error_text", O.failure_sql("SELECT run_id, error_text FROM agg"))
 def q_task_error_text(spark: SparkSession, d: str) -> DataFrame:
     r, o, de = _landed(spark, d)
-    return FL.task_error_text(FL.task_errors(FL.enrich_runs(FL.failed_runs(r), o, de), o))
+    return FL.task_error_text(FL.task_errors(FL.enrich_runs(FL.latest_records(FL.failed_runs(r)), o, de), o))
 
 
 # ------------------------------------------------------------- T3 K6 K13 A2
@@ -81,20 +94,16 @@ def _two_ingests(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @register("dedup_latest", O.dedup_latest_sql())
 def q_dedup_latest(spark: SparkSession, d: str) -> DataFrame:
-    # Rows of a run depend on that run alone, so ingest A (runs started in the
-    # window) is a subset of ingest B (all runs): build the rows once and let a
-    # generator emit each row once per ingest that covers it.
-    lo, hi = (C.to_epoch_ms_strict(x) for x in X.WINDOW)
-    rows = failure_rows(spark, d)
-    copies = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_ingest"))
-    in_a = (F.col("run_start_time") >= lo) & (F.col("run_start_time") < hi)
-    both = copies.where((F.col("_ingest") == 1) | in_a).select(
-        *[F.col(n) for n, _ in FAILURE_FIELDS],
-        F.when(F.col("_ingest") == 0, F.lit(X.INGEST_ISO)).otherwise(F.lit(X.REINGEST_ISO)).alias("row_added_at"),
-    )
+    """The key of single rows, under which task rows without an id fold into their run's row."""
+    both = DataFrame.unionByName(*_two_ingests(spark, d))
     return FL.dedup_latest(both, FL.event_key(both))
 
 
+@register("dedup_rows", O.dedup_rows_sql())
+def q_dedup_rows(spark: SparkSession, d: str) -> DataFrame:
+    return FL.dedup_runs(DataFrame.unionByName(*_two_ingests(spark, d)))
+
+
 @register("new_only", O.new_only_sql())
 def q_new_only(spark: SparkSession, d: str) -> DataFrame:
     a, b = _two_ingests(spark, d)

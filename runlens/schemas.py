@@ -32,39 +32,40 @@ def _st(*fields: tuple[str, object]) -> StructType:
 
 RUN_STATE = _st(("life_cycle_state", S), ("result_state", S), ("state_message", S))
 
-RUN = _st(
+_RUN_FIELDS = (
     ("run_id", L), ("job_id", L), ("run_name", S), ("run_page_url", S),
-    ("start_time", L), ("end_time", L), ("state", RUN_STATE),
-    ("attempt_number", S), ("run_attempt", S), ("original_attempt_run_id", S),
+    ("start_time", L), ("end_time", L), ("attempt_number", S), ("run_attempt", S), ("original_attempt_run_id", S),
 )
-
-RUN_PAGE = _st(("runs", ArrayType(RUN)), ("has_more", B), ("next_page_token", S))
+# A page's entries keep the state object as text; the reader adds its typed fields.
+RUN_PAGE = _st(("runs", ArrayType(_st(*_RUN_FIELDS, ("state", S)))), ("has_more", B), ("next_page_token", S))
+RUN = _st(*_RUN_FIELDS, ("state_raw", S), ("state", RUN_STATE))
 
 TERMINATION = _st(("code", S), ("type", S), ("reason", S))
 OUTPUT_STATE = _st(
     ("life_cycle_state", S), ("state", S), ("result_state", S), ("state_message", S),
     ("termination_details", TERMINATION),
 )
-_KIND_RAW = [(k, S) for k in RUN_TASK_KINDS]
+# Kind fields as text, and the payload's own keys: a kind that is there with a null value counts as present.
+_KIND_RAW = [(k, S) for k in RUN_TASK_KINDS] + [("payload_keys", ArrayType(S))]
 
 OUTPUT_METADATA = _st(
     ("job_id", L), ("job_name", S), ("run_name", S), ("run_page_url", S),
     ("start_time", L), ("end_time", L), ("attempt_number", S), ("task", S),
     ("state", OUTPUT_STATE), ("status", OUTPUT_STATE), *_KIND_RAW,
 )
-RUN_OUTPUT = _st(
-    ("run_id", L), ("task_key", S), ("http_status", IntegerType()), ("response_text", S),
-    ("body", _st(("error", S), ("metadata", OUTPUT_METADATA))),
-)
+# `landed_at` (epoch ms, optional) tells later landings of one answer from earlier ones.
+_ANSWER = (("http_status", IntegerType()), ("response_text", S), ("landed_at", L))
+OUTPUT_BODY = _st(("error", S), ("metadata", OUTPUT_METADATA))
+RUN_OUTPUT = _st(("run_id", L), ("task_key", S), *_ANSWER, ("body", OUTPUT_BODY))
+RUN_OUTPUT_LANDED = _st(("run_id", L), ("task_key", S), *_ANSWER, ("body", S))
 
 DETAIL_TASK = _st(("task_key", S), ("run_id", L), ("task_run_id", L), ("task", S), *_KIND_RAW)
-RUN_DETAILS = _st(
-    ("run_id", L), ("http_status", IntegerType()), ("response_text", S),
-    ("body", _st(
-        ("job_id", L), ("job_name", S), ("attempt_number", S), ("original_attempt_run_id", S),
-        ("task", S), *_KIND_RAW, ("tasks", ArrayType(DETAIL_TASK)),
-    )),
-)
+_DETAIL_FIELDS = (("job_id", L), ("job_name", S), ("attempt_number", S), ("original_attempt_run_id", S), ("task", S),
+                  *_KIND_RAW)
+# The tasks of a landed body stay text, one element each, until their own keys are read.
+DETAIL_BODY_LANDED = _st(*_DETAIL_FIELDS, ("tasks", ArrayType(S)))
+RUN_DETAILS = _st(("run_id", L), *_ANSWER, ("body", _st(*_DETAIL_FIELDS, ("tasks", ArrayType(DETAIL_TASK)))))
+RUN_DETAILS_LANDED = _st(("run_id", L), *_ANSWER, ("body", S))
 
 SPARK_VERSION = _st(("spark_version", S))
 JOB_TASK = _st(

@@ -8,8 +8,6 @@ session's settings here.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED = {
@@ -72,9 +70,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     loss of executors, unlike a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def scratch_dir(prefix: str = "runlens-") -> str:
-    import tempfile
-
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("RUNLENS_SCRATCH", "/tmp"))

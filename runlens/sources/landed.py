@@ -14,19 +14,25 @@ from pyspark.sql import functions as F
 from ..schemas import (
     CLUSTERS,
     CROSSWALK,
+    DETAIL_BODY_LANDED,
+    DETAIL_TASK,
     JOB,
     JOB_COST,
     JOB_RUNS,
-    RUN_DETAILS,
-    RUN_OUTPUT,
+    OUTPUT_BODY,
+    RUN_DETAILS_LANDED,
+    RUN_OUTPUT_LANDED,
     RUN_PAGE,
+    RUN_STATE,
     WORKSPACE_OBJECTS,
 )
 
 
 def runs_of_pages(pages: DataFrame) -> DataFrame:
-    """G1: one row per run of every page (page order is irrelevant)."""
-    return pages.select(F.explode("runs").alias("r")).select("r.*")
+    """G1: one row per run of every page (page order is irrelevant), the state
+    object whole as text (``state_raw``) and its typed fields."""
+    runs = pages.select(F.explode("runs").alias("r")).select("r.*").withColumnRenamed("state", "state_raw")
+    return runs.withColumn("state", F.from_json("state_raw", RUN_STATE))
 
 
 def read_run_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -35,13 +41,21 @@ def read_run_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run_outputs(spark: SparkSession, path: str) -> DataFrame:
-    """Get-output answers keyed (run_id, task_key)."""
-    return spark.read.schema(RUN_OUTPUT).json(path)
+    """Get-output answers keyed (run_id, task_key). The metadata's own keys
+    are read from its text, so kinds with a null value are seen."""
+    landed = spark.read.schema(RUN_OUTPUT_LANDED).json(path)
+    keys = F.json_object_keys(F.get_json_object("body", "$.metadata"))
+    return landed.withColumn("body", F.from_json("body", OUTPUT_BODY).withField("metadata.payload_keys", keys))
 
 
 def read_run_details(spark: SparkSession, path: str) -> DataFrame:
-    """S3: runs/get answers keyed run_id (tasks nested)."""
-    return spark.read.schema(RUN_DETAILS).json(path)
+    """S3: runs/get answers keyed run_id (tasks nested), with the keys of the
+    body and of every task."""
+    landed = spark.read.schema(RUN_DETAILS_LANDED).json(path)
+    tasks = F.transform("_body.tasks", lambda t: F.from_json(t, DETAIL_TASK).withField(
+        "payload_keys", F.json_object_keys(t)))
+    body = (F.col("_body").withField("payload_keys", F.json_object_keys("body")).withField("tasks", tasks))
+    return landed.withColumn("_body", F.from_json("body", DETAIL_BODY_LANDED)).withColumn("body", body).drop("_body")
 
 
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:

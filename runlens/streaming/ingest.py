@@ -1,15 +1,17 @@
 """Incremental failure-log ingest: scheduled batch (R1-R3) and stream.
 
-Batch: resolve the window from the watermark, build the log for runs that
-started in it, drop rows already in the log (anti join on the event key),
-append by name, then persist the new watermark (only after the append).
+The log is partitioned by the date its runs started. Batch: resolve the
+window from the watermark, build the log for runs that started in it, and
+replace all rows of these runs together (an upsert by run, which rewrites the
+touched dates only), then persist the new watermark.
+
+So a run that is logged before its output has landed ("no output landed") is
+corrected by a later ingest whose window, with its lookback, still covers it.
 
 Stream: landed run pages are a file source; each micro-batch is enriched
-with the outputs and details landed so far and appended the same way. The
-stream's checkpoint, kept in the shared checkpoint folder, is the
-high-water mark. Duplicates are removed with the anti join, not
-``dropDuplicatesWithinWatermark``: a failure that lands late (after the
-event-time watermark passed) must still be kept.
+with the outputs and details landed so far and upserted the same way, along
+with the runs of earlier pages that still wait for their output. The stream's
+checkpoint, kept in the shared checkpoint folder, is the high-water mark.
 """
 
 from __future__ import annotations
@@ -18,36 +20,65 @@ from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import failures as FL
-from ..schemas import FAILURE_LOG_FIELDS, RUN_PAGE
-from ..session import checkpoint_dir
-from ..sinks.tables import append_by_name, ensure_table, table_exists
-from ..sources.landed import runs_of_pages
-from .watermark import resolve_window, write_watermark
+from ..schemas import FAILURE_FIELDS, FAILURE_LOG_FIELDS, RUN_PAGE
+from ..session import checkpoint_dir, cut_lineage
+from ..sinks.tables import align_to, ensure_table, table_exists
+from ..sources.landed import read_run_pages, runs_of_pages
+from .watermark import DEFAULT_LOOKBACK, resolve_window, write_watermark
+
+
+RUN_DATE = "run_date"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def dated_log(runs: DataFrame, outputs: DataFrame, details: DataFrame, *, ingest_iso: str,
+              window: tuple[int | None, int | None] | None = None) -> DataFrame:
+    """The failure log with the date its runs started, the log table's partition."""
+    rows = FL.failure_rows(runs, outputs, details, window=window)
+    return rows.select(*[F.col(n).cast(t).alias(n) for n, t in FAILURE_FIELDS], F.lit(ingest_iso).alias("row_added_at"),
+                       F.to_date(F.timestamp_millis("run_start_time")).alias(RUN_DATE))
+
 
+def upsert_runs(log: DataFrame, log_table: str) -> None:
+    """Replace the rows of the runs in ``log``, all rows of a run together.
 
-def _new_rows(log: DataFrame, spark: SparkSession, log_table: str) -> DataFrame:
-    if table_exists(spark, log_table):
-        spark.catalog.refreshTable(log_table)
-        existing = spark.table(log_table)
-        return FL.new_only(log, existing, FL.event_key(existing))
-    return log
+    Only the partitions of the dates in ``log`` are read (a run's start does
+    not change, so its earlier rows are there) and written anew; dynamic
+    overwrite swaps them in after the job has succeeded.
+    """
+    spark = log.sparkSession
+    ensure_table(spark, log_table, [*FAILURE_LOG_FIELDS, (RUN_DATE, "date")], partition_by=[RUN_DATE])
+    spark.catalog.refreshTable(log_table)
+    fresh = cut_lineage(log)
+    days = [r[0] for r in fresh.select(RUN_DATE).distinct().collect()]  # the days of one window
+    if not days:
+        return
+    there = spark.table(log_table).where(F.col(RUN_DATE).isin([d for d in days if d]) | (
+        F.col(RUN_DATE).isNull() if None in days else F.lit(False)))
+    kept = there.join(fresh.select("run_id").distinct(), "run_id", "left_anti")
+    merged = align_to(kept.unionByName(fresh), spark.table(log_table).schema)
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")  # insertInto takes the mode from the session alone
+    try:
+        merged.write.insertInto(log_table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def ingest_batch(spark: SparkSession, runs: DataFrame, outputs: DataFrame, details: DataFrame, *,
                  log_table: str, state_table: str | None = None, start: str | None = None,
                  end: str | None = None, now: datetime | None = None,
-                 lookback: timedelta = timedelta(0), ingest_iso: str | None = None) -> int:
+                 lookback: timedelta = DEFAULT_LOOKBACK, ingest_iso: str | None = None) -> int:
     """One scheduled run. Returns the window end (epoch ms) that was stored."""
     now = now or datetime.now(timezone.utc)
     w = resolve_window(spark, start=start, end=end, state_table=state_table, log_table=log_table,
                        now=now, lookback=lookback)
     ingest_iso = ingest_iso or now.isoformat()
-    log = FL.failure_log(runs, outputs, details, ingest_iso=ingest_iso, window=(w.start_ms, w.end_ms))
-    ensure_table(spark, log_table, FAILURE_LOG_FIELDS)
-    append_by_name(_new_rows(log, spark, log_table), log_table)
+    upsert_runs(dated_log(runs, outputs, details, ingest_iso=ingest_iso, window=(w.start_ms, w.end_ms)), log_table)
     if state_table:
         write_watermark(spark, state_table, w.end_iso, now.isoformat())
     return w.end_ms
@@ -55,16 +86,25 @@ def ingest_batch(spark: SparkSession, runs: DataFrame, outputs: DataFrame, detai
 
 def failure_batch_writer(outputs: Callable[[SparkSession], DataFrame],
                          details: Callable[[SparkSession], DataFrame], log_table: str,
-                         ingest_iso: Callable[[], str] | None = None):
-    """``foreachBatch`` body: enrich a micro-batch of run records and append
-    the new rows. Lookups are re-read through the batch's own session so
-    outputs landed since the last trigger are seen."""
+                         ingest_iso: Callable[[], str] | None = None,
+                         landed_runs: Callable[[SparkSession], DataFrame] | None = None,
+                         wait: timedelta = DEFAULT_LOOKBACK):
+    """``foreachBatch`` body: enrich a micro-batch of run records and upsert
+    their rows. Lookups are re-read through the batch's own session so
+    outputs landed since the last trigger are seen. Runs that were logged
+    without an output, and started within ``wait`` before the batch's first
+    run, are taken from ``landed_runs`` and logged anew."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         stamp = ingest_iso() if ingest_iso else datetime.now(timezone.utc).isoformat()
-        log = FL.failure_log(batch, outputs(spark), details(spark), ingest_iso=stamp)
-        ensure_table(spark, log_table, FAILURE_LOG_FIELDS)
-        append_by_name(_new_rows(log, spark, log_table), log_table)
+        runs = batch
+        if landed_runs and table_exists(spark, log_table):
+            first = batch.agg(F.min("start_time")).first()[0]
+            since = F.to_date(F.timestamp_millis(F.lit(first) - wait // timedelta(milliseconds=1)))
+            waiting = spark.table(log_table).where((F.col(RUN_DATE) >= since) & F.col("output_error").endswith(FL.NO_OUTPUT))
+            known = landed_runs(spark).join(waiting.select("run_id").distinct(), "run_id", "left_semi")
+            runs = batch.unionByName(known)
+        upsert_runs(dated_log(runs, outputs(spark), details(spark), ingest_iso=stamp), log_table)
     return write
 
 
@@ -87,15 +127,8 @@ def start_failure_stream(spark: SparkSession, pages_dir: str, outputs: Callable[
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     pages = reader.json(pages_dir)
     runs = FL.failed_runs(runs_of_pages(pages))
-    w = runs.writeStream.foreachBatch(failure_batch_writer(outputs, details, log_table, ingest_iso)).option(
+    w = runs.writeStream.foreachBatch(failure_batch_writer(
+        outputs, details, log_table, ingest_iso, landed_runs=lambda s: read_run_pages(s, pages_dir))).option(
         "checkpointLocation", location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
-
-
-def refresh(spark: SparkSession, table: str) -> None:
-    if table_exists(spark, table):
-        spark.catalog.refreshTable(table)
-
-
-__all__ = ["ingest_batch", "start_failure_stream", "failure_batch_writer", "refresh"]

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.common import iso_utc, to_epoch_ms, to_epoch_ms_strict
 
 STATE_ID = "main"
-DEFAULT_LOOKBACK = timedelta(hours=24)
+DEFAULT_WINDOW = timedelta(hours=24)
+# How far before the watermark an ingest looks again by default.
+DEFAULT_LOOKBACK = timedelta(days=2)
 
 
 def watermark_of(df: DataFrame, column: str) -> DataFrame:
@@ -26,10 +28,11 @@ def _first_value(df: DataFrame) -> int | None:
     return None if row is None else row["watermark_ms"]
 
 
-def read_watermark(spark: SparkSession, state_table: str | None, log_table: str | None) -> int | None:
-    """R2: last covered window end from the state table, else the latest
-    window end recorded in the log (column ``window_end_iso`` when present),
-    else the latest run start in the log; None when nothing is known.
+def read_watermark(spark: SparkSession, state_table: str | None, log_table: str | None,
+                   state_id: str = STATE_ID) -> int | None:
+    """R2: last covered window end of ``state_id`` in the state table (the row
+    written last), else the latest run start in the log; None when nothing is
+    known.
 
     The reference falls back to the ingest clock of the log, which skips
     runs that started between a window's end and its ingest (deliberate
@@ -37,16 +40,13 @@ def read_watermark(spark: SparkSession, state_table: str | None, log_table: str
     """
     cat = spark.catalog
     if state_table and cat.tableExists(state_table):
-        t = spark.table(state_table)
-        if "last_run_iso" in t.columns:
-            v = _first_value(watermark_of(t, "last_run_iso"))
-            if v is not None:
-                return v
+        rows = spark.table(state_table).where(F.col("id") == F.lit(state_id))
+        last = F.max_by("last_run_iso", F.struct("updated_at", to_epoch_ms("last_run_iso")))
+        v = _first_value(rows.agg(to_epoch_ms(last).alias("watermark_ms")))
+        if v is not None:
+            return v
     if log_table and cat.tableExists(log_table):
-        t = spark.table(log_table)
-        col = "window_end_iso" if "window_end_iso" in t.columns else "job_start_datetime_iso"
-        if col in t.columns:
-            return _first_value(watermark_of(t, col))
+        return _first_value(watermark_of(spark.table(log_table), "job_start_datetime_iso"))
     return None
 
 
@@ -62,12 +62,13 @@ class Window:
 
 def resolve_window(spark: SparkSession, *, start: str | None = None, end: str | None = None,
                    state_table: str | None = None, log_table: str | None = None,
-                   now: datetime | None = None, lookback: timedelta = timedelta(0)) -> Window:
+                   now: datetime | None = None, lookback: timedelta = DEFAULT_LOOKBACK) -> Window:
     """Explicit start, else the stored watermark, else end - 24 h.
 
-    ``lookback`` re-reads starts before the watermark so runs that failed
-    after their window was collected are caught (deduplicated downstream by
-    an anti join). F3: an end before the start raises.
+    ``lookback`` re-reads starts before the watermark, so that runs which
+    failed, or whose answers landed, after their window was collected are
+    caught (their rows are replaced downstream). It does not move an explicit
+    start. F3: an end before the start raises.
     """
     now = now or datetime.now(timezone.utc)
     end_ms = to_epoch_ms_strict(end) if end else int(now.timestamp() * 1000)
@@ -75,15 +76,17 @@ def resolve_window(spark: SparkSession, *, start: str | None = None, end: str |
         start_ms = to_epoch_ms_strict(start)
     else:
         wm = read_watermark(spark, state_table, log_table)
-        start_ms = wm if wm is not None else end_ms - int(DEFAULT_LOOKBACK.total_seconds() * 1000)
-    start_ms -= int(lookback.total_seconds() * 1000)
+        start_ms = wm - lookback // timedelta(milliseconds=1) if wm is not None else (
+            end_ms - DEFAULT_WINDOW // timedelta(milliseconds=1))
     if end_ms < start_ms:
         raise ValueError("window end must not be before its start")
     return Window(start_ms, end_ms)
 
 
-def write_watermark(spark: SparkSession, state_table: str, end_iso: str, updated_at: str) -> None:
-    """Replace the state table's single row (no row-level DELETE on
-    plain file tables, so the whole one-row table is rewritten)."""
-    row = spark.createDataFrame([(STATE_ID, end_iso, updated_at)], "id string, last_run_iso string, updated_at string")
-    row.write.mode("overwrite").saveAsTable(state_table)
+def write_watermark(spark: SparkSession, state_table: str, end_iso: str, updated_at: str,
+                    state_id: str = STATE_ID) -> None:
+    """Append the new state of ``state_id``; readers take the row
+    written last. Plain file tables have no row-level DELETE, and rewriting
+    the table could lose the watermark, or another id's, in a crash."""
+    row = spark.createDataFrame([(state_id, end_iso, updated_at)], "id string, last_run_iso string, updated_at string")
+    row.write.mode("append").saveAsTable(state_table)

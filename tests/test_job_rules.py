@@ -121,3 +121,14 @@ def test_cluster_type_and_runtime_version(spark):
     assert [r.ty for r in out] == ["run_job", "spark_jar", "spark_jar", "notebook", "spark_jar", "spark_jar"]
     assert [r.ct for r in out] == ["none", "job_cluster", "unknown", "serverless", "serverless", "job_cluster"]
     assert [r.v for r in out] == ["13.3.x", "13.3.x", None, None, None, "15.4.x"]
+
+
+def test_parse_tags_reads_json_and_literals(spark):
+    texts = {
+        '{"note":"x: None, y","a":null}': {"note": "x: None, y", "a": None},
+        "{'application': True, 'b': None, 'c': 'it is None, True'}": {"application": "True", "b": None, "c": "it is None, True"},
+        "{'a': \"it's None\", 'n': False}": {"a": "it's None", "n": "False"},
+        "not tags": {}, "": {}, None: {},
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(J.parse_tags("t")).collect()] == list(texts.values())

