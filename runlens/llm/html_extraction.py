@@ -75,29 +75,36 @@ def names_furniture(attrs: list[tuple[str, str | None]], in_region: bool) -> boo
     return False
 
 
+def letters(text: str) -> int:
+    """Letters and digits of a text."""
+    return sum(map(str.isalnum, text))
+
+
 class Lines(HTMLParser):
-    """Parser events gathered into lines: (text, tags, link characters, containers, furniture)."""
+    """Parser events gathered into lines: (text, tags, link characters, containers, furniture, links)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, container number, furniture from here on
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, int]] = []
         self.regions: dict[int, str] = {}
         self.parts: list[str] = []
-        self.tags = self.links = self.count = 0
+        self.tags = self.links = self.anchors = self.count = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.tags:
             blocks = tuple(n for _, n, _ in self.open if n)
-            self.lines.append((text, max(self.tags, 1), self.links, blocks, bool(self.open) and self.open[-1][2]))
-        self.parts, self.tags, self.links = [], 0, 0
+            furniture = bool(self.open) and self.open[-1][2]
+            self.lines.append((text, max(self.tags, 1), self.links, blocks, furniture, self.anchors))
+        self.parts, self.tags, self.links, self.anchors = [], 0, 0, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         block = tag not in INLINE
         if block:
             self.end_line()
         self.tags += 1
+        self.anchors += tag == "a"
         if tag in VOID:
             return
         if tag in IMPLIED_END:
@@ -145,12 +152,12 @@ class Lines(HTMLParser):
             return
         self.parts.append(data)
         if any(t == "a" for t, _, _ in self.open):
-            self.links += len(data.strip())
+            self.links += letters(data)
 
 
 def smoothed_ratios(lines: list, sigma: float) -> np.ndarray:
     """Text-to-tag ratio of each line, smoothed along the page."""
-    raw = np.array([0.0 if bad else max(len(text) - links, 0) / tags for text, tags, links, _, bad in lines])
+    raw = np.array([0.0 if bad else max(len(text) - links, 0) / tags for text, tags, links, _, bad, _ in lines])
     reach = max(1, int(round(3 * sigma)))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     weight = np.convolve(np.ones(len(raw)), kernel)[reach:reach + len(raw)]
@@ -189,13 +196,13 @@ def extract(html: str | None, sigma: float = 1.0, region_share: float = REGION_S
         return ""
     marked = content_lines(smoothed_ratios(lines, sigma))
     weights: dict[int, int] = {}
-    for (text, _, links, blocks, bad), up in zip(lines, marked, strict=True):
+    for (text, _, links, blocks, bad, _), up in zip(lines, marked, strict=True):
         if up and not bad:
             for n in blocks:
                 weights[n] = weights.get(n, 0) + max(len(text) - links, 0)
     kept = [i for i, line in enumerate(lines) if line[0] and not line[4]]
     regions = [n for n in page.regions if weights.get(n, 0) > 0]
-    total = sum(max(len(t) - k, 0) for (t, _, k, _, bad), up in zip(lines, marked, strict=True) if up and not bad)
+    total = sum(max(len(t) - k, 0) for (t, _, k, _, bad, _), up in zip(lines, marked, strict=True) if up and not bad)
     articles = [n for n in regions if page.regions[n] == "article"]
     if articles and sum(w for n, w in weights.items() if n in articles) >= region_share * total:
         regions = articles  # else the text stands in main, around the articles
@@ -211,8 +218,8 @@ def extract(html: str | None, sigma: float = 1.0, region_share: float = REGION_S
 
 def menu_like(line: tuple) -> bool:
     """A line that is nothing but several links."""
-    text, tags, links, _, _ = line
-    return tags >= 4 and links >= 0.9 * len(text.replace(" ", ""))
+    text, _, links, _, _, anchors = line
+    return anchors >= 2 and links >= 0.9 * letters(text)
 
 
 def main_text(pages: DataFrame, html: str = "html", out: str = "text", sigma: float = 1.0) -> DataFrame:

@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Colum
         docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
         .select("doc_id", "_label", _terms_udf()(F.col("text").cast("binary")).alias("_terms"))
         .groupBy("doc_id").agg(F.max(F.struct("_label", "_terms")).alias("_row"))
-        .select("_row.*").toArrow()
+        .select("doc_id", "_row.*").toArrow().sort_by("doc_id")
     )
     if not rows.num_rows:
         none = np.zeros((0, 0))

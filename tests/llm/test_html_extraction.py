@@ -53,6 +53,12 @@ def test_frame_classes_and_headers_of_articles_are_not_furniture():
     assert extract(page) == f"Head By me {LONG.strip()}"
 
 
+def test_links_within_the_article():
+    page = FRAME.format(f'<article><p>{LONG}</p><p><b><a href="x">one link</a></b></p><p><a href="1">a</a> | <a href="2">b</a></p>'
+                        f'<p>See <a href="1">this</a> and <a href="2">that</a>.</p></article>')
+    assert extract(page) == f"{LONG.strip()} one link See this and that."
+
+
 def test_truncated_and_unclosed_markup():
     assert extract(f"<body><nav><ul><li><a>m</a><article><p>{LONG}<p>tail <b>x") == f"{LONG.strip()} tail x"
     assert extract("<script>never closed <p>x</p>") == ""
