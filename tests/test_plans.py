@@ -1,5 +1,8 @@
 """Plan hygiene and oracle agreement on the smallest scale factor."""
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -27,6 +30,15 @@ def test_every_query_has_oracle():
     assert set(registry.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_entry_without_the_text_operators(scratch):
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    shutil.copy(E.__file__, scratch)
+    shutil.copytree(f"{root}/runlens", f"{scratch}/runlens", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    names = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"],
+                           cwd=scratch, env=os.environ | {"PYTHONPATH": scratch}, capture_output=True, text=True, check=True).stdout
+    assert names.splitlines() == [" ".join(sorted(registry.QUERIES)), " ".join(sorted(registry.ORACLE))]
+
+
 def _norm(v):
     if v is None:
         return "∅"
