@@ -90,8 +90,10 @@ def block_pairs(rows: DataFrame, key: list[str], by: str, block: int) -> DataFra
 
 
 def by_unit(rows: DataFrame, unit: str = "unit") -> DataFrame:
-    """Rows dealt by ``unit``, each unit's rows together in one partition."""
-    return rows.repartition(unit).sortWithinPartitions(unit)
+    """Rows dealt by ``unit``, each unit's rows together in one partition. The number of partitions is given, else
+    few bytes that mean much work would be put into one task."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, unit).sortWithinPartitions(unit)
 
 
 def units(batches: Iterable[pa.RecordBatch], unit: str = "unit") -> Iterator[pa.Table]:
