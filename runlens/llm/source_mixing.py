@@ -33,7 +33,7 @@ from .common import stored
 
 #: Bits of the hash, and of one digit of it: a histogram has 2**DIGIT buckets a source at most.
 HASH_BITS = 60
-DIGIT = 15
+DIGIT = 10
 #: Fixed value: a word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
