@@ -16,11 +16,23 @@ vectors; the ``k`` best of each shard are merged.
 Inner products. To hash by angle but rank by inner product, index vectors
 get one more component, sqrt(M^2 - |x|^2) with M the longest norm, and
 queries a zero there: then the angle orders vectors as the inner product does.
+Three things keep that component and the common part of the vectors from
+swamping the hash bits. The shard's mean is subtracted, which moves all
+products of a query alike. Vectors and queries are then scaled against each
+other along the axes that balance their spreads, which keeps the products.
+The vectors are cut by norm into bands with a forest and an M each; a band
+gives candidates in proportion to its norms, since a longer vector ranks high
+at a wider angle.
+
+Recall. For ``SAMPLE`` queries of a unit the nearest of the shard are found
+exactly (shards are dealt by chance, so of S shards each has about k / S of the
+k nearest; twice as many are looked at), and ``share`` is raised, up to the
+whole shard, until the forests offer at least ``RECALL`` of them. So ``share`` is where the search starts, and
+vectors that hashes can't tell apart are searched whole.
 
 The set of queries grows with the table, so it is never broadcast: queries
 are dealt into blocks, and every pair of a query block and a shard is one
-bounded unit of work. ``share`` sets how far the search ascends, and with it
-recall; at ``share`` = 1 the search is exact. A shard gives more than ``k`` candidates if it
+bounded unit of work. At ``share`` = 1 the search is exact. A shard gives more than ``k`` candidates if it
 has them, so no query returns fewer than there are.
 
 Defined results: vectors that are null, empty, zero or hold null or
@@ -43,6 +55,11 @@ from .common import by_unit, finite_vector, matrix, stored, units
 DEPTH = 32
 #: Shards of which the best candidates are merged at once.
 MERGE = 64
+#: Longest over shortest norm of a band, and bands of a shard; the last band takes all shorter vectors.
+BAND, BANDS = 1.3, 8
+#: Queries of a unit that are also answered exactly, the share of their nearest that has to be among the
+#: candidates, and the step by which the share of candidates grows until it is.
+SAMPLE, RECALL, STEP = 32, 0.95, 0.1
 
 
 class Forest:
@@ -107,9 +124,83 @@ class Forest:
         return found
 
 
-def _search(k: int, trees: int, share: float, longest: float, seed: int):
+def _balance(vectors: np.ndarray, centred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(for vectors, for queries): matrices that keep all inner products and give the centred vectors and the
+    queries, for which the vectors as they are stand, the same second moments."""
+    root = lambda m, floor: (lambda w, u: (u, np.sqrt(np.maximum(w, w.max() * floor))))(*np.linalg.eigh(m))
+    spread, asked = centred.T @ centred / len(centred), vectors.T @ vectors / len(vectors)
+    u, w = root(spread, 1e-6)
+    half, back = u * w @ u.T, u / w @ u.T
+    v, m = root(half @ asked @ half, 1e-12)
+    u, w = root(back @ (v * m @ v.T) @ back, 1e-9)
+    return u * w, u / w
+
+
+class Bands:
+    """The forests of one shard, one for each range of norms."""
+
+    def __init__(self, vectors: np.ndarray, trees: int, seed: int) -> None:
+        self.n = len(vectors)
+        centred = vectors - vectors.mean(axis=0)
+        self.to = np.eye(vectors.shape[1])
+        if centred.any():
+            by, self.to = _balance(vectors, centred)
+            centred = centred @ by
+        norms = np.linalg.norm(centred, axis=1)
+        order = np.argsort(-norms, kind="stable")
+        down = -norms[order]
+        self.rows: list[np.ndarray] = []
+        self.forests: list[Forest] = []
+        longest, at = [], 0
+        while at < self.n:
+            longest.append(-down[at])
+            end = self.n if len(longest) == BANDS else int(np.searchsorted(down, down[at] / BAND, side="right"))
+            self.rows.append(order[at:end])
+            self.forests.append(Forest(centred[order[at:end]], longest[-1], trees, seed))
+            at = end
+        self.longest, self.sizes = np.array(longest), np.array([len(r) for r in self.rows])
+
+    def shares(self, share: float) -> np.ndarray:
+        """The share of each band's vectors, in proportion to its longest norm, that together give ``share``."""
+        out = np.ones(len(self.sizes))
+        room, weight = share * self.n, self.longest * self.sizes
+        for b in range(len(out)):  # from the longest norms: bands that are taken whole leave the rest to the others
+            rest = weight[b:].sum()
+            level = room / rest if rest > 0 else 1.0
+            if level * self.longest[b] < 1:
+                out[b:] = level * self.longest[b:]
+                break
+            room -= self.sizes[b]
+        return out
+
+    def candidates(self, queries: np.ndarray, share: float, least: int) -> np.ndarray:
+        """queries x vectors: True for the candidates, at least ``least`` of them if the shard has as many."""
+        found = np.zeros((len(queries), self.n), bool)
+        if share >= 1:
+            found[:] = True
+            return found
+        asked = queries @ self.to
+        for rows, forest, part in zip(self.rows, self.forests, self.shares(share), strict=True):
+            found[:, rows] = part >= 1 or forest.candidates(asked, part, least)
+        return found
+
+    def share_for(self, products: np.ndarray, queries: np.ndarray, share: float, k: int) -> float:
+        """The least share from ``share`` on, in steps, whose candidates hold RECALL of the ``k`` best products."""
+        if self.n <= k or not len(queries):
+            return share
+        best = np.argpartition(-products, k - 1, axis=1)[:, :k]
+        live = np.isfinite(np.take_along_axis(products, best, 1))
+        while share < 1 and np.take_along_axis(self.candidates(queries, share, k + 1), best, 1)[live].sum() < RECALL * live.sum():
+            share = min(1.0, share + STEP)
+        return share
+
+
+def _search(k: int, trees: int, share: float, shards: int, seed: int):
+    nearest_here = min(k, -(-2 * k // shards))
+
     def run(batches):
         for unit in units(batches):
+            unit = unit.sort_by("vec_id")
             ids, asks = unit.column("vec_id").to_numpy(), unit.column("asks").to_numpy(zero_copy_only=False)
             here = np.flatnonzero(~asks)
             asked = np.flatnonzero(asks)
@@ -117,8 +208,10 @@ def _search(k: int, trees: int, share: float, longest: float, seed: int):
                 continue
             x = matrix(unit.column("embedding"))
             vectors, names = x[here], ids[here]
-            forest = Forest(vectors, longest, trees, seed)
-            found = forest.candidates(x[asked], share, k + 1)
+            bands = Bands(vectors, trees, seed)
+            some = asked[np.unique(np.linspace(0, len(asked) - 1, SAMPLE).astype(int))]
+            exact = np.where(names == ids[some][:, None], -np.inf, x[some] @ vectors.T)
+            found = bands.candidates(x[asked], bands.share_for(exact, x[some], share, nearest_here), k + 1)
             query_ids, best = [], []
             for q, row in enumerate(asked):
                 at = np.flatnonzero(found[q])
@@ -150,10 +243,9 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, trees: int = 32, s
     rows = stored(
         vectors.where(F.col("vec_id").isNotNull() & finite_vector("embedding"))
         .groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-        .select("vec_id", "embedding", F.size("embedding").alias("dim"), queries.alias("asks"),
-                F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")).alias("norm2")),
+        .select("vec_id", "embedding", F.size("embedding").alias("dim"), queries.alias("asks")),
         "search")
-    n, asked, norm2 = rows.agg(F.count(F.lit(1)), F.count_if("asks"), F.max("norm2")).first()
+    n, asked = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-(asked or 0) // query_block))
     own = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(shards)).cast("int")
     own_block = F.pmod(F.xxhash64("vec_id", F.lit(seed + 1)), F.lit(blocks)).cast("int")
@@ -164,7 +256,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, trees: int = 32, s
                                        own_block.alias("block"), F.lit(True).alias("asks"))
     met = held.unionByName(asking).withColumn("unit", F.xxhash64("dim", "shard", "block"))
     best = by_unit(met).mapInArrow(
-        _search(k, trees, share, float(np.sqrt(norm2 or 0.0)), seed),
+        _search(k, trees, share, shards, seed),
         "query_id long, shard int, best array<struct<less:double,vec_id:long>>")
     part = _merged(best.groupBy("query_id", F.floor(F.col("shard") / MERGE).alias("part")), k)
     merged = _merged(part.groupBy("query_id"), k)

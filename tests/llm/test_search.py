@@ -79,3 +79,30 @@ def test_descent_finds_the_longest_prefix():
         for q in range(20):
             shared = [prefix_forest.DEPTH - int(a ^ asked[t, q]).bit_length() for a in forest.sorted[t]]
             assert longest[t, q] == max(shared)
+
+
+def shapes(n=3000, dim=64):
+    rng = np.random.default_rng(7)
+    unit = rng.standard_normal((n, dim))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    outlier = unit.copy()
+    outlier[5] *= 5
+    yield "outlier", outlier
+    for sigma in (0.25, 0.5, 1.0):
+        yield f"norms {sigma}", unit * np.exp(sigma * rng.standard_normal((n, 1)))
+    shifted = np.sqrt(0.7) * np.eye(dim)[0] + np.sqrt(0.3) * unit
+    yield "mean", shifted / np.linalg.norm(shifted, axis=1, keepdims=True)
+    yield "axes", unit * np.geomspace(1, 30, dim)
+    yield "clusters", 3 * unit[rng.integers(0, 20, n)] + unit
+
+
+@pytest.mark.parametrize("name,x", [pytest.param(n, x, id=n) for n, x in shapes()])
+def test_recall_at_the_production_share(spark, name, x):
+    """Unequal norms, a common mean and uneven axes, at the default share and over two shards."""
+    x = x.astype(np.float32).astype(float)
+    rows = list(enumerate(x.tolist()))
+    ids = list(range(0, len(x), 30))
+    want = brute(rows, ids, 20)
+    found = run(spark, rows, ids, shard_rows=1500)
+    hits = sum(len({i for _, i, _ in found[q]} & {i for i, _ in want[q]}) for q in ids)
+    assert hits / (20 * len(ids)) >= 0.9
