@@ -1,23 +1,12 @@
-"""Near-copies of vectors by sorted projection passes.
+"""Near-copies of vectors by exact products of bounded blocks.
 
-Equal vectors of one label are folded first. The distinct ones are then
-ordered ``passes`` times: in each pass every vector gets the bits of
-``HASH_BITS`` random projections, concatenated to one number; the vectors of
-a label are sorted by it (a range partitioning, with the vector's id as last
-key so that equal hashes spread too) and each is compared with the
-``window`` vectors after it. Vectors at a small angle share a long prefix in
-most passes and meet in some window; only pairs whose exact cosine reaches
-the threshold become links. A task hands on a spanning forest of its links;
-the forests of all passes are united by connected components.
-
-The windows settle who belongs together. The number of links of a vector is
-then counted exactly: all vectors of a component meet in bounded blocks, and
-every block of products adds the partners it finds (counts, not pairs).
-So groups larger than the window lose no link.
-
-The number of passes is a parameter: a pair at the threshold agrees in one
-bit with probability 1 - acos(threshold) / pi (0.936 at 0.98) and needs about
-log2(rows of its label / window) bits in some pass.
+Equal vectors of one label are folded first. The distinct ones of a label
+are cut into blocks that meet pairwise; a unit of two blocks computes all
+their cosines, counts the partners of each vector and hands on a spanning
+forest of its links, never the pairs. The forests of all units are united by
+connected components. So no link is missed, whatever the size of a group and
+however the vectors lie, and the work grows with the square of the largest
+label.
 
 Defined results: vectors that are null, empty, zero or hold null or
 non-finite components, rows without a label and rows without a vec_id link
@@ -35,70 +24,14 @@ from pyspark.sql import functions as F
 
 from .common import (block_pairs, by_unit, connected_components, finite_vector, matrix, stored, tree_links, units)
 
-HASH_BITS = 60
-#: Vectors of one block; a unit compares two blocks at most.
-BLOCK = 256
+#: Vectors of one block; a unit compares two blocks at most, in strips of rows that bound its memory.
+BLOCK, STRIP = 2048, 256
 
 
 def _unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _hashes(passes: int, seed: int):
-    planes: dict[int, np.ndarray] = {}
-
-    @F.arrow_udf("array<long>")
-    def run(vectors: pa.Array) -> pa.Array:
-        """For each vector its number in every pass."""
-        size = np.diff(vectors.offsets.to_numpy())
-        out = np.zeros((len(vectors), passes), np.int64)
-        weights = np.int64(1) << np.arange(HASH_BITS - 1, -1, -1, dtype=np.int64)
-        for dim in np.unique(size):
-            rows = np.flatnonzero(size == dim)
-            if dim not in planes:
-                planes[dim] = np.random.default_rng([seed, int(dim)]).standard_normal((int(dim), passes * HASH_BITS))
-            side = matrix(vectors.take(pa.array(rows))) @ planes[dim] > 0
-            out[rows] = side.reshape(len(rows), passes, HASH_BITS) @ weights
-        return pa.array(list(out), pa.list_(pa.int64()))
-
-    return run
-
-
-def _windows(window: int, threshold: float):
-    def run(batches):
-        held = None  # the last rows, which the next batch's rows still have to meet
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if held is None else pa.concat_tables([held, table])
-            held = table.slice(max(0, table.num_rows - window))
-            ids = table.column("rep").to_numpy()
-            keys = [table.column(c).to_numpy() for c in ("pass", "label", "dim")]
-            cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
-            found = []
-            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(ids)], strict=True):
-                x = _unit_rows(matrix(table.column("embedding").slice(lo, hi - lo)))
-                for step in range(1, min(window, hi - lo - 1) + 1):
-                    near = np.flatnonzero(np.einsum("ij,ij->i", x[:-step], x[step:]) >= threshold) + lo
-                    found.append((near, near + step))
-            if found:
-                i, j = (np.concatenate(side) for side in zip(*found, strict=True))
-                used, at = np.unique(ids[np.concatenate([i, j])], return_inverse=True)
-                a, b = tree_links(used, at[:len(i)], at[len(i):])
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return run
-
-
-def window_links(distinct: DataFrame, threshold: float, passes: int, window: int, seed: int) -> DataFrame:
-    """Links (a, b) between the vectors of ``distinct`` (rep, label, dim, embedding) found in any pass."""
-    hashed = distinct.select("rep", "label", "dim", "embedding",
-                             F.posexplode(_hashes(passes, seed)("embedding")).alias("pass", "hash"))
-    order = ["pass", "label", "dim", "hash", "rep"]
-    ranged = hashed.repartitionByRange(*order).sortWithinPartitions(*order)
-    return (ranged.select("pass", "label", "dim", "rep", "embedding")
-            .mapInArrow(_windows(window, threshold), "a long, b long"))
-
-
 def _partners(threshold: float):
     def run(batches):
         for unit in units(batches):
@@ -106,30 +39,38 @@ def _partners(threshold: float):
             own, lo, hi = (unit.column(c).to_numpy() for c in ("own_block", "lo", "hi"))
             x = _unit_rows(matrix(unit.column("embedding")))
             left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-            near = (x[left] @ x[right].T >= threshold).astype(np.int64)
-            if lo[0] == hi[0]:
-                np.fill_diagonal(near, 0)
-                ids, counts = rep[left], near @ copies[right]
-            else:
-                ids = np.concatenate([rep[left], rep[right]])
-                counts = np.concatenate([near @ copies[right], near.T @ copies[left]])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int64())],
-                                             ["rep", "partners"])
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for at in range(0, len(left), STRIP):
+                part = left[at:at + STRIP]
+                i, j = np.nonzero(x[part] @ x[right].T >= threshold)
+                i, j = part[i], right[j]
+                once = i < j if lo[0] == hi[0] else slice(None)
+                found.append((i[once], j[once]))
+            i, j = (np.concatenate(side) for side in zip(*found, strict=True))
+            counts = np.zeros(len(rep), np.int64)
+            np.add.at(counts, i, copies[j])
+            np.add.at(counts, j, copies[i])
+            used = np.flatnonzero(counts)
+            if not len(used):
+                continue
+            a, b = tree_links(rep, i, j)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([rep[used], a])), pa.array([None] * len(used) + b.tolist(), pa.int64()),
+                 pa.array(counts[used].tolist() + [None] * len(a), pa.int64())], ["rep", "to", "partners"])
 
     return run
 
 
-def link_counts(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
-    """(rep, partners): over the vectors of each component (rep, root, dim, label, copies, embedding), how many
-    rows link with each, found by exact products of bounded blocks."""
-    met = by_unit(block_pairs(members, ["root", "label", "dim"], "rep", block))
+def links_and_counts(distinct: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Over all pairs of vectors of one label and length in ``distinct`` (rep, label, dim, copies, embedding): rows
+    (rep, null, partners), to be summed by rep, that count the rows linked with a vector, and rows (rep, to, null),
+    links that connect what is linked."""
+    met = by_unit(block_pairs(distinct, ["label", "dim"], "rep", block))
     met = met.select("unit", "rep", "copies", "own_block", "lo", "hi", "embedding")
-    return met.mapInArrow(_partners(threshold), "rep long, partners long").groupBy("rep").agg(
-        F.sum("partners").alias("partners"))
+    return met.mapInArrow(_partners(threshold), "rep long, to long, partners long")
 
 
-def near_copies(vectors: DataFrame, threshold: float = 0.98, passes: int = 12, window: int = 16,
-                seed: int = 11) -> DataFrame:
+def near_copies(vectors: DataFrame, threshold: float = 0.98, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding, label)."""
     taking_part = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite_vector("embedding")
     rows = stored(
@@ -143,9 +84,10 @@ def near_copies(vectors: DataFrame, threshold: float = 0.98, passes: int = 12, w
         live.groupBy("label", "key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                          F.min("embedding").alias("embedding"))
         .withColumn("dim", F.size("embedding")), "vectors-distinct")
-    links = window_links(distinct, threshold, passes, window, seed)
+    found = stored(links_and_counts(distinct, threshold, block), "vectors-links")
+    links = found.where("to IS NOT NULL").select(F.col("rep").alias("a"), F.col("to").alias("b"))
     roots = stored(connected_components(links).withColumnRenamed("node", "rep"), "vectors-roots")
-    counted = link_counts(distinct.join(roots, "rep"), threshold)
+    counted = found.where("to IS NULL").groupBy("rep").agg(F.sum("partners").alias("partners"))
     classes = (
         distinct.select("label", "key", "rep", "copies").join(roots, "rep", "left").join(counted, "rep", "left")
         .select("label", "key", (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links"),

@@ -174,6 +174,28 @@ def test_groups_larger_than_the_window_lose_no_link(spark):
     check_vectors(spark, [(i, v, k % 2 if k > 400 else 0) for k, (i, v) in enumerate(zip(ids, rows, strict=True))])
 
 
+@pytest.mark.parametrize("block", [100, embedding_dedup.BLOCK])
+def test_links_that_straddle_the_threshold(spark, block):
+    """One group of near-copies around the threshold, and pairs planted in a label with a common background."""
+    rng = np.random.default_rng(6)
+    unit = lambda n: (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(rng.standard_normal((n, 64)))
+    at = lambda base, cosine: (lambda side: cosine[:, None] * base + np.sqrt(1 - cosine[:, None] ** 2) * side)(
+        (lambda s: s / np.linalg.norm(s, axis=1, keepdims=True))((r := unit(len(base))) - (r * base).sum(1)[:, None] * base))
+    centre = unit(1)
+    group = at(np.repeat(centre, 1200, 0), rng.uniform(0.97, 1, 1200))
+    back = at(np.repeat(centre, 600, 0), np.full(600, 0.8**0.5))
+    back[300:] = at(back[:300], rng.uniform(0.98, 0.99, 300))
+    x = np.concatenate([group, back]).astype(np.float32)
+    label = np.repeat([0, 1], [1200, 600])
+    wide = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = (wide @ wide.T >= 0.98) & (label[:, None] == label) & ~np.eye(len(x), dtype=bool)
+    root = common.local_roots(len(x), *np.nonzero(near))
+    found = embedding_dedup.near_copies(
+        spark.createDataFrame([(i, v, int(k)) for i, (v, k) in enumerate(zip(x.tolist(), label, strict=True))], VECTORS), block=block)
+    assert [(r["n_links"], r["component_id"]) for r in found.orderBy("vec_id").collect()] == list(
+        zip(near.sum(1).tolist(), root.tolist(), strict=True))
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     check_vectors(spark, [
