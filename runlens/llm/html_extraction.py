@@ -12,10 +12,12 @@ Content regions are then selected in three steps:
 3. threshold clustering: two-means over the log of the smoothed ratios; the
    lines of the upper cluster mark the content.
 
-The region is the page's ``article``/``main`` element where one holds marked
-lines, else the deepest container that holds most of the marked text, else
-the page. Every line of the region is kept, whatever its own ratio, but for
-furniture inside it and lines that are several links and nothing else.
+The region is the page's ``article`` elements where they hold most of the
+marked text, else ``main`` where it holds any, else the deepest container that
+holds most of it, else the page. Marked
+lines beside the region (within ``main``, if that is the region) join it with
+their own container. Every line of the region is kept, whatever its own ratio,
+but for furniture inside it and lines that are several links and nothing else.
 
 Defined results: null, empty or text-free pages give the empty string; a page
 without any upper cluster keeps all its lines that are not furniture;
@@ -201,21 +203,54 @@ def extract(html: str | None, sigma: float = 1.0, region_share: float = REGION_S
             for n in blocks:
                 weights[n] = weights.get(n, 0) + max(len(text) - links, 0)
     kept = [i for i, line in enumerate(lines) if line[0] and not line[4]]
-    regions = [n for n in page.regions if weights.get(n, 0) > 0]
     total = sum(max(len(t) - k, 0) for (t, _, k, _, bad, _), up in zip(lines, marked, strict=True) if up and not bad)
-    articles = [n for n in regions if page.regions[n] == "article"]
-    if articles and sum(w for n, w in weights.items() if n in articles) >= region_share * total:
-        regions = articles  # else the text stands in main, around the articles
+    holding = lambda ns: sum(max(len(lines[i][0]) - lines[i][2], 0) for i in kept if marked[i]
+                             and any(n in ns for n in lines[i][3]))
+    regions = {n for n in page.regions if weights.get(n, 0) > 0}
+    within = {n for n in regions if page.regions[n] == "main"}  # where lines beside the articles are looked for
+    articles = regions - within
+    if articles and holding(articles) >= region_share * total:
+        regions = articles
+    elif not within:  # articles without most of the text are teasers
+        narrow = [n for n, w in weights.items() if w >= region_share * total] if total else []
+        regions, within = {max(narrow)} if narrow else set(), None  # numbered in page order: the largest is the deepest
     if regions:
-        kept = [i for i in kept if any(n in regions for n in lines[i][3])]
-    elif total:
-        narrow = [n for n, w in weights.items() if w >= region_share * total]
-        region = max(narrow) if narrow else 0  # containers are numbered in page order: the largest is the deepest
-        kept = [i for i in kept if not region or region in lines[i][3]]
+        inside = joined(lines, marked, regions, within, region_share)
+        kept = [i for i in kept if i in inside]
     kept = [i for i in kept if not menu_like(lines[i])]
     return " ".join(lines[i][0] for i in kept)
 
 
+def joined(lines: list, marked: np.ndarray, regions: set[int], within: set[int] | None, share: float) -> set[int]:
+    """The lines of ``regions`` and of the containers that other marked lines stand in; if ``within`` is given, of
+    those lines only that stand in one of these containers.
+
+    Such a line brings the widest container that lies beside the regions and whose text is marked for the most
+    part; if its container is around a region, the lines that stand in just that container."""
+    around: set[int] = set()
+    text: dict[int, int] = {}
+    up_text: dict[int, int] = {}
+    for (words, _, _, blocks, bad, _), up in zip(lines, marked, strict=True):
+        core = [k for k, n in enumerate(blocks) if n in regions]
+        if core:
+            around.update(blocks[:core[0]])
+        if not bad:
+            for n in blocks:
+                text[n] = text.get(n, 0) + len(words)
+                up_text[n] = up_text.get(n, 0) + (len(words) if up else 0)
+    whole, own = set(regions), set()
+    for (words, _, links, blocks, bad, _), up in zip(lines, marked, strict=True):
+        if bad or not up or len(words) <= links or any(n in regions for n in blocks) or (
+                within is not None and not any(n in within for n in blocks)):
+            continue
+        beside = [n for n in blocks if n not in around]
+        if beside:
+            whole.add(next((n for n in beside if up_text[n] >= share * text[n]), beside[-1]))
+        else:
+            own.add(blocks)
+    return {i for i, line in enumerate(lines) if line[3] in own or any(n in whole for n in line[3])}
+
+
 def menu_like(line: tuple) -> bool:
     """A line that is nothing but several links."""
     text, _, links, _, _, anchors = line

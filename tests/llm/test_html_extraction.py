@@ -89,3 +89,31 @@ def test_query_against_plain_cutting_of_the_article(spark):
         text = " ".join(b for b in blocks if b)
         assert found[row["page_id"]]["text"] == text
         assert found[row["page_id"]]["n_chars"] == len(text)
+
+
+def paragraphs(n):
+    return "".join(f"<p>{LONG}</p>" for _ in range(n)), " ".join([LONG.strip()] * n)
+
+
+@pytest.mark.parametrize("sizes", [(1, 3), (2, 6), (1, 2, 9), (5, 1)])
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_without_article_sibling_parts_of_unequal_size_stay(tag, sizes):
+    parts = "".join(f"<{tag} class=c{n}><h2>Head</h2>{paragraphs(n)[0]}<p>Bye.</p></{tag}>" for n in sizes)
+    page = FRAME.format(f'<div class="menu"><a href="a">x</a></div><div class="wrap">{parts}</div>'
+                        f'<div class="sidebar">{LONG}</div>')
+    assert extract(page) == " ".join(f"Head {paragraphs(n)[1]} Bye." for n in sizes)
+
+
+def test_a_lead_right_before_the_container_stays():
+    page = FRAME.format(f'<h1>Head</h1><p>{LONG}</p><div class="text">{paragraphs(4)[0]}</div>')
+    assert extract(page) == f"Head {paragraphs(5)[1]}"
+
+
+def test_teaser_articles_do_not_replace_the_text():
+    page = FRAME.format(f'<div class="story"><h1>Head</h1>{paragraphs(6)[0]}</div><article class="teaser"><p>{LONG}</p></article>')
+    assert f"Head {paragraphs(6)[1]}" in extract(page)
+
+
+def test_a_standfirst_in_main_before_the_article_stays():
+    page = FRAME.format(f'<main><div class="lead"><p>{LONG}</p></div><article>{paragraphs(5)[0]}</article></main><div><p>{LONG}</p></div>')
+    assert extract(page) == paragraphs(6)[1]
