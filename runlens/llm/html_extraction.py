@@ -46,7 +46,7 @@ NO_TEXT = frozenset("script style template noscript iframe object svg canvas mat
 FURNITURE = frozenset("nav footer aside form menu dialog fieldset".split()) | NO_TEXT
 REGIONS = frozenset(["article", "main"])
 #: Elements that hold blocks of text; the others (paragraphs, headings, list items) are such blocks.
-CONTAINERS = REGIONS | frozenset("html body div section center table tbody tr td".split())
+CONTAINERS = REGIONS | frozenset("html body div section center form table tbody tr td".split())
 #: Elements whose end tag may be left out: a new one of the same kind ends an open one.
 IMPLIED_END = frozenset("p li dt dd tr td th option".split())
 # Words in class, id and role values that name page furniture.
@@ -58,21 +58,35 @@ FURNITURE_WORDS = frozenset(
     "respond reply replies complementary contentinfo widget skip sitemap copyright disclaimer".split())
 #: Words that say an element is the page's frame or text, though it names furniture too ("page-with-sidebar").
 FRAME_WORDS = frozenset("with has no without content main page layout wrapper container article post entry body".split())
-#: Words that name furniture only outside an article ("article > .entry-header" holds its headline).
-HEADER_WORDS = frozenset("header masthead search".split())
+#: Words that name furniture only outside an article ("article > .entry-header" holds its headline, ".alert" a remark).
+HEADER_WORDS = frozenset("header masthead search alert notice notification".split())
+#: Words that a token which names furniture and nothing else may have besides ("share-buttons", not "related-work").
+PART_WORDS = frozenset("area bar bottom box block button buttons icons inline items left link links list panel posts "
+                       "right section slot stories top unit wide".split())
+#: Elements whose ids are made from headings, and say what the text is about.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd".split())
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 
 
-def names_furniture(attrs: list[tuple[str, str | None]], in_region: bool) -> bool:
+def names_furniture(tag: str, attrs: list[tuple[str, str | None]], in_region: bool) -> bool:
+    """True for an element that is hidden or that its class, id or role calls furniture. In an article, and for the
+    ids of sections, a token has to name furniture as a whole; ids of headings and text, and of an article's
+    sections, say nothing."""
+    section = tag == "section" or any(n == "class" and "section" in (v or "").lower().split() for n, v in attrs)
     for name, value in attrs:
         if name in ("hidden", "aria-hidden") and value != "false":
             return True
         if name in ("class", "id", "role") and value:
+            if name == "id" and (tag in TITLED or (section and in_region)):
+                continue
             for token in value.split():
                 words = {w.lower() for w in WORD.findall(token)}
                 if words & FRAME_WORDS and not words & {"comment", "comments", "ad", "ads", "footer"}:
                     continue
-                if words & (FURNITURE_WORDS - HEADER_WORDS if in_region else FURNITURE_WORDS):
+                named = words & (FURNITURE_WORDS - HEADER_WORDS if in_region else FURNITURE_WORDS)
+                if tag == "form":
+                    named -= {"form"}
+                if named and (words <= FURNITURE_WORDS | PART_WORDS or not (in_region or (name == "id" and section))):
                     return True
     return False
 
@@ -83,13 +97,16 @@ def letters(text: str) -> int:
 
 
 class Lines(HTMLParser):
-    """Parser events gathered into lines: (text, tags, link characters, containers, furniture, links)."""
+    """Parser events gathered into lines: (text, tags, link characters, containers, furniture, links). A form is
+    furniture unless it holds the article or more than half of the text-to-tag mass of the page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, container number, furniture from here on
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool, int]] = []
         self.regions: dict[int, str] = {}
+        self.forms: set[int] = set()
+        self.frames: set[int] = set()  # forms that stand around an article
         self.parts: list[str] = []
         self.tags = self.links = self.anchors = self.count = 0
 
@@ -116,14 +133,17 @@ class Lines(HTMLParser):
                 self.open.pop()
         bad = bool(self.open) and self.open[-1][2]
         inside = any(t in REGIONS for t, _, _ in self.open)
-        bad = bad or tag in FURNITURE or (tag == "header" and not inside) or (
-            tag not in ("html", "body") and names_furniture(attrs, inside))
+        bad = bad or (tag in FURNITURE and tag != "form") or (tag == "header" and not inside) or (
+            tag not in ("html", "body") and names_furniture(tag, attrs, inside))  # forms: see finish
         number = 0
         if tag in CONTAINERS:
             self.count += 1
             number = self.count
             if tag in REGIONS:
                 self.regions[number] = tag
+                self.frames.update(n for t, n, _ in self.open if t == "form")
+            elif tag == "form":
+                self.forms.add(number)
         self.open.append((tag, number, bad))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -148,6 +168,16 @@ class Lines(HTMLParser):
     def finish(self) -> None:
         super().close()
         self.end_line()
+        if not self.forms:
+            return
+        mass, total = dict.fromkeys(self.forms, 0.0), 0.0
+        for text, tags, links, blocks, bad, _ in self.lines:
+            own = 0.0 if bad else max(len(text) - links, 0) / tags
+            total += own
+            for n in self.forms.intersection(blocks):
+                mass[n] += own
+        inner = {n for n in self.forms - self.frames if mass[n] <= total / 2}
+        self.lines = [(*line[:4], line[4] or not inner.isdisjoint(line[3]), line[5]) for line in self.lines]
 
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] in NO_TEXT:

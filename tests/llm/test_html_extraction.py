@@ -117,3 +117,29 @@ def test_teaser_articles_do_not_replace_the_text():
 def test_a_standfirst_in_main_before_the_article_stays():
     page = FRAME.format(f'<main><div class="lead"><p>{LONG}</p></div><article>{paragraphs(5)[0]}</article></main><div><p>{LONG}</p></div>')
     assert extract(page) == paragraphs(6)[1]
+
+
+@pytest.mark.parametrize("frame", ["<article>{0}</article>", '<div class="body">{0}</div>'])
+def test_ids_made_from_headings_are_no_furniture(frame):
+    parts = "".join(f'<section id="{name}"><h2 id="{name}-rules">{name}</h2><p id="{name}">{LONG}</p></section>'
+                    for name in ("social-history", "form-validation", "related-work", "alert-rules", "sharing-data"))
+    names = ("social-history", "form-validation", "related-work", "alert-rules", "sharing-data")
+    assert extract(FRAME.format(frame.format(parts))) == " ".join(f"{n} {LONG.strip()}" for n in names)
+
+
+def test_furniture_within_an_article_still_goes():
+    page = FRAME.format(f'<article><h1>Head</h1><p>{LONG}</p><div class="share-buttons"><p>Share this</p></div>'
+                        f'<div class="ad"><p>{LONG}</p></div><div id="comments"><p>{LONG}</p></div>'
+                        f'<div class="alert alert-info"><p>Mind the gap</p></div><p>{LONG}</p></article>')
+    assert extract(page) == f"Head {LONG.strip()} Mind the gap {LONG.strip()}"
+
+
+@pytest.mark.parametrize("inner", ["<article>{0}</article>", '<div class="text">{0}</div>'])
+@pytest.mark.parametrize("form", ['<form method="post" action="./p.aspx" id="aspnetForm">', '<form id="form1">', "<form>"])
+def test_a_form_around_the_page_is_a_frame(form, inner):
+    body, text = paragraphs(4)
+    page = FRAME.format(f'{form}<nav><ul><li><a href="a">menu</a></li></ul></nav>{inner.format(body)}'
+                        '<div id="footer">&copy; me</div></form>')
+    assert extract(page) == text
+    page = FRAME.format(f'<div class="text">{body}</div><form><label>Mail</label><input><p>We send you letters</p></form>')
+    assert extract(page) == text
