@@ -2,7 +2,7 @@
 
 Kernel. A text's blended spectrum is the set of its letter n-grams of 1 to 3
 code points (lower-cased; every run of other characters is one gap), hashed
-to ``DIMS`` places. The presence kernel of two texts is the number of common
+to ``DIMS`` places, enough that long texts of large alphabets do not fill them. The presence kernel of two texts is the number of common
 places over the geometric mean of their numbers of places.
 
 Nyström. ``landmarks`` texts of each language span the feature space: a text
@@ -10,13 +10,14 @@ is described by its kernels with all landmarks times the inverse square root
 of the landmarks' own kernel matrix.
 
 Classifier. One-versus-rest kernel ridge regression on a bounded sample of
-texts. A batch of texts is scored by two matrix products, presence by
-landmarks and kernels by coefficients; the answer is the language of the
+texts. A text marks its places, the landmarks' places are looked up and
+counted, and the kernels are multiplied by the coefficients; the answer is the language of the
 largest output, the score its share in the softmax of the outputs.
 
 The sample has at most ``sample`` texts, as many of each language (those whose
-ids hash lowest), and at most ``landmarks`` of them are landmarks, so what is
-gathered on the driver and broadcast has a fixed bound; whole texts are read
+ids hash lowest), and at most ``landmarks`` of them are landmarks; the driver
+gathers the landmarks' places and the sample's kernels, so what it gathers and
+broadcasts has a fixed bound; whole texts are read
 both to learn and to predict.
 
 Defined results: ``und`` with score 0 for null texts, texts without a letter,
@@ -33,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, stored
 
 UNDETERMINED = "und"
-BITS = 14
+BITS = 20
 DIMS = 1 << BITS
 #: Multipliers of the n-gram hashes (odd, so that they permute 32-bit numbers).
 FIRST, SECOND, THIRD = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0x27D4EB2F)
@@ -53,14 +54,14 @@ def letters() -> np.ndarray:
     return _letters[0]
 
 
-def spectrum(text: str | None, out: np.ndarray) -> bool:
-    """Mark the n-grams of ``text`` in ``out`` (DIMS numbers, all 0); False if it has no letter."""
+def grams_of(text: str | None) -> np.ndarray | None:
+    """The places of the n-grams of ``text``, with repeats; None if it has no letter."""
     if not text:
-        return False
+        return None
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = letters()[points]
     if not letter.any():
-        return False
+        return None
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # of a run of other characters the first one stands for a gap
     points = np.where(letter, points, np.uint32(32))[keep]
@@ -68,25 +69,66 @@ def spectrum(text: str | None, out: np.ndarray) -> bool:
     one = points * FIRST
     two = (one[:-1] ^ (points[1:] * SECOND)) * MIX2
     three = (two[:-1] ^ (points[2:] * THIRD)) * MIX3
-    for grams in (one, two, three):
-        out[grams >> SHIFT] = 1
+    return np.concatenate([one, two, three]) >> SHIFT
+
+
+def spectrum(text: str | None, out: np.ndarray) -> bool:
+    """Mark the n-grams of ``text`` in ``out`` (DIMS numbers, all 0); False if it has no letter."""
+    places = grams_of(text)
+    if places is None:
+        return False
+    out[places] = 1
     return True
 
 
+class Landmarks:
+    """The places of the landmarks, one after the other: a sparse matrix of DIMS x landmarks."""
+
+    def __init__(self, places: list[np.ndarray]) -> None:
+        self.shape = (DIMS, len(places))
+        self.places = np.concatenate([np.zeros(0, np.int32), *places])
+        self.sizes = np.array([len(p) for p in places], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def kernels(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(texts x landmarks, True where a text has a letter): kernels, 0 for texts without a letter."""
+        out, known = np.zeros((len(texts), self.shape[1])), np.zeros(len(texts), bool)
+        marked = np.zeros(DIMS, np.uint8)
+        for i, text in enumerate(texts):
+            own = grams_of(text)
+            if own is None:
+                continue
+            known[i] = True
+            marked[own] = 1
+            if self.shape[1]:
+                common = np.add.reduceat(marked[self.places], self.starts, dtype=np.int64)
+                out[i] = common / np.sqrt(self.sizes * np.count_nonzero(marked))
+            marked[own] = 0
+        return out, known
+
+    def among(self) -> np.ndarray:
+        """The landmarks' kernels with each other."""
+        out = np.zeros((self.shape[1], self.shape[1]))
+        marked = np.zeros(DIMS, np.uint8)
+        for i, (at, size) in enumerate(zip(self.starts, self.sizes, strict=True)):
+            own = self.places[at:at + size]
+            marked[own] = 1
+            out[i] = np.add.reduceat(marked[self.places], self.starts, dtype=np.int64) / np.sqrt(self.sizes * size)
+            marked[own] = 0
+        return out
+
+
 @dataclass
 class Model:
     languages: list[str]
-    landmarks: np.ndarray  # DIMS x landmarks, each column of unit length
+    landmarks: Landmarks
     coefficients: np.ndarray  # landmarks + 1 (bias) x languages
     sharpness: float
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        presence = np.zeros((len(texts), DIMS), np.float32)
-        known = np.array([spectrum(t, presence[i]) for i, t in enumerate(texts)], bool)
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        presence /= np.sqrt(np.maximum(presence.sum(axis=1, keepdims=True), 1))
-        kernels = presence @ self.landmarks
+        kernels, known = self.landmarks.kernels(texts)
         outputs = kernels @ self.coefficients[:-1] + self.coefficients[-1]
         best = outputs.argmax(axis=1)
         odds = np.exp(self.sharpness * (outputs - outputs.max(axis=1, keepdims=True)))
@@ -95,14 +137,28 @@ class Model:
         return names, np.where(known, share, 0.0)
 
 
-def _presence_udf():
-    @F.arrow_udf("binary")
+def _has_letter():
+    @F.arrow_udf("boolean")
     def run(texts: pa.Array) -> pa.Array:
-        rows = []
-        for t in texts.to_pylist():
-            mark = np.zeros(DIMS, np.uint8)
-            rows.append(np.packbits(mark).tobytes() if spectrum(t, mark) else None)
-        return pa.array(rows, pa.binary())
+        return pa.array([any(map(str.isalpha, (t or "").lower())) for t in texts.to_pylist()], pa.bool_())
+
+    return run
+
+
+def _places():
+    @F.arrow_udf("array<int>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([np.unique(grams_of(t)).astype(np.int32) for t in texts.to_pylist()], pa.list_(pa.int32()))
+
+    return run
+
+
+def _kernels(marks: Landmarks, spark):
+    shared = spark.sparkContext.broadcast(marks)
+
+    @F.arrow_udf("array<double>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(list(shared.value.kernels(texts.to_pylist())[0]), pa.list_(pa.float64()))
 
     return run
 
@@ -123,29 +179,30 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = 3200, landma
         .withColumn("_rank", F.row_number().over(lowest)).where(F.col("_rank") <= per_language)
         .groupBy("doc_id").agg(F.max("lang").alias("_lang"))
     )
-    taught = (
-        rows.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "_lang", _presence_udf()("text").alias("_marks")).where("_marks is not null")
-        .groupBy("doc_id").agg(F.max(F.struct("_lang", "_marks")).alias("_row"))
-        .select("_row.*", F.xxhash64("doc_id", F.lit(seed + 1)).alias("_order")).toArrow()
-    )
-    if not taught.num_rows:
-        return Model([], np.zeros((DIMS, 0), np.float32), np.zeros((1, 0)), sharpness)
-    taught = taught.sort_by([("_order", "ascending")])
-    lang = np.array(taught.column("_lang").to_pylist(), object)
-    x = np.stack([np.unpackbits(np.frombuffer(m, np.uint8)) for m in taught.column("_marks").to_pylist()])
-    x = x.astype(np.float32)
-    x /= np.sqrt(x.sum(axis=1, keepdims=True))
+    taught = stored(
+        rows.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(_has_letter()("text"))
+        .groupBy("doc_id").agg(F.max(F.struct("_lang", "text")).alias("_row"))
+        .select("_row.*", F.xxhash64("doc_id", F.lit(seed + 1)).alias("_order")), "language-sample")
+    first = Window.partitionBy("_lang").orderBy("_order")
+    held = (taught.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= per_marks)
+            .select("_lang", "_rank", _places()("text").alias("_places")).toArrow())
+    if not held.num_rows:
+        return Model([], Landmarks([]), np.zeros((1, 0)), sharpness)
+    held = held.sort_by([("_lang", "ascending"), ("_rank", "ascending")])
+    marks = Landmarks([p.values.to_numpy() for p in held.column("_places")])
+    sample_rows = taught.select("_lang", "_order", _kernels(marks, docs.sparkSession)("text").alias("_kernels")).toArrow()
+    sample_rows = sample_rows.sort_by([("_order", "ascending")])
+    lang = np.array(sample_rows.column("_lang").to_pylist(), object)
+    x = np.array(sample_rows.column("_kernels").to_pylist())
     languages = sorted(set(lang))
-    marks = x[np.concatenate([np.flatnonzero(lang == name)[:per_marks] for name in languages])]
-    values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
+    values, vectors = np.linalg.eigh(marks.among())
     good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])
-    features = np.hstack([(x @ marks.T) @ whiten, np.ones((len(x), 1))])
+    features = np.hstack([x @ whiten, np.ones((len(x), 1))])
     goal = np.where(lang[:, None] == np.array(languages, object)[None, :], 1.0, -1.0)
     solved = np.linalg.solve(features.T @ features + ridge * np.eye(features.shape[1]), features.T @ goal)
     coefficients = np.vstack([whiten @ solved[:-1], solved[-1:]])
-    return Model(languages, np.ascontiguousarray(marks.T), coefficients, sharpness)
+    return Model(languages, marks, coefficients, sharpness)
 
 
 def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:

@@ -113,3 +113,22 @@ def test_language_of_odd_rows(spark):
     untaught = language_id.fit(table.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in language_id.predict(table, untaught).collect()} == {"und"}
     assert language_id.predict(table.limit(0), model).count() == 0
+
+
+def test_long_texts_of_a_large_alphabet_do_not_fill_the_places(spark):
+    """Two languages of 3,000 characters with the same frequencies, that differ in what follows what."""
+    rng = np.random.default_rng(3)
+    chance = 1 / np.arange(1, 3001)
+
+    def text(kind, n):
+        drawn = rng.choice(3000, n // 2, p=chance / chance.sum())
+        pairs = np.stack([drawn, (drawn * 7 + 11 * kind + 5) % 3000], 1)
+        return "".join(chr(0x4E00 + c) for c in pairs.ravel())
+
+    marks = np.zeros(language_id.DIMS)
+    assert language_id.spectrum(text(0, 100_000), marks) and marks.mean() < 0.25
+    texts = [text(k % 2, 100_000) for k in range(24)]
+    table = docs(spark, texts, langs=["ab"[k % 2] for k in range(24)])
+    model = language_id.fit(table, learn=F.col("doc_id") < 16, landmarks=8)
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(table.select("doc_id", "text"), model).collect()}
+    assert found == {k: "ab"[k % 2] for k in range(24)}
