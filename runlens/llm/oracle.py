@@ -113,3 +113,76 @@ SELECT d.doc_id, d.size, p.source_size, p.target,
        (d.size * (p.copies + CASE WHEN x.key IS NULL THEN 0 ELSE 1 END))::BIGINT AS taken
 FROM d JOIN plan0 p USING (key) LEFT JOIN ({" UNION ".join(taken)}) x USING (key, hash, size)
 """
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    parts = [f"coalesce(strlen({f}::VARCHAR)::VARCHAR || ':' || {f}::VARCHAR, '-')" for f in [*fields, text]]
+    return f"sha256({' || '.join(parts)})"
+
+
+#: The lowest bit of the CRC-32 of a number's decimal digits: eight shifts of the register (marked -1) after every byte.
+EVEN_CRC = """((list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda crc, step:
+    CASE WHEN step >= 0 THEN xor(crc, step) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END) & 1) = 1)"""
+
+
+def _reduced(name: str, levels: int) -> str:
+    """CTEs ``name``0 (tree, pos, hash) reduced level by level; ``name``_at0.. also have each node's siblings."""
+    sql = ""
+    for i in range(levels):
+        at, up = f"{name}{i}", f"{name}{i + 1}"
+        sql += f""",
+{name}_at{i} AS (SELECT tree, pos, hash, count(*) OVER (PARTITION BY tree) AS n,
+    coalesce(string_agg(hash, '') OVER (PARTITION BY tree, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(hash, '') OVER (PARTITION BY tree, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {at}),
+{up} AS (SELECT tree, pos // 3 AS pos, CASE WHEN any_value(n) = 1 THEN any_value(hash) ELSE sha256(string_agg(hash, '' ORDER BY pos)) END AS hash
+  FROM {name}_at{i} GROUP BY tree, pos // 3)"""
+    return sql
+
+
+def manifest(levels: int = 15, top_levels: int = 6) -> str:
+    """The Merkle manifest for up to 3^levels documents of a source and 3^top_levels sources."""
+    sql = rf"""
+WITH docs AS (SELECT *, {_leaf("text")} AS leaf,
+    CASE WHEN {EVEN_CRC} THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS found FROM documents),
+numbered AS (SELECT *, coalesce('s' || source, 'n') AS tree, row_number() OVER (PARTITION BY source
+    ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM docs),
+a0 AS (SELECT tree, pos, leaf AS hash FROM numbered){_reduced("a", levels)},
+ranked AS (SELECT tree AS source, hash, row_number() OVER (ORDER BY tree COLLATE "C") - 1 AS pos FROM a{levels}),
+b0 AS (SELECT '' AS tree, pos, hash FROM ranked){_reduced("b", top_levels)},
+f0 AS (SELECT doc_id, leaf, tree, pos, found AS folded, '' AS proof FROM numbered)"""
+    for i in range(levels):
+        sql += f""",
+f{i + 1} AS (SELECT f.doc_id, f.leaf, f.tree, f.pos // 3 AS pos, f.proof || a.before || a.after AS proof,
+    CASE WHEN a.n = 1 THEN f.folded ELSE sha256(a.before || f.folded || a.after) END AS folded
+  FROM f{i} f JOIN a_at{i} a USING (tree, pos))"""
+    sql += f""",
+g0 AS (SELECT f.doc_id, f.leaf, r.hash AS subroot, r.pos, f.folded, f.proof FROM f{levels} f JOIN ranked r ON r.source = f.tree)"""
+    for i in range(top_levels):
+        sql += f""",
+g{i + 1} AS (SELECT g.doc_id, g.leaf, g.subroot, g.pos // 3 AS pos, g.proof || b.before || b.after AS proof,
+    CASE WHEN b.n = 1 THEN g.folded ELSE sha256(b.before || g.folded || b.after) END AS folded
+  FROM g{i} g JOIN b_at{i} b USING (pos))"""
+    return sql + f"""
+SELECT g.doc_id, g.leaf, g.subroot, b.hash AS root, sha256(g.proof) AS proof_sha256, g.folded AS folded_root,
+       g.folded = b.hash AS verified
+FROM g{top_levels} g, b{top_levels} b
+"""
+
+
+def lines_dropped(min_docs: int, min_chars: int) -> str:
+    """Every document without the lines whose key ``min_docs`` documents have."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT rid, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM docs),
+keyed AS (SELECT *, translate(trim(line, {white}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line),
+common AS (SELECT key FROM keyed WHERE length(key) >= {min_chars} GROUP BY key HAVING count(DISTINCT rid) >= {min_docs}),
+kept AS (SELECT rid, string_agg(line, chr(10) ORDER BY place) AS text, count(*) AS n FROM keyed
+         WHERE key NOT IN (SELECT key FROM common) GROUP BY rid)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT AS n_dropped,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)
+"""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (balanced_sharding, byte_bpe, embedding_dedup, html_extraction, language_id, oracle, prefix_forest,
-               quality_classifier, quotation_linking, simhash_dedup, source_mixing)
+from . import (balanced_sharding, byte_bpe, embedding_dedup, html_extraction, language_id, line_dedup, merkle_manifest,
+               oracle, prefix_forest, quality_classifier, quotation_linking, simhash_dedup, source_mixing, whitening)
 from .common import crc_bucket, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_prefix_forest")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_forest.nearest(table(spark, sf_dir, "embeddings"), queries=F.col("vec_id") % 20 == 0, k=20)
+
+
+@register("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=16)
+
+
+@register("op12_merkle_manifest", oracle.manifest())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"),
+                                    tampered=F.when(picked, F.replace("text", F.lit("\n"), F.lit(""))))
+
+
+@register("op13_line_dedup", oracle.lines_dropped(min_docs=10, min_chars=1))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.without_shared_lines(docs, min_docs=10, min_chars=1)
+    return kept.select("doc_id", "kept.n_lines", "kept.n_dropped",
+                       F.sha2(F.col("kept.text").cast("binary"), 256).alias("kept_sha256"))
