@@ -157,23 +157,16 @@ def to_epoch_ms(text: Column | str) -> Column:
     return F.unix_millis(ts)
 
 
-def _utc(moment: datetime) -> datetime:
-    return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
-
-
-# How a window bound of each accepted shape is read; the shapes exclude each other.
-_BOUND_READERS = [
-    (re.compile(_DATE_SHAPE), lambda t: datetime.strptime(t, "%Y-%m-%d") if len(t) == 10 else None),
-    (re.compile(_PLAIN_SHAPE), lambda t: datetime.strptime(t, "%Y-%m-%d %H:%M:%S")),
-    (re.compile(f"(?=.*(?:[T+]|Z$))(?:{_ISO_SHAPE}|{_ISO_BASIC})"), datetime.fromisoformat),
-]
-
-
 def to_epoch_ms_strict(value: str) -> int:
     """Driver-side form for window bounds (parameters, not data): the shapes of
     :func:`to_epoch_ms`, but text of no such shape raises ``ValueError``."""
     text = value.strip()
-    moments = [read(text) for shape, read in _BOUND_READERS if shape.match(text)]
-    if not moments or moments[0] is None:
+    if re.search("[T+]|Z$", text) and (re.match(_ISO_SHAPE, text) or re.match(_ISO_BASIC, text)):
+        # a final 'Z' becomes an offset first, as in the column form: a date alone may bear one
+        moment = datetime.fromisoformat(re.sub("Z$", "+00:00", text))
+    elif re.match(_PLAIN_SHAPE, text) or (len(text) == 10 and re.match(_DATE_SHAPE, text)):
+        moment = datetime(*map(int, re.findall("[0-9]+", text)))
+    else:
         raise ValueError(f"{value!r} is not a time in any accepted shape")
-    return (_utc(moments[0]) - _utc(datetime(1970, 1, 1))) // timedelta(milliseconds=1)
+    moment = moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+    return (moment - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(milliseconds=1)

@@ -80,17 +80,24 @@ def _output_key(task_key: Column) -> Column:
     return F.coalesce(task_key, F.lit(""))
 
 
+def reduced(answers: DataFrame, asked: DataFrame) -> DataFrame:
+    """``answers`` for the run ids of ``asked`` alone, before they are ranked:
+    outputs and details hold an answer for everything ever asked."""
+    return answers.join(asked.select("run_id").distinct(), "run_id", "left_semi")
+
+
 def enrich_runs(runs: DataFrame, outputs: DataFrame, details: DataFrame) -> DataFrame:
     """J1 + J2: each run with its run-level output and its details, plus the
     branch it takes and the text of a failed get-output call."""
-    at_run = latest_answers(outputs.where(_output_key(F.col("task_key")) == F.lit("")).drop("task_key"), ["run_id"])
+    at_run = latest_answers(reduced(outputs.where(_output_key(F.col("task_key")) == F.lit("")).drop("task_key"), runs),
+                            ["run_id"])
     out = at_run.select(
         F.col("run_id"),
         F.col("http_status").alias("_out_status"),
         F.col("response_text").alias("_out_text"),
         F.col("body").alias("_out"),
     )
-    det = latest_answers(details, ["run_id"]).select(
+    det = latest_answers(reduced(details, runs), ["run_id"]).select(
         F.col("run_id"),
         F.col("http_status").alias("_det_status"),
         F.col("response_text").alias("_det_text"),
@@ -131,12 +138,12 @@ def _task_label(t: Column) -> Column:
     return C.first_truthy(C.str_truthy(t.getField("task_key")), _task_id(t).cast("string"), F.lit("unknown_task"))
 
 
-def task_errors(enriched: DataFrame, outputs: DataFrame) -> DataFrame:
-    """J3 + J4: each task of a multi-task run with its own output.
+def task_lookups(enriched: DataFrame) -> DataFrame:
+    """Each task of the multi-task runs with the output it reads: that landed
+    for its own run id, else that of the parent run for its key.
 
-    A task with its own run id reads the output landed for that id; a task
-    with only a key reads the parent run's output for that key; a task with
-    neither has none. The two lookups are one equi-join on a computed key.
+    ``looked_up`` is false for a task with neither; it gets a key that no
+    output has, spread by its run.
     """
     tasks = enriched.where(F.col("_branch") == F.lit("multi")).select(
         F.col("run_id").alias("parent_run_id"),
@@ -145,38 +152,48 @@ def task_errors(enriched: DataFrame, outputs: DataFrame) -> DataFrame:
     t = F.col("t")
     tid = _task_id(t)
     key = C.str_truthy(t.getField("task_key"))
-    tasks = tasks.select(
+    return tasks.select(
         "parent_run_id", "pos",
         t.getField("task_key").alias("task_key"),
         tid.alias("task_run_id"),
         _task_label(t).alias("label"),
-        F.when(tid.isNotNull(), tid).when(key.isNotNull(), F.col("parent_run_id")).alias("lookup_run_id"),
-        F.when(tid.isNotNull(), F.lit("")).otherwise(key).alias("lookup_key"),
+        (tid.isNotNull() | key.isNotNull()).alias("looked_up"),
+        F.coalesce(tid, F.col("parent_run_id")).alias("at_run"),
+        F.when(tid.isNotNull(), F.lit("")).otherwise(F.coalesce(key, F.lit(NO_KEY))).alias("at_key"),
     )
+
+
+def task_answers(tasks: DataFrame, outputs: DataFrame) -> DataFrame:
+    """J3 + J4: the tasks of :func:`task_lookups` with the answer each reads,
+    one equi-join on (run, key)."""
     landed_at = ["landed_at"] if "landed_at" in outputs.columns else []
-    outs = latest_answers(outputs.select(
+    asked = reduced(outputs, tasks.select(F.col("at_run").alias("run_id")))
+    outs = latest_answers(asked.select(
         F.col("run_id").alias("at_run"),
         _output_key(F.col("task_key")).alias("at_key"),
         F.col("http_status"), F.col("response_text"), F.col("body.error").alias("error"), *landed_at,
     ), ["at_run", "at_key"]).drop(*landed_at)
-    # a task with neither id nor key looks up a key that no output has, spread by its run
-    tasks = tasks.withColumn("at_run", F.coalesce("lookup_run_id", "parent_run_id")).withColumn(
-        "at_key", F.coalesce("lookup_key", F.lit(NO_KEY)))
-    j = tasks.join(outs, ["at_run", "at_key"], "left")
-    looked_up = F.col("lookup_run_id").isNotNull()
+    return tasks.join(outs, ["at_run", "at_key"], "left")
+
+
+def task_errors(enriched: DataFrame, outputs: DataFrame) -> DataFrame:
+    """J3 + J4: each task of a multi-task run with its own output and the error
+    text made from it."""
+    j = task_answers(task_lookups(enriched), outputs)
+    looked_up = F.col("looked_up")
     failed = F.col("http_status") >= 400
     no_err = F.lit("no error field")
     text = (
         F.when(~looked_up, no_err)
         .when(F.col("http_status").isNull(), F.concat(F.lit("get-output error: "), F.lit(NO_OUTPUT)))
         .when(failed, F.concat(F.lit("get-output error: "),
-                               R.failed_call_text("runs/get-output", F.col("lookup_run_id"),
+                               R.failed_call_text("runs/get-output", F.col("at_run"),
                                                   F.col("http_status"), F.col("response_text"))))
         .otherwise(F.coalesce(C.str_truthy(F.col("error")), no_err))
     )
     return j.select(
         "parent_run_id", "pos", "task_key", "task_run_id", "label",
-        F.when(looked_up, F.col("lookup_run_id")).alias("output_run_id"),
+        F.when(looked_up, F.col("at_run")).alias("output_run_id"),
         F.col("http_status"),
         F.concat(F.col("label"), F.lit(": "), text).alias("task_error_text"),
     )

@@ -16,6 +16,9 @@ from ..functions import runs as R
 from ..operators import failures as FL
 from ..operators.masking import masked_view
 from ..sources import fixtures as X
+from ..sinks.versions import newest_versions
+from ..sources.pages import page_chains
+from ..streaming.coverage import uncovered_windows
 from ..streaming.watermark import watermark_of
 from . import oracle as O
 from .registry import inventory, register
@@ -42,6 +45,18 @@ def q_relanded_answers(spark: SparkSession, d: str) -> DataFrame:
     return FL.failure_log(runs.unionByName(runs), twice(outputs), twice(details), ingest_iso=X.INGEST_ISO)
 
 
+# --------------------------------------------------------------- listings S1, intervals R1-R3
+
+@register("page_chains", O.PAGE_CHAINS)
+def q_page_chains(spark: SparkSession, d: str) -> DataFrame:
+    return page_chains(X.run_pages(spark, d))
+
+
+@register("uncovered_windows", O.UNCOVERED)
+def q_uncovered_windows(spark: SparkSession, d: str) -> DataFrame:
+    return uncovered_windows(X.ingested_intervals(spark, d), X.ingest_horizons(spark, d))
+
+
 # --------------------------------------------------------------- filters F1 F2 F4
 
 @register("runs_in_window", _RUNS_WITH + "SELECT run_id, job_id, start_time, result_state FROM runs "
@@ -104,6 +119,20 @@ def q_dedup_rows(spark: SparkSession, d: str) -> DataFrame:
     return FL.dedup_runs(DataFrame.unionByName(*_two_ingests(spark, d)))
 
 
+@register("resolved_log", O.dedup_rows_sql())
+def q_resolved_log(spark: SparkSession, d: str) -> DataFrame:
+    """The log read from run versions: the first ingest, delete marks for half of its runs, and the second ingest."""
+    a, b = _two_ingests(spark, d)
+
+    def versions(rows: DataFrame, version: int, deleted: bool) -> DataFrame:
+        return rows.withColumns({"version": F.lit(version), "deleted": F.lit(deleted)})
+
+    gone = a.where(F.col("run_id") % 2 == 0).select("run_id").distinct()
+    kept = gone.join(b.select("run_id").distinct(), "run_id", "left_semi")  # the second ingest brings these back
+    log = versions(a, 1, False).unionByName(versions(kept, 2, True), allowMissingColumns=True).unionByName(versions(b, 3, False))
+    return newest_versions(log).select(a.columns)
+
+
 @register("new_only", O.new_only_sql())
 def q_new_only(spark: SparkSession, d: str) -> DataFrame:
     a, b = _two_ingests(spark, d)

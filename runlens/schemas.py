@@ -36,8 +36,11 @@ _RUN_FIELDS = (
     ("run_id", L), ("job_id", L), ("run_name", S), ("run_page_url", S),
     ("start_time", L), ("end_time", L), ("attempt_number", S), ("run_attempt", S), ("original_attempt_run_id", S),
 )
+# The listing request that a page answers, landed beside the answer (optional): its window and the token of the page.
+PAGE_REQUEST = (("start_time_from", L), ("start_time_to", L), ("page_token", S), ("landed_at", L))
 # A page's entries keep the state object as text; the reader adds its typed fields.
-RUN_PAGE = _st(("runs", ArrayType(_st(*_RUN_FIELDS, ("state", S)))), ("has_more", B), ("next_page_token", S))
+RUN_PAGE = _st(("runs", ArrayType(_st(*_RUN_FIELDS, ("state", S)))), ("has_more", B), ("next_page_token", S),
+               *PAGE_REQUEST)
 RUN = _st(*_RUN_FIELDS, ("state_raw", S), ("state", RUN_STATE))
 
 TERMINATION = _st(("code", S), ("type", S), ("reason", S))

@@ -8,6 +8,8 @@ session's settings here.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED = {
@@ -65,8 +67,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return d
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """:func:`checkpoint_dir`; where the setting is missing, a temporary folder
+    if Spark runs in one process (tests), else a folder in the warehouse."""
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return checkpoint_dir(spark)
+    if spark.sparkContext.master.split("[")[0] == "local":
+        return checkpoint_dir(spark, tempfile.mkdtemp(prefix="runlens-shared-"))
+    return checkpoint_dir(spark, spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives the
     loss of executors, unlike a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

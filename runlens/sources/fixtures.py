@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.jobs import JOB_TASK_KINDS
@@ -121,6 +121,40 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs(spark, sf_dir).drop("_error_text", "_k")
 
 
+PAGE_RUNS = 26  # runs of a listing's page
+
+
+def run_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages of the listings of every day, in the shape of RUN_PAGE (the runs with their ids alone).
+
+    By day of month modulo 8: 1 the second page is lost, 2 the last page goes back to the second, 3 the second is
+    landed twice, 4 the first is landed again as if it were the last, 5 the first is lost, 6 the same as in 4 but
+    earlier, 7 the last page has more but no token.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"))
+    place = F.row_number().over(Window.partitionBy("day").orderBy("event_id")) - 1
+    pages = ev.withColumn("p", F.floor(place / PAGE_RUNS).cast("int")).groupBy("day", "p").agg(
+        F.array_sort(F.collect_list(F.struct((F.col("event_id") + 1).alias("run_id")))).alias("runs"))
+    lasts = pages.groupBy("day").agg(F.max("p").alias("last"))
+    p, last, fault = F.col("p"), F.col("last"), F.dayofmonth("day") % 8
+    start = _ms(F.col("day"))
+    back = (fault == 2) & (p == last) & (last >= 1)
+    more = back | (p < last) | ((fault == 7) & (p == last))
+    base = pages.join(lasts, "day").select(
+        "runs", more.alias("has_more"),
+        F.when(back, "t1").when(p < last, F.concat(F.lit("t"), _s(p + 1))).alias("next_page_token"),
+        start.alias("start_time_from"), (start + 86_400_000).alias("start_time_to"),
+        F.when(p > 0, F.concat(F.lit("t"), _s(p))).alias("page_token"),
+        F.when(fault == 6, 2).cast("long").alias("landed_at"), p.alias("p"), fault.alias("fault"))
+    fault = F.col("fault")
+    again = base.where(((fault == 3) & (p == 1)) | (fault.isin(4, 6) & (p == 0))).withColumns({
+        "has_more": F.col("has_more") & (fault == 3),
+        "next_page_token": F.when(fault == 3, F.col("next_page_token")),
+        "landed_at": F.when(fault == 6, 1).cast("long")})
+    lost = ((fault == 1) & (p == 1)) | ((fault == 5) & (p == 0))
+    return base.where(~lost).unionByName(again).drop("p", "fault")
+
+
 def run_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tasks of a run: one per (order, line number) of lineitem."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
@@ -402,3 +436,24 @@ def job_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_size") % 2 == 0, _s(F.col("p_partkey") + 1))
         .otherwise(F.concat(F.lit("retired-"), _s(F.col("p_partkey")))).alias("jobid")
     )
+
+
+# ---------------------------------------------------------------- ingested intervals
+
+HORIZON = ("1995-06-01", "2001-06-01")
+
+
+def ingested_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An interval of 0 to 89 days for every order, by customer."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    start = _ms(F.col("o_orderdate"))
+    return o.select(_s(F.col("o_custkey")).alias("id"), start.alias("start_ms"),
+                    (start + (F.col("o_orderkey") % 90) * 86_400_000).alias("end_ms"))
+
+
+def ingest_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time that each customer is to be covered for: six years, less some days."""
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    first, last = (F.unix_millis(F.to_timestamp(F.lit(d))) for d in HORIZON)
+    return c.select(_s(F.col("c_custkey")).alias("id"), (first + (F.col("c_custkey") % 10) * 86_400_000).alias("from_ms"),
+                    last.alias("to_ms"))

@@ -43,7 +43,11 @@ def read_run_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_run_outputs(spark: SparkSession, path: str) -> DataFrame:
     """Get-output answers keyed (run_id, task_key). The metadata's own keys
     are read from its text, so kinds with a null value are seen."""
-    landed = spark.read.schema(RUN_OUTPUT_LANDED).json(path)
+    return outputs_of(spark.read.schema(RUN_OUTPUT_LANDED).json(path))
+
+
+def outputs_of(landed: DataFrame) -> DataFrame:
+    """Output answers whose ``body`` is text, typed."""
     keys = F.json_object_keys(F.get_json_object("body", "$.metadata"))
     return landed.withColumn("body", F.from_json("body", OUTPUT_BODY).withField("metadata.payload_keys", keys))
 
@@ -51,7 +55,11 @@ def read_run_outputs(spark: SparkSession, path: str) -> DataFrame:
 def read_run_details(spark: SparkSession, path: str) -> DataFrame:
     """S3: runs/get answers keyed run_id (tasks nested), with the keys of the
     body and of every task."""
-    landed = spark.read.schema(RUN_DETAILS_LANDED).json(path)
+    return details_of(spark.read.schema(RUN_DETAILS_LANDED).json(path))
+
+
+def details_of(landed: DataFrame) -> DataFrame:
+    """Details answers whose ``body`` is text, typed."""
     tasks = F.transform("_body.tasks", lambda t: F.from_json(t, DETAIL_TASK).withField(
         "payload_keys", F.json_object_keys(t)))
     body = (F.col("_body").withField("payload_keys", F.json_object_keys("body")).withField("tasks", tasks))

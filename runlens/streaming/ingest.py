@@ -28,7 +28,9 @@ from ..schemas import FAILURE_FIELDS, FAILURE_LOG_FIELDS, RUN_PAGE
 from ..session import checkpoint_dir, cut_lineage
 from ..sinks.tables import align_to, ensure_table, table_exists
 from ..sources.landed import read_run_pages, runs_of_pages
-from .watermark import DEFAULT_LOOKBACK, resolve_window, write_watermark
+from ..sources.pages import COMPLETE
+from .coverage import resolve_windows, uncovered_windows, write_covered
+from .watermark import DEFAULT_LOOKBACK, STATE_ID, Window, resolve_window, write_watermark
 
 
 RUN_DATE = "run_date"
@@ -72,18 +74,61 @@ def upsert_runs(log: DataFrame, log_table: str) -> None:
 def ingest_batch(spark: SparkSession, runs: DataFrame, outputs: DataFrame, details: DataFrame, *,
                  log_table: str, state_table: str | None = None, start: str | None = None,
                  end: str | None = None, now: datetime | None = None,
-                 lookback: timedelta = DEFAULT_LOOKBACK, ingest_iso: str | None = None) -> int:
-    """One scheduled run. Returns the window end (epoch ms) that was stored."""
+                 lookback: timedelta = DEFAULT_LOOKBACK, ingest_iso: str | None = None,
+                 chains: DataFrame | None = None) -> int:
+    """One scheduled run. Returns the window end (epoch ms) that was stored.
+
+    With ``chains`` (``sources.pages.page_chains``) the watermark stops where
+    the complete listings from the window's start on end; the next run begins
+    there (less its lookback).
+    """
     now = now or datetime.now(timezone.utc)
     w = resolve_window(spark, start=start, end=end, state_table=state_table, log_table=log_table,
                        now=now, lookback=lookback)
     ingest_iso = ingest_iso or now.isoformat()
     upsert_runs(dated_log(runs, outputs, details, ingest_iso=ingest_iso, window=(w.start_ms, w.end_ms)), log_table)
+    if chains is not None:
+        whole = complete_parts(spark, w, chains)
+        w = Window(w.start_ms, whole[0].end_ms if whole and whole[0].start_ms == w.start_ms else w.start_ms)
     if state_table:
         write_watermark(spark, state_table, w.end_iso, now.isoformat())
     return w.end_ms
 
 
+def ingest_uncovered(spark: SparkSession, runs: DataFrame, outputs: DataFrame, details: DataFrame, *,
+                     log_table: str, coverage_table: str, chains: DataFrame | None = None, start: str | None = None,
+                     end: str | None = None, now: datetime | None = None, lookback: timedelta = timedelta(0),
+                     state_id: str = STATE_ID) -> list[Window]:
+    """One scheduled run by covered intervals: every uncovered window between
+    ``start`` and ``end`` is ingested and then recorded, one by one, so a window
+    that fails stays uncovered and the next run takes it up.
+
+    With ``chains`` (``sources.pages.page_chains``) only what lies in complete
+    listings is recorded: the runs that have landed of a broken one are logged,
+    and its window is looked at again. Returns the windows recorded.
+    """
+    now = now or datetime.now(timezone.utc)
+    done: list[Window] = []
+    for w in resolve_windows(spark, coverage_table, start=start, end=end, now=now, lookback=lookback, state_id=state_id):
+        upsert_runs(dated_log(runs, outputs, details, ingest_iso=now.isoformat(), window=(w.start_ms, w.end_ms)), log_table)
+        whole = complete_parts(spark, w, chains) if chains is not None else [w]
+        if whole:
+            write_covered(spark, coverage_table, whole, now.isoformat(), state_id)
+        done += whole
+    return done
+
+
+def complete_parts(spark: SparkSession, window: Window, chains: DataFrame) -> list[Window]:
+    """The parts of a window that complete listings cover, in order. A listing
+    without bounds covers all of it."""
+    horizon = spark.createDataFrame([("w", window.start_ms, window.end_ms)], "id string, from_ms long, to_ms long")
+    whole = chains.where(F.col("verdict") == COMPLETE).select(
+        F.lit("w").alias("id"), F.coalesce("start_time_from", F.lit(window.start_ms)).alias("start_ms"),
+        F.coalesce("start_time_to", F.lit(window.end_ms)).alias("end_ms"))
+    parts = uncovered_windows(uncovered_windows(whole, horizon), horizon)
+    return [Window(r["start_ms"], r["end_ms"]) for r in parts.orderBy("start_ms").collect()]  # the parts of one window
+
+
 def failure_batch_writer(outputs: Callable[[SparkSession], DataFrame],
                          details: Callable[[SparkSession], DataFrame], log_table: str,
                          ingest_iso: Callable[[], str] | None = None,
