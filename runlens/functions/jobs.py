@@ -62,9 +62,6 @@ TAG_VARIANTS = {
     "domain": ["domain"],
 }
 
-# Marks the place of a bare word while literals are read; no tag text holds it.
-BARE = "\x00"
-
 # Fixed value: how a runtime version begins.
 VERSION_RE = r"^(\d+)\.(\d+)"
 
@@ -128,22 +125,77 @@ def tags_text(tags: Column | str) -> Column:
     return F.when(F.size(m) > 0, F.to_json(m))
 
 
+# Tokens of a dict literal: a text with its prefix, a number or word, or any other character.
+_QUOTED = r"""[uUrR]?(?:'(?:[^'\\]|\\[\s\S])*'|"(?:[^"\\]|\\[\s\S])*")"""
+_TOKEN = r"(" + _QUOTED + r"|[-+.\w]+|\S)"
+# Pieces of a text: an escape, or what lies between escapes.
+_ESCAPE = r"\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{1,3}|[\s\S])"
+_PIECE = r"(" + _ESCAPE + r"|[^\\]+)"
+# The one-letter escapes of a text literal; a backslash before any other character stays.
+_LETTERS = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f", "a": "\x07", "v": "\x0b", "\\": "\\", "'": "'", '"': '"',
+            "\n": ""}
+# Stand for the quotes of a text until the tokens are joined; a text's own control characters are escaped by then.
+_OPEN, _CLOSE = "\x02", "\x03"
+
+
+def _character(hexadecimal: Column) -> Column:
+    """The character of a code point in hexadecimal digits; the replacement character for half of a pair, and for
+    numbers beyond Unicode."""
+    padded = F.lpad(hexadecimal, 8, "0")
+    whole = padded.rlike("(?i)^0000([0-9a-c]...|d[0-7]..|[ef]...)$|^00(0[1-9a-f]|10)....$")
+    return F.decode(F.unhex(F.when(whole, padded).otherwise(F.lit("0000fffd"))), "UTF-32")
+
+
+def _unescaped(piece: Column) -> Column:
+    """A piece of a text literal as the characters it stands for."""
+    kind = F.substring(piece, 2, 1)
+    digits = F.when(kind.isin("x", "u", "U"), F.substring(piece, 3, 8)).when(
+        kind.rlike("[0-7]"), F.conv(F.substring(piece, 2, 3), 8, 16))
+    bare = ~F.startswith(piece, F.lit("\\"))
+    out = F.when(bare, piece)
+    for letter, character in _LETTERS.items():
+        out = out.when(piece == F.lit("\\" + letter), F.lit(character))
+    number = F.length(piece) > F.when(kind.rlike("[0-7]"), 1).otherwise(2)
+    return out.when(digits.isNotNull() & number, _character(digits)).otherwise(piece)
+
+
+def _json_token(token: Column) -> Column:
+    """A token of a Python literal as JSON; a text's quotes as _OPEN and _CLOSE."""
+    quote = F.regexp_extract(token, r"""^[uUrR]?(['"])""", 1)
+    raw = F.lower(F.substring(token, 1, 1)) == F.lit("r")
+    inner = F.regexp_replace(token, r"""^[uUrR]?['"]|['"]$""", "")
+    pieces = F.transform(F.regexp_extract_all(inner, F.lit(_PIECE), F.lit(1)), _unescaped)
+    text = F.when(raw, inner).otherwise(F.array_join(pieces, ""))
+    # to_json escapes what JSON has to escape; its own brackets and quotes are cut off
+    escaped = F.to_json(F.array(text))
+    escaped = F.substr(escaped, F.lit(3), F.length(escaped) - 4)
+    return (F.when(quote != "", F.concat(F.lit(_OPEN), escaped, F.lit(_CLOSE)))
+            .when(token == "None", F.lit("null"))
+            .when(token.isin("True", "False"), F.concat(F.lit(_OPEN), token, F.lit(_CLOSE)))
+            .otherwise(token))
+
+
+def literal_as_json(text: Column) -> Column:
+    """The text of a Python dict literal as JSON text: read token by token, so
+    that quotes, escapes and words inside texts mean what they mean there.
+    Texts side by side are one text, a comma before a closing bracket is none.
+    A boolean's text stays as Python writes it."""
+    tokens = F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(1)), _json_token)
+    joined = F.replace(F.array_join(tokens, " "), F.lit(f"{_CLOSE} {_OPEN}"), F.lit(""))
+    return F.translate(F.regexp_replace(joined, r", (?=[}\]])", ""), _OPEN + _CLOSE, '""')
+
+
 def parse_tags(text: Column | str) -> Column:
     """Tag text -> map; unparseable text gives an empty map.
 
     Reads the JSON we write as it is. Text that is not JSON with double quotes
-    is read as the legacy Python literal: single-quoted text, and the words
-    ``None``, ``True`` and ``False``, which are replaced only outside quotes
-    (a boolean's text stays as Python writes it).
+    is read as the legacy Python literal (:func:`literal_as_json`).
     """
     t = col_of(text)
     strict = {"allowSingleQuotes": "false"}
-    quoted = r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")"""
-    literal = t
-    for word, value in (("None", "null"), ("True", '"True"'), ("False", '"False"')):
-        # a quoted text is matched first and put back as it is; only a bare word reaches the second group
-        literal = F.regexp_replace(literal, quoted + r"|\b" + word + r"\b", "$1" + BARE)
-        literal = F.replace(F.regexp_replace(literal, quoted + BARE, "$1"), F.lit(BARE), F.lit(value))
+    literal = literal_as_json(t)
+    # from_json reads up to the closing bracket; what follows it makes the literal no dict
+    literal = F.when(literal.endswith("}"), literal)
     parsed = F.coalesce(F.from_json(t, "map<string,string>", strict), F.from_json(literal, "map<string,string>"))
     return F.coalesce(parsed, F.create_map().cast("map<string,string>"))
 

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .schema_merge import conformed_rows, merged_schema
+
 
 def _lit(value: object) -> str:
     """SQL string literal (doubled quote, doubled backslash)."""
@@ -64,22 +66,26 @@ def append_by_name(df: DataFrame, table: str) -> None:
 
 
 def replace_table(df: DataFrame, table: str, *, merge_schema: bool = True) -> None:
-    """K4: overwrite the table's rows; with ``merge_schema`` columns that only
-    the old table has are kept (as nulls) after the new ones.
+    """K4: overwrite the table's rows; with ``merge_schema`` the table's new
+    schema is the merge of both at every depth (``sinks.schema_merge``): what
+    only the old table has is kept, as nulls, after the new columns, and types
+    widen, never narrow.
 
     Only the old *schema* is read. A frame computed from the table itself
     must be materialised first (see ``runlens.session.cut_lineage``).
     """
-    spark = df.sparkSession
     out = df
-    if merge_schema and table_exists(spark, table):
-        have = {c.lower() for c in df.columns}
-        for f in spark.table(table).schema.fields:
-            if f.name.lower() not in have:
-                out = out.withColumn(f.name, F.lit(None).cast(f.dataType))
+    if merge_schema and table_exists(df.sparkSession, table):
+        out = conformed_rows(df, merged_schema(df.schema, df.sparkSession.table(table).schema))
     out.write.mode("overwrite").saveAsTable(table)
 
 
+def append_conformed(df: DataFrame, table: str) -> None:
+    """K1 for nested rows: append what fits the table's schema at every depth;
+    a value that would be narrowed, or a field the table lacks, raises."""
+    conformed_rows(df, df.sparkSession.table(table).schema).write.insertInto(table)
+
+
 def overwrite_table(df: DataFrame, table: str) -> None:
     """K5: overwrite rows and schema."""
     df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)

@@ -132,3 +132,22 @@ def test_parse_tags_reads_json_and_literals(spark):
     }
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(J.parse_tags("t")).collect()] == list(texts.values())
+
+
+def test_parse_tags_agrees_with_python_on_generated_dicts(spark):
+    import ast
+    import random
+
+    rng = random.Random(5)
+    alphabet = ["a", "B", " ", "'", '"', "\\", "\n", "\t", "\x07", "\xa0", "é", "€", "\x00", "\x02", "😀", "None", "True", ",", ":", "{", "}", "\x7f", "\u2028"]
+    word = lambda n: "".join(rng.choice(alphabet) for _ in range(rng.randrange(n)))
+    texts = [repr({word(6) or "k": word(9) for _ in range(rng.randrange(1, 5))}) for _ in range(400)]
+    texts += [r"{'a': '\x41\101\u0042\U0001F600\'\"\\'}", r"{'a': r'\x41', u'b': 'x' 'y',}", r"{'o': '\0\08\777', 'q': '\q\d'}",
+              "{'a': 'one \\\ntwo'}", "{}", "{'a': ''}", "{'a': '', 'b': ''}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = {r.i: r.m for r in df.select("i", J.parse_tags("t").alias("m")).collect()}
+    for i, text in enumerate(texts):
+        assert found[i] == ast.literal_eval(text), text
+    bad = ["{'a': ", "{'a' 'b'}", "$", "{'a': 'b'} x", "{'a': '\\ud800'}", "{'a': '\\U00110000'}", None]
+    df = spark.createDataFrame([(t,) for t in bad], "t string")
+    assert [r[0] for r in df.select(J.parse_tags("t")).collect()] == [{}, {}, {}, {}, {"a": "\ufffd"}, {"a": "\ufffd"}, {}]
