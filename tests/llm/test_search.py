@@ -77,10 +77,36 @@ def test_descent_finds_the_longest_prefix():
     longest = forest.descend(asked)
     for t in range(3):
         for q in range(20):
-            shared = [prefix_forest.DEPTH - int(a ^ asked[t, q]).bit_length() for a in forest.sorted[t]]
+            shared = [prefix_forest.DEPTH - (int(a) ^ int(asked[t, q])).bit_length() for a in forest.sorted[t]]
             assert longest[t, q] == max(shared)
 
 
+@pytest.mark.parametrize("n", [1, 5, 300, 20_000])
+def test_ascent_meets_what_shares_a_prefix(n):
+    """After every bit the met vectors are those that share so long a prefix with the query in some tree."""
+    rng = np.random.default_rng(n)
+    vectors, trees = rng.standard_normal((n, 6)), 5
+    vectors[n // 2:] = vectors[0]  # one string for half of the vectors
+    forest = prefix_forest.Forest(vectors, 10.0, trees, 1)
+    strings = np.zeros((trees, n), np.uint64)
+    np.put_along_axis(strings, forest.order, forest.sorted, axis=1)
+    queries = rng.standard_normal((4, 6))
+    asked = forest._strings(np.column_stack([queries, np.zeros(4)])).astype(np.uint64)
+    differ = strings[:, None, :] ^ asked[:, :, None]
+    shared = (prefix_forest.DEPTH - np.frexp(differ.astype(float))[1]).max(axis=0)
+    steps, by_depth, going = forest.ascend(queries), {}, None
+    try:
+        while True:
+            depth, met = steps.send(going)
+            by_depth[depth] = met.copy()
+            going = np.ones(4, bool)
+    except StopIteration:
+        pass
+    assert by_depth[0].all() and all((met == (shared >= depth)).all() for depth, met in by_depth.items())
+    few = forest.candidates(queries, 0.1, 1)
+    assert (few.sum(axis=1) >= min(n, max(1, n // 10))).all()
+
+
 def shapes(n=3000, dim=64):
     rng = np.random.default_rng(7)
     unit = rng.standard_normal((n, dim))
@@ -96,6 +122,41 @@ def shapes(n=3000, dim=64):
     yield "clusters", 3 * unit[rng.integers(0, 20, n)] + unit
 
 
+def share_seen(x, k=20):
+    """The mean share of the vectors that a query's exact products see, and the recall, by one shard's forests."""
+    names, asked = np.arange(len(x)), np.arange(0, len(x), 20)
+    bands = prefix_forest.Bands(x, names, 512, 5)
+    some = asked[:: max(1, len(asked) // prefix_forest.SAMPLE)]
+    share = bands.share_for(x[some], some, 0.05, k)
+    best, seen = bands.nearest(x[asked], asked, share, k)
+    products = x[asked] @ x.T
+    products[np.arange(len(asked)), asked] = -np.inf
+    want = np.argsort(-products, axis=1)[:, :k]
+    hits = sum(len({b["vec_id"] for b in found} & set(near)) for found, near in zip(best, want.tolist(), strict=True))
+    return seen / len(asked) / len(x), hits / (k * len(asked))
+
+
+def test_the_forest_selects():
+    """Few candidates where the vectors have structure; a minority even where they fill all directions alike."""
+    clustered = dict(shapes())["clusters"]
+    seen, recall = share_seen(clustered)
+    assert seen <= 0.1 and recall >= 0.95
+    import pyarrow.parquet as pq
+    table = pq.read_table(f"{SF}/embeddings.parquet")
+    seen, recall = share_seen(np.stack(table.column("embedding").to_numpy(zero_copy_only=False)).astype(float))
+    assert seen <= 0.42 and recall >= 0.9
+
+
+def test_bands_that_cannot_reach_are_left_out():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((3000, 8))
+    x[:300] *= 50
+    bands = prefix_forest.Bands(x, np.arange(len(x)), 64, 5)
+    best, seen = bands.nearest(x[:5], np.arange(5), 0.999, 5)  # nearly all of every band that is opened
+    want = np.argsort(-np.where(np.eye(5, 3000, dtype=bool), -np.inf, x[:5] @ x.T), axis=1)[:, :5]
+    assert [[b["vec_id"] for b in found] for found in best] == want.tolist() and seen < 0.5 * 5 * 3000
+
+
 @pytest.mark.parametrize("name,x", [pytest.param(n, x, id=n) for n, x in shapes()])
 def test_recall_at_the_production_share(spark, name, x):
     """Unequal norms, a common mean and uneven axes, at the default share and over two shards."""
