@@ -49,16 +49,17 @@ KEY = ["h", "g"]
 
 
 def key_of(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(WHITE)), UPPER, LOWER)
+    bare = F.btrim(line, F.lit(WHITE))
+    # lower() changes other letters too, but is much faster than translate(); lines of one byte a character have no others
+    return F.when(F.char_length(bare) == F.octet_length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _hashed(line: Column, min_chars: int) -> Column:
+def _hashed(key: Column, min_chars: int) -> Column:
     """The key's hash of two longs; null for a key that is never dropped."""
-    key = key_of(line)
     return F.when(F.char_length(key) >= min_chars, F.struct(F.xxhash64(key).alias("h"), F.xxhash64(F.lit(1), key).alias("g")))
 
 
@@ -121,7 +122,8 @@ def _who(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
 def shared_lines(docs: DataFrame, min_docs: int, min_chars: int = 1, batches: int = BATCHES) -> DataFrame:
     """(doc_key, text_key, lost): for every document of ``docs`` that loses lines the places of those, from 0."""
     spark = docs.sparkSession
-    keys = F.transform(lines_of(F.col("text")), lambda line: _hashed(line, min_chars))
+    # one step after the other: inside one lambda a key would be made anew for each use of it
+    keys = F.transform(F.transform(lines_of(F.col("text")), key_of), lambda key: _hashed(key, min_chars))
     held = stored(
         docs.select(*_who(), keys.alias("keys"), (F.spark_partition_id() % batches).alias("batch"))
         .where(F.exists("keys", lambda k: k.isNotNull())), "line-keys")
