@@ -6,6 +6,7 @@ projections and runs the library operators over their whole extent.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,7 +59,10 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ..operators import inventory as INV  # noqa: E402
 from ..operators import ownership as OWN  # noqa: E402
+from ..operators import refresh as REF  # noqa: E402
 from ..operators import summary as SUM  # noqa: E402
+from ..session import cut_lineage, shared_dir  # noqa: E402
+from ..sinks import zorder as Z  # noqa: E402
 
 
 def inventory(spark: SparkSession, d: str) -> DataFrame:
@@ -150,3 +154,32 @@ def q_migration_list(spark: SparkSession, d: str) -> DataFrame:
 @register("migration_list_by_name", _migration_sql("job_name"))
 def q_migration_list_by_name(spark: SparkSession, d: str) -> DataFrame:
     return _migration(spark, d, "job_name")
+
+
+@register("migration_list_split", _migration_sql("job_id"))
+def q_migration_list_split(spark: SparkSession, d: str) -> DataFrame:
+    """The ownership view where names of more than 50 jobs or owners are split on both sides."""
+    recent = cut_lineage(SUM.job_summary(INV.as_table(inventory(spark, d)), X.AS_OF, only_recent=True))
+    return OWN.migration_list(recent, tracker(spark, d), X.job_cost(spark, d), heavy_rows=50)
+
+
+@register("summary_refreshed", O.job_sql(f"SELECT {SUMMARY_COLS} FROM summary"))
+def q_summary_refreshed(spark: SparkSession, d: str) -> DataFrame:
+    """The job summary brought up to date from one of an earlier inventory: without every seventh job, with every
+    fifth job's tasks of another kind, rows twice for every eleventh job, and jobs that are gone since."""
+    now = cut_lineage(INV.as_table(inventory(spark, d)))
+    job = F.col("job_id")
+    old = now.where(job % 7 != 0).withColumn("task_type", F.when(job % 5 == 0, "sql").otherwise(F.col("task_type")))
+    before = cut_lineage(old.unionByName(now.where(job % 11 == 0)).unionByName(
+        now.where(job % 13 == 0).withColumn("job_id", job + 1_000_000_000)))
+    return REF.refreshed_summary(SUM.job_summary(before, X.AS_OF), REF.job_digests(before), now, X.AS_OF)
+
+
+@register("pruned_lookup", O.failure_sql(f"SELECT {O.FAILURE_COLS} FROM rows_all WHERE run_id = (SELECT max(run_id) FROM rows_all)"))
+def q_pruned_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of the log's last run, read from the files of a Z-ordered log that can hold them."""
+    log = cut_lineage(failure_rows(spark, d).drop("row_kind", "run_start_time"))
+    path = f"{shared_dir(spark)}/runlens-z-ordered/{uuid.uuid4().hex}"
+    Z.write_z_ordered(log, path, files=32)
+    last = Z.file_bounds(spark, path).agg(F.max("max_run_id")).first()[0]
+    return Z.read_pruned(spark, path, "run_id", last)
