@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import common as C
 from ..functions import runs as R
 from ..schemas import FAILURE_FIELDS
+from ..session import prepared
 from .joins import NO_KEY, latest
 
 NO_OUTPUT = "no output landed"
@@ -83,13 +84,15 @@ def _output_key(task_key: Column) -> Column:
 def reduced(answers: DataFrame, asked: DataFrame) -> DataFrame:
     """``answers`` for the run ids of ``asked`` alone, before they are ranked:
     outputs and details hold an answer for everything ever asked."""
-    return answers.join(asked.select("run_id").distinct(), "run_id", "left_semi")
+    return answers.join(asked.select("run_id"), "run_id", "left_semi")
 
 
-def enrich_runs(runs: DataFrame, outputs: DataFrame, details: DataFrame) -> DataFrame:
+def enrich_runs(runs: DataFrame, outputs: DataFrame, details: DataFrame, asked: DataFrame | None = None) -> DataFrame:
     """J1 + J2: each run with its run-level output and its details, plus the
-    branch it takes and the text of a failed get-output call."""
-    at_run = latest_answers(reduced(outputs.where(_output_key(F.col("task_key")) == F.lit("")).drop("task_key"), runs),
+    branch it takes and the text of a failed get-output call. ``asked`` are the
+    run ids to look up, where they are had more cheaply than from ``runs``."""
+    asked = runs if asked is None else asked
+    at_run = latest_answers(reduced(outputs.where(_output_key(F.col("task_key")) == F.lit("")).drop("task_key"), asked),
                             ["run_id"])
     out = at_run.select(
         F.col("run_id"),
@@ -97,7 +100,7 @@ def enrich_runs(runs: DataFrame, outputs: DataFrame, details: DataFrame) -> Data
         F.col("response_text").alias("_out_text"),
         F.col("body").alias("_out"),
     )
-    det = latest_answers(reduced(details, runs), ["run_id"]).select(
+    det = latest_answers(reduced(details, asked), ["run_id"]).select(
         F.col("run_id"),
         F.col("http_status").alias("_det_status"),
         F.col("response_text").alias("_det_text"),
@@ -232,6 +235,18 @@ def _rows(e: DataFrame) -> DataFrame:
     expression is evaluated once and later stages refer to it by name; the
     optimizer keeps the stages apart rather than duplicate non-trivial work.
     """
+    kinds = [e.schema["_out"].dataType["metadata"].dataType, e.schema["_det"].dataType]
+    tasks = kinds[1]["tasks"].dataType
+    has_keys = tuple("payload_keys" in kind.names for kind in (*kinds, tasks.elementType))
+    for stage in _row_stages(has_keys, tasks.simpleString()):
+        e = e.select(*stage)
+    return e.select("r.*")
+
+
+@prepared
+def _row_stages(has_keys: tuple[bool, bool, bool], tasks_type: str) -> list[list]:
+    """The columns of the stages of :func:`_rows`; ``has_keys`` tells whether
+    output metadata, details and their tasks carry the keys of their payload."""
     br = F.col("_branch")
     md = F.col("_out.metadata")
     det = F.col("_det")
@@ -242,7 +257,7 @@ def _rows(e: DataFrame) -> DataFrame:
     # the times and names each branch reads.
     st = C.first_truthy(C.struct_truthy(md.getField("state"), STATE_FIELDS),
                         C.struct_truthy(md.getField("status"), STATE_FIELDS))
-    s1 = e.select(
+    s1 = [
         "run_id", "job_id", "run_name", "run_page_url", "state", "attempt_number", "run_attempt",
         "original_attempt_run_id", "_branch", "_det_ok", "_call_err", "_det_err", "_task_text",
         F.col("start_time").alias("run_start_time"),
@@ -259,7 +274,7 @@ def _rows(e: DataFrame) -> DataFrame:
         C.lenient_int(F.col("run_attempt")).alias("_a_run2"),
         C.lenient_int(det.getField("original_attempt_run_id")).alias("_o_det"),
         C.lenient_int(F.col("original_attempt_run_id")).alias("_o_run"),
-    )
+    ]
 
     md, det, st = F.col("_md"), F.col("_det"), F.col("_st")
     term = st.getField("termination_details")
@@ -270,12 +285,6 @@ def _rows(e: DataFrame) -> DataFrame:
     o_run = [F.col("_o_run")]
     no_job = F.lit(-1).cast("bigint")
 
-    def has_keys(kind) -> bool:
-        return "payload_keys" in kind.names
-
-    def kinds(obj: Column, kind) -> Column:
-        return R.present_kinds(obj, keys=has_keys(kind))
-
     output_error = _pick(br, {
         "single": F.col("_out_error"),
         "multi": F.coalesce(F.col("_task_text"), F.col("_call_err")),
@@ -303,10 +312,11 @@ def _rows(e: DataFrame) -> DataFrame:
         "child_task_run_id": F.lit(None),
         "child_task_key": F.lit(None),
         "task_type": _pick(br, {
-            "single": R.infer_task_type(kinds(md, s1.schema["_md"].dataType), md.getField("task")),
+            "single": R.infer_task_type(R.present_kinds(md, keys=has_keys[0]), md.getField("task")),
             "multi": F.lit("multi_task_run"),
             "fallback": F.lit(None),
-            "generic": F.when(F.col("_det_ok"), R.infer_task_type(kinds(det, s1.schema["_det"].dataType), det.getField("task"))),
+            "generic": F.when(F.col("_det_ok"), R.infer_task_type(R.present_kinds(det, keys=has_keys[1]),
+                                                                      det.getField("task"))),
         }),
         "job_start_datetime_iso": C.iso_utc(F.col("_start")),
         "job_end_datetime_iso": C.iso_utc(F.col("_end")),
@@ -340,21 +350,21 @@ def _rows(e: DataFrame) -> DataFrame:
 
     # Stage 2: head-row fields by name, plus the cleaned text the error
     # fields read.
-    s2 = s1.select(
+    s2 = [
         "_branch", "_det", "run_start_time",
         *[head[n].cast(typed[n]).alias(n) for n in names if n not in error_fields],
         err_basis_expr(is_single, st, output_error).alias("_err"),
-    )
+    ]
 
     # Stage 3: error fields from the cleaned text (computed once).
     err = F.col("_err")
     up = F.upper(err)
-    s3 = s2.select(
-        "*",
+    s3 = [
+        F.col("*"),
         R.category_of_upper(up).alias("error_category"),
         R.provider_of_upper(up).alias("error_provider"),
         F.substring(err, 1, R.SHORT_ERROR_CHARS).alias("error_message_short"),
-    )
+    ]
 
     # Stage 4: [head] ++ children for multi-task runs, exploded.
     blank_for_child = {"termination_code", "termination_type", "termination_reason", "output_error",
@@ -363,13 +373,11 @@ def _rows(e: DataFrame) -> DataFrame:
                            F.when(is_multi, F.lit("multi_summary")).otherwise(br).alias("row_kind"),
                            F.col("run_start_time"))
 
-    tasks_type = e.schema["_det"].dataType["tasks"].dataType
-
     def child(t: Column) -> Column:
         over = {
             "child_task_run_id": _task_id(t),
             "child_task_key": t.getField("task_key"),
-            "task_type": R.infer_task_type(R.present_kinds(t, keys=has_keys(tasks_type.elementType)), t.getField("task")),
+            "task_type": R.infer_task_type(R.present_kinds(t, keys=has_keys[2]), t.getField("task")),
         }
         fields = []
         for n in names:
@@ -380,7 +388,7 @@ def _rows(e: DataFrame) -> DataFrame:
     no_tasks = F.array().cast(tasks_type)
     tasks = F.when(is_multi, F.coalesce(det.getField("tasks"), no_tasks)).otherwise(no_tasks)
     rows = F.concat(F.array(head_struct), F.transform(tasks, child))
-    return s3.select(F.explode(rows).alias("r")).select("r.*")
+    return [s1, s2, s3, [F.explode(rows).alias("r")]]
 
 
 def err_basis_expr(is_single: Column, st: Column, output_error: Column) -> Column:
@@ -402,7 +410,7 @@ def failure_rows(runs: DataFrame, outputs: DataFrame, details: DataFrame, *,
     r = failed_runs(runs)
     if window is not None:
         r = runs_in_window(r, *window)
-    e = enrich_runs(latest_records(r), outputs, details)
+    e = enrich_runs(latest_records(r), outputs, details, asked=r)
     texts = task_error_text(task_errors(e, outputs)).withColumnRenamed("error_text", "_task_text")
     e = e.join(texts, "run_id", "left")
     return _rows(e)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import jobs as J
+from ..session import prepared
 
 KEYS = ["job_id", "job_name", "job_tags"]
 
@@ -30,6 +31,7 @@ def pivot_names() -> list[str]:
             + [f"compute_{ct}" for ct in J.COMPUTE_TYPES])
 
 
+@prepared
 def _pivots():
     out = []
     for tt in J.TASK_TYPES:
@@ -61,32 +63,49 @@ def job_summary(inventory: DataFrame, as_of, only_recent: bool = False) -> DataF
     as_of_col = as_of if not isinstance(as_of, str) else F.lit(as_of).cast("timestamp")
     if only_recent:
         inventory = inventory.where(J.recency_flag(F.col("last_run_end_time"), as_of_col) == F.lit("Y"))
-    lang = J.task_language(F.col("task_type"), F.col("notebook_language"))
-    version = F.col("dbr_version")
-    vkey = J.version_key(version)
-    pivots = _pivots()
-    # Null-free grouping keys (value + is-null flag per nullable key): both
-    # aggregates below are then hash-partitioned on the same columns and the
-    # per-job join between them needs no further shuffle.
-    gk = ["job_id", "_gname", "_gname_null", "_gtags", "_gtags_null"]
-    base = inventory.select(
-        "job_id",
-        F.coalesce(F.col("job_name"), F.lit("")).alias("_gname"), F.col("job_name").isNull().alias("_gname_null"),
-        F.coalesce(F.col("job_tags"), F.lit("")).alias("_gtags"), F.col("job_tags").isNull().alias("_gtags_null"),
-        "task_key", "task_type", "cluster_type", "dbr_version", "notebook_language", "last_run_end_time",
-        lang.alias("lang"),
-    )
+    by_language, by_job, stages = _levels()
+    base = inventory.select(*_base())
     # Each distinct (job, task key) is marked once, by a window partitioned
     # on that pair: the distinct count becomes a plain sum, so no set of a
     # job's keys is built.
     first = F.row_number().over(
-        Window.partitionBy(*gk, "task_key").orderBy(F.col("lang").asc_nulls_first(),
-                                                    F.col("dbr_version").asc_nulls_first())
+        Window.partitionBy(*GROUP, "task_key").orderBy(F.col("lang").asc_nulls_first(),
+                                                       F.col("dbr_version").asc_nulls_first())
     ) == 1
     marked = base.withColumn("_first", first & F.col("task_key").isNotNull())
+    out = marked.groupBy(*GROUP, "lang").agg(*by_language).groupBy(*GROUP).agg(*by_job)
+    for stage in stages:
+        out = out.select(*stage)
+    return out.withColumn("ran_last_6_months", J.recency_flag(F.col("last_run_end_time"), as_of_col)).select(
+        summary_columns())
+
+
+# Null-free grouping keys (value + is-null flag per nullable key): both
+# aggregates are then hash-partitioned on the same columns and the step
+# between them needs no further shuffle.
+GROUP = ["job_id", "_gname", "_gname_null", "_gtags", "_gtags_null"]
+
+
+@prepared
+def _base() -> list:
+    lang = J.task_language(F.col("task_type"), F.col("notebook_language"))
+    return [
+        "job_id",
+        F.coalesce(F.col("job_name"), F.lit("")).alias("_gname"), F.col("job_name").isNull().alias("_gname_null"),
+        F.coalesce(F.col("job_tags"), F.lit("")).alias("_gtags"), F.col("job_tags").isNull().alias("_gtags_null"),
+        "task_key", "task_type", "cluster_type", "dbr_version", "notebook_language", "last_run_end_time",
+        lang.alias("lang"),
+    ]
+
+
+@prepared
+def _levels() -> tuple[list, list, list[list]]:
+    version = F.col("dbr_version")
+    vkey = J.version_key(version)
+    pivots = _pivots()
     # Level 1, per (job, language): counters, runtime versions (a small closed
     # vocabulary), earliest parseable version; partial aggregation first.
-    level1 = marked.groupBy(*gk, "lang").agg(
+    by_language = [
         F.count(F.lit(1)).alias("n"),
         F.count_if("_first").alias("keys"),
         F.collect_set("dbr_version").alias("versions"),
@@ -96,11 +115,11 @@ def job_summary(inventory: DataFrame, as_of, only_recent: bool = False) -> DataF
         F.max("last_run_end_time").alias("end"),
         F.bool_or(F.coalesce(F.col("task_type").isin(*J.INVESTIGATION_TYPES), F.lit(False))).alias("inv"),
         *[F.count_if(c).alias(n) for n, c in pivots],
-    )
+    ]
     # Level 2, per job: merge, and the language vote over the level-1 rows
     # (one per language, so the collected names are a handful).
     voting = F.col("lang").isNotNull() & (F.col("lang") != F.lit(J.INVESTIGATION_MARKER))
-    level2 = level1.groupBy(*gk).agg(
+    by_job = [
         F.sum("keys").alias("num_tasks"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("versions")))).alias("versions"),
         F.min("min_v").getField("v").alias("min_dbr_version"),
@@ -113,24 +132,18 @@ def job_summary(inventory: DataFrame, as_of, only_recent: bool = False) -> DataF
         F.max(F.when(voting, F.col("n"))).alias("top_count"),
         F.array_sort(F.collect_list(F.when(voting, F.col("lang")))).alias("pair"),
         *[F.sum(n).alias(n) for n, _ in pivots],
-    ).select(
-        "*",
-        F.when(~F.col("_gname_null"), F.col("_gname")).alias("job_name"),
-        F.when(~F.col("_gtags_null"), F.col("_gtags")).alias("job_tags"),
-    )
+    ]
+    keys = [F.col("*"), F.when(~F.col("_gname_null"), F.col("_gname")).alias("job_name"),
+            F.when(~F.col("_gtags_null"), F.col("_gtags")).alias("job_tags")]
     # Parsed tags and name issues are computed once here and read by name
     # below (each tag column and the flag would otherwise re-evaluate them).
-    staged = level2.select(
-        "*",
-        J.parse_tags(F.col("job_tags")).alias("_tags"),
-        J.job_name_issues(F.col("job_name")).alias("job_name_issues"),
-    )
+    staged = [F.col("*"), J.parse_tags(F.col("job_tags")).alias("_tags"),
+              J.job_name_issues(F.col("job_name")).alias("job_name_issues")]
     tags = F.col("_tags")
-    out = staged.select(
+    out = [
         *KEYS,
         F.col("num_tasks").cast("bigint").alias("num_tasks"),
         "last_run_end_time",
-        J.recency_flag(F.col("last_run_end_time"), as_of_col).alias("ran_last_6_months"),
         J.vote_label(F.col("n_langs"), F.col("top_lang"), F.col("top_count"), F.col("total"),
                      F.col("pair"), F.col("flagged")).alias("job_language"),
         F.when(F.col("inv"), F.lit("Y")).otherwise(F.lit("N")).alias("investigation_needed"),
@@ -141,8 +154,8 @@ def job_summary(inventory: DataFrame, as_of, only_recent: bool = False) -> DataF
         F.size("versions").cast("bigint").alias("dbr_version_count"),
         "min_dbr_version",
         *[F.col(n).cast("bigint").alias(n) for n, _ in pivots],
-    )
-    return out
+    ]
+    return by_language, by_job, [keys, staged, out]
 
 
 def job_language(summary: DataFrame) -> DataFrame:

@@ -8,8 +8,10 @@ session's settings here.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED = {
@@ -82,3 +84,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     loss of executors, unlike a local checkpoint)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def prepared(build):
+    """Keep the columns that ``build`` makes, by its arguments. A column names
+    what it reads and holds no data, so it serves any number of plans; making
+    the hundreds of small expressions of a wide select takes seconds of calls
+    to the JVM, more than small inputs take to run."""
+    kept: dict = {}
+
+    @functools.wraps(build)
+    def run(*args):
+        key = (SparkContext._active_spark_context, *args)  # columns live in their session's JVM
+        if key not in kept:
+            kept[key] = build(*args)
+        return kept[key]
+    return run
