@@ -39,8 +39,9 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches
 
-#: Pieces a worker remembers before it starts anew.
-REMEMBERED = 300_000
+#: Size of what a worker remembers before it starts anew: characters of matches and pieces, and ENTRY for each of them.
+#: A longer text than an eighth of it is not remembered.
+REMEMBERED, ENTRY = 14_000_000, 40
 #: Where cutting at spaces alone could differ from the pattern.
 AMID_SPACE = regex.compile(r"\s\x20(?!\S)")
 
@@ -95,6 +96,19 @@ class Codec:
         self.digits = {i: str(i) for i in vocabulary.values()}
         self.words: dict[str, list[int]] = {}
         self.pieces: dict[str, tuple[int, str, bytes]] = {}
+        #: Size of the remembered matches and pieces.
+        self.held = 0
+
+    def _make_room(self, text: str) -> bool:
+        """True if ``text`` is short enough to be remembered; forgets all others where it would not fit."""
+        if len(text) > REMEMBERED // 8:
+            return False
+        self.held += len(text) + ENTRY
+        if self.held > REMEMBERED:
+            self.words.clear()
+            self.pieces.clear()
+            self.held = len(text) + ENTRY
+        return True
 
     def match_tokens(self, match: str) -> list:
         """The model's tokens of one match of the pattern."""
@@ -103,9 +117,9 @@ class Codec:
     def word_ids(self, match: str) -> list[int]:
         ids = self.words.get(match)
         if ids is None:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            ids = self.words[match] = [token.id for token in self.match_tokens(match)]
+            ids = [token.id for token in self.match_tokens(match)]
+            if self._make_room(match):
+                self.words[match] = ids
         return ids
 
     def split(self, text: str) -> list[str]:
@@ -117,10 +131,10 @@ class Codec:
 
     def piece(self, piece: str) -> tuple[int, str, bytes]:
         """Number of ids, ids in digits, and decoded bytes of a piece."""
-        if len(self.pieces) >= REMEMBERED:
-            self.pieces.clear()
         ids = [i for match in self.pattern.findall(piece) for i in self.word_ids(match)]
-        found = self.pieces[piece] = (len(ids), " ".join(map(self.digits.__getitem__, ids)), self.decode_bytes(ids))
+        found = (len(ids), " ".join(map(self.digits.__getitem__, ids)), self.decode_bytes(ids))
+        if self._make_room(piece):
+            self.pieces[piece] = found
         return found
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
@@ -160,7 +174,8 @@ class Tokens:
         bounded_batches(docs.sparkSession)
         ranks = read_ranks(path)
         vocabulary, merges = model_parts(ranks)
-        self.shared = docs.sparkSession.sparkContext.broadcast((ranks, merges, vocabulary, pattern))
+        name = hashlib.sha256(repr((sorted(ranks.items(), key=lambda r: r[1]), pattern)).encode()).hexdigest()
+        self.shared = docs.sparkSession.sparkContext.broadcast((name, ranks, merges, vocabulary, pattern))
 
     def _codec(self):
         shared, made = self.shared, []
@@ -217,13 +232,13 @@ class Tokens:
         return docs.withColumn(out, run(F.col(ids)))
 
 
-_codecs: dict[int, Codec] = {}
+_codecs: dict[str, Codec] = {}
 
 
 def _process_codec(shared) -> Codec:
-    """One codec per worker process and vocabulary, whatever the number of tasks it runs."""
-    ranks, merges, vocabulary, pattern = shared.value
-    key = hash((len(ranks), len(merges), pattern))
-    if key not in _codecs:
-        _codecs[key] = Codec(ranks, merges, vocabulary, pattern)
-    return _codecs[key]
+    """One codec per worker process and vocabulary, whatever the number of tasks it runs; vocabularies are told apart by
+    a digest of their ranks and pattern."""
+    name, ranks, merges, vocabulary, pattern = shared.value
+    if name not in _codecs:
+        _codecs[name] = Codec(ranks, merges, vocabulary, pattern)
+    return _codecs[name]

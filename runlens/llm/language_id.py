@@ -14,12 +14,19 @@ texts. A text marks its places, the landmarks' places are looked up and
 counted, and the kernels are multiplied by the coefficients; the answer is the language of the
 largest output, the score its share in the softmax of the outputs.
 
-The sample has at most ``sample`` texts, as many of each language (those whose
+At most ``landmarks`` languages are learned, the commonest. The sample has at most ``sample`` texts, as many of each language (those whose
 ids hash lowest), and at most ``landmarks`` of them are landmarks; the driver
 gathers the landmarks' places and the sample's kernels, so what it gathers and
 broadcasts has a fixed bound; whole texts are read
 both to learn and to predict.
 
+A text can also be in none of the learned languages. A long one is taken to
+be if its features are short: the squared length of a text's features is the
+part of it that lies in the space of the landmarks, near 0 for a foreign
+script or gibberish, and high for a text that mixes learned languages, whose
+outputs are low. The floor is half of the least such part among the sample's
+long texts. A short text says too little and is never rejected.
+
 Defined results: ``und`` with score 0 for null texts, texts without a letter,
 and when nothing could be learned. Rows with a null language or null id teach
 nothing; a repeated id teaches once, with its greatest language.
@@ -37,6 +44,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, stored
 
 UNDETERMINED = "und"
+#: Characters from which on a text is long enough to tell that it is in none of the languages.
+JUDGED = 300
 BITS = 20
 DIMS = 1 << BITS
 #: Multipliers of the n-gram hashes (odd, so that they permute 32-bit numbers).
@@ -124,17 +133,27 @@ class Model:
     landmarks: Landmarks
     coefficients: np.ndarray  # landmarks + 1 (bias) x languages
     sharpness: float
+    #: Inverse square root of the landmarks' kernel matrix: makes features of kernels.
+    whiten: np.ndarray | None = None
+    #: A text of ``JUDGED`` characters or more of which the landmarks span less than this is in none of the languages.
+    floor: float = 0.0
+
+    def spanned(self, kernels: np.ndarray) -> np.ndarray:
+        """The part, from 0 to 1, of each text that lies in the space of the landmarks: the squared length of its features."""
+        return ((kernels @ self.whiten) ** 2).sum(axis=1)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(language, score, whether the text can be of that language) of each text."""
         if not self.languages:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         kernels, known = self.landmarks.kernels(texts)
         outputs = kernels @ self.coefficients[:-1] + self.coefficients[-1]
         best = outputs.argmax(axis=1)
         odds = np.exp(self.sharpness * (outputs - outputs.max(axis=1, keepdims=True)))
         share = 1.0 / odds.sum(axis=1)
         names = [self.languages[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
-        return names, np.where(known, share, 0.0)
+        short = np.array([len(t or "") < JUDGED for t in texts], bool)
+        return names, np.where(known, share, 0.0), known & (short | (self.spanned(kernels) >= self.floor))
 
 
 def _has_letter():
@@ -170,12 +189,19 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = 3200, landma
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     if learn is not None:
         rows = rows.where(learn)
-    names = rows.agg(F.countDistinct("lang")).first()[0]
-    per_language, per_marks = max(1, sample // max(names, 1)), max(1, landmarks // max(names, 1))
+    # the commonest languages, no more than there are landmarks: the only ones that can be told apart
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(landmarks).collect()
+    if not counts:
+        return Model([], Landmarks([]), np.zeros((1, 0)), sharpness)
+    per_language, per_marks = max(1, sample // len(counts)), landmarks // len(counts)
+    wanted = per_language + 8 * per_language**0.5 + 32  # so many below the bound leave enough, but for chance beyond 8 sigma
+    bounds = docs.sparkSession.createDataFrame(
+        [(r["lang"], int(min(1.0, wanted / r["count"]) * (2**64 - 2**11)) - 2**63) for r in counts], "_name string, _below long")
     lowest = Window.partitionBy("lang").orderBy("_hash", "doc_id")
-    # the window's limit is applied in every partition before the shuffle: a common language sends few rows
+    # each language sends its rows below a bound alone, about as many as are wanted, whatever the number of partitions
     chosen = (
-        rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(seed)).alias("_hash")).distinct()
+        rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(seed)).alias("_hash"))
+        .join(F.broadcast(bounds), (F.col("lang") == F.col("_name")) & (F.col("_hash") <= F.col("_below"))).distinct()
         .withColumn("_rank", F.row_number().over(lowest)).where(F.col("_rank") <= per_language)
         .groupBy("doc_id").agg(F.max("lang").alias("_lang"))
     )
@@ -190,7 +216,8 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = 3200, landma
         return Model([], Landmarks([]), np.zeros((1, 0)), sharpness)
     held = held.sort_by([("_lang", "ascending"), ("_rank", "ascending")])
     marks = Landmarks([p.values.to_numpy() for p in held.column("_places")])
-    sample_rows = taught.select("_lang", "_order", _kernels(marks, docs.sparkSession)("text").alias("_kernels")).toArrow()
+    sample_rows = taught.select("_lang", "_order", F.char_length("text").alias("_size"),
+                                _kernels(marks, docs.sparkSession)("text").alias("_kernels")).toArrow()
     sample_rows = sample_rows.sort_by([("_order", "ascending")])
     lang = np.array(sample_rows.column("_lang").to_pylist(), object)
     x = np.array(sample_rows.column("_kernels").to_pylist())
@@ -202,20 +229,30 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = 3200, landma
     goal = np.where(lang[:, None] == np.array(languages, object)[None, :], 1.0, -1.0)
     solved = np.linalg.solve(features.T @ features + ridge * np.eye(features.shape[1]), features.T @ goal)
     coefficients = np.vstack([whiten @ solved[:-1], solved[-1:]])
-    return Model(languages, marks, coefficients, sharpness)
+    model = Model(languages, marks, coefficients, sharpness, whiten)
+    long = x[sample_rows.column("_size").to_numpy() >= JUDGED]
+    model.floor = float(model.spanned(long).min()) / 2 if len(long) else 0.0
+    return model
 
 
-def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the columns ``lang`` and ``score``: the language of each whole text."""
+def language_column(docs: DataFrame, model: Model, text: str = "text") -> Column:
+    """A struct column for ``docs``: ``lang`` and ``score`` of each whole text, and ``known``, false for a text that is
+    in none of the learned languages."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
+    kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("known", pa.bool_())])
 
-    @F.arrow_udf("struct<lang:string,score:double>")
+    @F.arrow_udf("struct<lang:string,score:double,known:boolean>")
     def run(texts: pa.Array) -> pa.Array:
-        names, share = shared.value.predict(texts.to_pylist())
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(share, pa.float64())],
+        names, share, known = shared.value.predict(texts.to_pylist())
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(share, pa.float64()), pa.array(known)],
                                           fields=list(kind))
 
-    return (docs.withColumn("_language", run(F.col("text")))
-            .withColumns({lang: F.col("_language.lang"), score: F.col("_language.score")}).drop("_language"))
+    return run(F.col(text))
+
+
+def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with the columns ``lang`` and ``score``: the language of each whole text."""
+    rows = docs.select(F.struct(*[c for c in docs.columns if c not in (lang, score)]).alias("row"),
+                       language_column(docs, model).alias("found"))
+    return rows.select("row.*", F.col("found.lang").alias(lang), F.col("found.score").alias(score))

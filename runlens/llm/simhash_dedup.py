@@ -195,11 +195,12 @@ def one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFra
     first = (
         groups(docs, shingle, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root").agg(F.min(F.struct("text_key", "doc_id")).alias("_kept"))
-        .select(F.col("_kept.text_key").alias("_text_key"), _id_key(F.col("_kept.doc_id")).alias("_id_key"))
+        .select(F.col("_kept.text_key").alias("text_key"), _id_key(F.col("_kept.doc_id")).alias("id_key"))
     )
-    keyed = docs.withColumns({"_text_key": F.xxhash64("text"), "_id_key": _id_key(F.col("doc_id"))})
-    keys = ["_text_key", "_id_key"]
-    return keyed.join(first, keys, "left_semi").dropDuplicates(keys).drop(*keys)
+    # whole rows travel as one struct, so no column of theirs clashes with the keys
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("text_key"), _id_key(F.col("doc_id")).alias("id_key"))
+    keys = ["text_key", "id_key"]
+    return keyed.join(first, keys, "left_semi").dropDuplicates(keys).select("row.*")
 
 
 def _id_key(doc_id: Column) -> Column:

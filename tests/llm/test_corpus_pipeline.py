@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from runlens.llm import byte_bpe, language_id, quality_classifier, queries
@@ -36,7 +37,10 @@ def test_stages_against_plain_decisions(spark):
     good = [r for r, s in zip(inputs["quality"], score, strict=True) if s >= 0.3]
     assert 0 < len(good) < len(inputs["quality"]) and Counter(good) == Counter(inputs["language"])
 
-    assert Counter(inputs["near_copies"]) == Counter(r for r in good if any(c.isalpha() for c in r[1]))
+    model = queries.language_model(spark.createDataFrame(inputs["language"], table.schema))
+    spanned = lambda t: model.spanned(model.landmarks.kernels([t])[0])[0]
+    told = [r for r in good if any(c.isalpha() for c in r[1]) and (len(r[1]) < 300 or spanned(r[1]) >= model.floor)]
+    assert Counter(inputs["near_copies"]) == Counter(told) and 0 < model.floor < 1
 
     prints = [simhash(r[1], 3) for r in inputs["near_copies"]]
     root = roots(prints, lambda a, b: (a ^ b).bit_count() <= 2)
@@ -60,6 +64,30 @@ def test_stages_against_plain_decisions(spark):
     assert Counter(rows_of(corpus_pipeline.run(spark, DATA))) == Counter(rows_of(last))
 
 
+def test_language_stage_drops_texts_of_no_learned_language(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    foreign = ["Дождь идёт весь день, и река поднимается. " * 20, "これは日本語で書かれた長い文章です。" * 30, "zqxw vjkq xzzw qvvx jjqz " * 30]
+    short = ["Дождь идёт", "zqxw vjkq"]
+    odd = docs(spark, foreign + short, ids=range(900_001, 900_006)).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language(spark, table.unionByName(odd), DATA)
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert not ids & {900_001, 900_002, 900_003} and {900_004, 900_005} <= ids  # short ones say too little
+    lettered = {r["doc_id"] for r in table.collect() if any(c.isalpha() for c in r["text"])}
+    assert ids - {900_004, 900_005} == lettered  # no document of a learned language goes
+
+
+def test_extra_columns_clash_with_nothing(spark):
+    names = ["row", "quality", "language", "tokens", "text_key", "id_key", "key", "size", "hash", "times", "doc", "_quality", "_found", "_tokens"]
+    table = spark.read.parquet(f"{DATA}/documents.parquet").limit(150)
+    table = table.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, table, DATA)
+        assert found.columns == table.columns, name
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in found.collect() for n in names), name
+    last = corpus_pipeline.tokens(spark, table, DATA)
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in last.collect() for n in names)
+
+
 @pytest.mark.parametrize("texts", [[], [None, "", "12 34", None], ["a b c", "a b c", None, "x " * 100_000]])
 def test_odd_tables(spark, scratch, texts):
     table = docs(spark, texts).selectExpr("*", "'extra' AS score", "doc_id AS size")

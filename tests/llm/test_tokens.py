@@ -58,7 +58,10 @@ def test_cuts_at_spaces_are_between_matches(codec, text):
 
 
 def test_remembered_pieces_are_bounded(codec, plain, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
+    codec.pieces.clear()
+    codec.words.clear()
+    monkeypatch.setattr(codec, "held", 0)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 4 * byte_bpe.ENTRY)
     text = "a few words that are more than three, a few words"
     for _ in range(3):
         assert codec.digests(text)[0] == len(plain.encode_ordinary(text))
@@ -81,6 +84,26 @@ def test_every_vocabulary(ranks):
         assert codec.ids(text) == plain.encode_ordinary(text)
 
 
+def test_two_vocabularies_of_one_size_in_one_session(spark):
+    """Both rank files have equally many ranks and merges; each gets its own codec in the workers."""
+    texts = ["Straße und größer", "Çà et là, où?", "中文 текст 🙂", "plain words"]
+    table = docs(spark, texts)
+    for name in ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"):
+        path = public_tokenizers.path(name)
+        plain = tiktoken.Encoding(name, pat_str=queries.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
+        found = byte_bpe.Tokens(table, path, queries.PATTERN).encode(table).collect()
+        assert {r["text"]: r["ids"] for r in found} == {t: plain.encode_ordinary(t) for t in texts}
+
+
+def test_memory_is_bounded_by_characters(codec, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 5_000)
+    for i in range(40):
+        codec.digests(f"{i}x" * 200)  # pieces of hundreds of characters
+        codec.digests(" ".join(f"w{i}{j}" for j in range(60)))
+        assert sum(map(len, codec.pieces)) + sum(map(len, codec.words)) <= 5_000
+    assert all(len(p) <= 625 for p in codec.pieces)
+
+
 def test_query_against_the_library(spark, plain):
     found = {r["doc_id"]: r for r in queries.QUERIES["op7_byte_bpe"](spark, DATA).collect()}
     for row in spark.read.parquet(f"{DATA}/documents.parquet").collect():
