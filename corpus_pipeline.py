@@ -6,8 +6,9 @@ docs. All but the last return the columns of documents.
 
 * ``quality`` drops documents whose quality score is below the operator's
   threshold; labels come from ``sf_dir``.
-* ``language`` drops documents whose language can't be told (null texts,
-  texts without a letter); the classifier learns from the stage's own input.
+* ``language`` drops documents that are in none of the learned languages:
+  null texts, texts without a letter, and texts of some length of which the
+  classifier's landmarks span too little; it learns from the stage's own input.
 * ``near_copies`` keeps one document of each SimHash group.
 * ``mix`` gives each document as often as the mix takes it: not at all, once
   or twice, whole.
@@ -27,15 +28,21 @@ from runlens.llm import byte_bpe, language_id, quality_classifier, queries, simh
 from runlens.llm.common import stored
 
 
+def whole(docs: DataFrame) -> DataFrame:
+    """Each document as one struct ``row`` and its ``text``: columns that a stage adds clash with none of a document's."""
+    return docs.select(F.struct("*").alias("row"), "text")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = queries.quality_model(docs, queries.table(spark, sf_dir, "labels"))
-    scored = quality_classifier.score(docs, model, out="_quality")
-    return scored.where(F.col("_quality") >= queries.QUALITY_SCORE).select(docs.columns)
+    scored = quality_classifier.score(whole(docs), model, out="quality")
+    return scored.where(F.col("quality") >= queries.QUALITY_SCORE).select("row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language_id.predict(docs, queries.language_model(docs), lang="_found", score="_share")
-    return found.where(F.col("_found") != language_id.UNDETERMINED).select(docs.columns)
+    rows = whole(docs)
+    found = rows.withColumn("language", language_id.language_column(rows, queries.language_model(docs)))
+    return found.where("language.known").select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +55,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.Tokens(docs, queries.RANKS, queries.PATTERN).digests(docs, out="_tokens")
+    encoded = byte_bpe.Tokens(docs, queries.RANKS, queries.PATTERN).digests(whole(docs), out="tokens")
     counted = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    return encoded.select(*[c for c in docs.columns if c not in counted], "_tokens.*")
+    return encoded.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in counted], "tokens.*")
 
 
 STAGES = [("quality", quality), ("language", language), ("near_copies", near_copies), ("mix", mix), ("tokens", tokens)]
