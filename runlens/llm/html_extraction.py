@@ -2,7 +2,7 @@
 
 The page is read as the event stream of the standard library's HTML parser.
 Block tags end a line; each line carries its text, the number of tags met
-while it grew, its link text and the chain of containers it stands in.
+while it grew, its link text and the container it stands in.
 Content regions are then selected in three steps:
 
 1. text-to-tag ratio per line, with link text and lines of furniture
@@ -17,7 +17,9 @@ marked text, else ``main`` where it holds any, else the deepest container that
 holds most of it, else the page. Marked
 lines beside the region (within ``main``, if that is the region) join it with
 their own container. Every line of the region is kept, whatever its own ratio,
-but for furniture inside it and lines that are several links and nothing else.
+but for furniture inside it and, outside an article, lines that are several
+links and nothing else. Formulas, and the words on buttons in an article, are
+text. Work and memory grow with the page, however deep it nests.
 
 Defined results: null, empty or text-free pages give the empty string; a page
 without any upper cluster keeps all its lines that are not furniture;
@@ -27,6 +29,7 @@ unclosed or truncated markup is read as far as it goes.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -41,12 +44,14 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split())
-NO_TEXT = frozenset("script style template noscript iframe object svg canvas math audio video map select option "
+NO_TEXT = frozenset("script style template noscript iframe object svg canvas audio video map select option "
                     "textarea button input datalist head title".split())
 FURNITURE = frozenset("nav footer aside form menu dialog fieldset".split()) | NO_TEXT
 REGIONS = frozenset(["article", "main"])
 #: Elements that hold blocks of text; the others (paragraphs, headings, list items) are such blocks.
 CONTAINERS = REGIONS | frozenset("html body div section center form table tbody tr td".split())
+#: Elements that are furniture on a page, but text in an article ("press <button>Save</button>").
+CONTROLS = frozenset(["button"])
 #: Elements whose end tag may be left out: a new one of the same kind ends an open one.
 IMPLIED_END = frozenset("p li dt dd tr td th option".split())
 # Words in class, id and role values that name page furniture.
@@ -97,27 +102,31 @@ def letters(text: str) -> int:
 
 
 class Lines(HTMLParser):
-    """Parser events gathered into lines: (text, tags, link characters, containers, furniture, links). A form is
-    furniture unless it holds the article or more than half of the text-to-tag mass of the page."""
+    """Parser events gathered into lines: (text, tags, link characters, container, furniture, links). A line knows its
+    innermost container and a container its parent, so deep nesting costs no more than flat. A form is furniture
+    unless it holds the article or more than half of the text-to-tag mass of the page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # tag, container number, furniture from here on
-        self.lines: list[tuple[str, int, int, tuple[int, ...], bool, int]] = []
+        self.open: list[tuple[str, int, bool]] = []  # tag, innermost container, furniture from here on
+        self.opened: Counter[str] = Counter()  # open elements of each kind
+        self.lines: list[tuple[str, int, int, int, bool, int]] = []
+        self.parent = [0]  # of each container, numbered in page order from 1; 0 is the page
         self.regions: dict[int, str] = {}
         self.forms: set[int] = set()
-        self.frames: set[int] = set()  # forms that stand around an article
         self.parts: list[str] = []
-        self.tags = self.links = self.anchors = self.count = 0
+        self.tags = self.links = self.anchors = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.tags:
-            blocks = tuple(n for _, n, _ in self.open if n)
-            furniture = bool(self.open) and self.open[-1][2]
-            self.lines.append((text, max(self.tags, 1), self.links, blocks, furniture, self.anchors))
+            _, container, furniture = self.open[-1] if self.open else ("", 0, False)
+            self.lines.append((text, max(self.tags, 1), self.links, container, furniture, self.anchors))
         self.parts, self.tags, self.links, self.anchors = [], 0, 0, 0
 
+    def inside(self) -> bool:
+        return any(self.opened[tag] for tag in REGIONS)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         block = tag not in INLINE
         if block:
@@ -130,21 +139,21 @@ class Lines(HTMLParser):
             self.end(tag, within=("ul", "ol", "dl", "table", "div", "article", "section"))
         if tag in REGIONS:  # an unclosed menu or header does not swallow the article
             while self.open and self.open[-1][0] in ("nav", "header", "ul", "li", "a", "p"):
-                self.open.pop()
-        bad = bool(self.open) and self.open[-1][2]
-        inside = any(t in REGIONS for t, _, _ in self.open)
-        bad = bad or (tag in FURNITURE and tag != "form") or (tag == "header" and not inside) or (
+                self.close_from(len(self.open) - 1)
+        _, container, bad = self.open[-1] if self.open else ("", 0, False)
+        inside = self.inside()
+        bad = bad or (tag in FURNITURE and tag != "form" and not (inside and tag in CONTROLS)) or (
+            tag == "header" and not inside) or (
             tag not in ("html", "body") and names_furniture(tag, attrs, inside))  # forms: see finish
-        number = 0
         if tag in CONTAINERS:
-            self.count += 1
-            number = self.count
+            self.parent.append(container)
+            container = len(self.parent) - 1
             if tag in REGIONS:
-                self.regions[number] = tag
-                self.frames.update(n for t, n, _ in self.open if t == "form")
+                self.regions[container] = tag
             elif tag == "form":
-                self.forms.add(number)
-        self.open.append((tag, number, bad))
+                self.forms.add(container)
+        self.open.append((tag, container, bad))
+        self.opened[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -157,33 +166,58 @@ class Lines(HTMLParser):
         self.tags += 1
         self.end(tag)
 
+    def close_from(self, i: int) -> None:
+        self.opened.subtract(tag for tag, _, _ in self.open[i:])
+        del self.open[i:]
+
     def end(self, tag: str, within: tuple[str, ...] = ()) -> None:
+        if not self.opened[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
-                del self.open[i:]
+                self.close_from(i)
                 return
             if self.open[i][0] in within:
                 return
 
+    def sums(self, values) -> list:
+        """For every container the sum over its lines, those of containers in it included; ``values`` by line."""
+        out = [0] * len(self.parent)
+        for line, value in zip(self.lines, values, strict=True):
+            out[line[3]] += value
+        for n in range(len(out) - 1, 0, -1):  # a container's number is above its parent's
+            out[self.parent[n]] += out[n]
+        return out
+
+    def below(self, containers) -> list[bool]:
+        """For every container whether it is one of ``containers`` or in one."""
+        out = [n in containers for n in range(len(self.parent))]
+        for n in range(1, len(out)):
+            out[n] = out[n] or out[self.parent[n]]
+        return out
+
+    def above(self, containers) -> list[bool]:
+        """For every container whether one of ``containers`` is in it."""
+        out = [False] * len(self.parent)
+        for n in range(len(out) - 1, 0, -1):
+            out[self.parent[n]] = out[self.parent[n]] or out[n] or n in containers
+        return out
+
     def finish(self) -> None:
         super().close()
         self.end_line()
         if not self.forms:
             return
-        mass, total = dict.fromkeys(self.forms, 0.0), 0.0
-        for text, tags, links, blocks, bad, _ in self.lines:
-            own = 0.0 if bad else max(len(text) - links, 0) / tags
-            total += own
-            for n in self.forms.intersection(blocks):
-                mass[n] += own
-        inner = {n for n in self.forms - self.frames if mass[n] <= total / 2}
-        self.lines = [(*line[:4], line[4] or not inner.isdisjoint(line[3]), line[5]) for line in self.lines]
+        mass = self.sums(0.0 if bad else max(len(text) - links, 0) / tags for text, tags, links, _, bad, _ in self.lines)
+        framing = self.above(self.regions)
+        inner = self.below({n for n in self.forms if not framing[n] and mass[n] <= mass[0] / 2})
+        self.lines = [(*line[:4], line[4] or inner[line[3]], line[5]) for line in self.lines]
 
     def handle_data(self, data: str) -> None:
-        if self.open and self.open[-1][0] in NO_TEXT:
+        if self.open and self.open[-1][0] in NO_TEXT and not (self.open[-1][0] in CONTROLS and self.inside()):
             return
         self.parts.append(data)
-        if any(t == "a" for t, _, _ in self.open):
+        if self.opened["a"]:
             self.links += letters(data)
 
 
@@ -205,11 +239,13 @@ def content_lines(ratios: np.ndarray) -> np.ndarray:
     for _ in range(50):
         split = (lo + hi) / 2
         upper = x >= split
+        if not upper.any():  # ratios that differ by rounding alone
+            break
         new = (x[~upper].mean() if (~upper).any() else lo, x[upper].mean())
         if new == (lo, hi):
             break
         lo, hi = new
-    return x >= (lo + hi) / 2
+    return x >= min((lo + hi) / 2, x.max())
 
 
 #: Share of the marked text that a container has to hold to be the region.
@@ -227,58 +263,56 @@ def extract(html: str | None, sigma: float = 1.0, region_share: float = REGION_S
     if not any(text for text, *_ in lines):
         return ""
     marked = content_lines(smoothed_ratios(lines, sigma))
-    weights: dict[int, int] = {}
-    for (text, _, links, blocks, bad, _), up in zip(lines, marked, strict=True):
-        if up and not bad:
-            for n in blocks:
-                weights[n] = weights.get(n, 0) + max(len(text) - links, 0)
+    own = [max(len(text) - links, 0) if up and not bad else 0
+           for (text, _, links, _, bad, _), up in zip(lines, marked, strict=True)]
+    weights = page.sums(own)
+    total = weights[0]
     kept = [i for i, line in enumerate(lines) if line[0] and not line[4]]
-    total = sum(max(len(t) - k, 0) for (t, _, k, _, bad, _), up in zip(lines, marked, strict=True) if up and not bad)
-    holding = lambda ns: sum(max(len(lines[i][0]) - lines[i][2], 0) for i in kept if marked[i]
-                             and any(n in ns for n in lines[i][3]))
-    regions = {n for n in page.regions if weights.get(n, 0) > 0}
+    regions = {n for n in page.regions if weights[n] > 0}
     within = {n for n in regions if page.regions[n] == "main"}  # where lines beside the articles are looked for
     articles = regions - within
-    if articles and holding(articles) >= region_share * total:
+    in_articles = page.below(articles)
+    if articles and sum(w for w, line in zip(own, lines, strict=True) if in_articles[line[3]]) >= region_share * total:
         regions = articles
     elif not within:  # articles without most of the text are teasers
-        narrow = [n for n, w in weights.items() if w >= region_share * total] if total else []
+        narrow = [n for n, w in enumerate(weights) if n and w >= region_share * total] if total else []
         regions, within = {max(narrow)} if narrow else set(), None  # numbered in page order: the largest is the deepest
     if regions:
-        inside = joined(lines, marked, regions, within, region_share)
+        inside = joined(page, marked, regions, within, region_share)
         kept = [i for i in kept if i in inside]
-    kept = [i for i in kept if not menu_like(lines[i])]
+    in_named = page.below({n for n in regions if n in page.regions})
+    # a line of links is a menu beside an article; in it, an entry of its references
+    kept = [i for i in kept if in_named[lines[i][3]] or not menu_like(lines[i])]
     return " ".join(lines[i][0] for i in kept)
 
 
-def joined(lines: list, marked: np.ndarray, regions: set[int], within: set[int] | None, share: float) -> set[int]:
+def joined(page: Lines, marked: np.ndarray, regions: set[int], within: set[int] | None, share: float) -> set[int]:
     """The lines of ``regions`` and of the containers that other marked lines stand in; if ``within`` is given, of
     those lines only that stand in one of these containers.
 
     Such a line brings the widest container that lies beside the regions and whose text is marked for the most
     part; if its container is around a region, the lines that stand in just that container."""
-    around: set[int] = set()
-    text: dict[int, int] = {}
-    up_text: dict[int, int] = {}
-    for (words, _, _, blocks, bad, _), up in zip(lines, marked, strict=True):
-        core = [k for k, n in enumerate(blocks) if n in regions]
-        if core:
-            around.update(blocks[:core[0]])
-        if not bad:
-            for n in blocks:
-                text[n] = text.get(n, 0) + len(words)
-                up_text[n] = up_text.get(n, 0) + (len(words) if up else 0)
-    whole, own = set(regions), set()
-    for (words, _, links, blocks, bad, _), up in zip(lines, marked, strict=True):
-        if bad or not up or len(words) <= links or any(n in regions for n in blocks) or (
-                within is not None and not any(n in within for n in blocks)):
+    lines, parent = page.lines, page.parent
+    in_regions, in_within = page.below(regions), page.below(within or set())
+    around = page.above({n for n in regions if not in_regions[parent[n]]})
+    around[0] = True
+    text = page.sums(0 if line[4] else len(line[0]) for line in lines)
+    up_text = page.sums(0 if line[4] or not up else len(line[0]) for line, up in zip(lines, marked, strict=True))
+    widest, found = list(range(len(parent))), [False] * len(parent)  # the container that a line of each brings
+    for n in range(1, len(parent)):
+        if around[n]:
             continue
-        beside = [n for n in blocks if n not in around]
-        if beside:
-            whole.add(next((n for n in beside if up_text[n] >= share * text[n]), beside[-1]))
+        if found[parent[n]]:
+            widest[n], found[n] = widest[parent[n]], True
         else:
-            own.add(blocks)
-    return {i for i, line in enumerate(lines) if line[3] in own or any(n in whole for n in line[3])}
+            found[n] = up_text[n] >= share * text[n]
+    whole, own = set(regions), set()
+    for (words, _, links, container, bad, _), up in zip(lines, marked, strict=True):
+        if bad or not up or len(words) <= links or in_regions[container] or (within is not None and not in_within[container]):
+            continue
+        (own if around[container] else whole).add(container if around[container] else widest[container])
+    in_whole = page.below(whole)
+    return {i for i, line in enumerate(lines) if line[3] in own or in_whole[line[3]]}
 
 
 def menu_like(line: tuple) -> bool:

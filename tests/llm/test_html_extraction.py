@@ -56,7 +56,27 @@ def test_frame_classes_and_headers_of_articles_are_not_furniture():
 def test_links_within_the_article():
     page = FRAME.format(f'<article><p>{LONG}</p><p><b><a href="x">one link</a></b></p><p><a href="1">a</a> | <a href="2">b</a></p>'
                         f'<p>See <a href="1">this</a> and <a href="2">that</a>.</p></article>')
-    assert extract(page) == f"{LONG.strip()} one link See this and that."
+    assert extract(page) == f"{LONG.strip()} one link a | b See this and that."  # entries of a list of references stay
+
+
+def test_links_beside_the_article_are_menus():
+    page = f'<body><div><p><a href="1">a</a> | <a href="2">b</a></p><p>{LONG}</p><p>{LONG}</p></div></body>'
+    assert extract(page) == f"{LONG.strip()} {LONG.strip()}"
+
+
+def test_formulas_and_controls_within_the_article():
+    page = FRAME.format(f'<article><p>Let <math><mi>x</mi></math> be a number.</p><p>{LONG}</p>'
+                        '<p>Press <button>Save</button> to go on.</p></article>')
+    assert extract(page) == f"Let x be a number. {LONG.strip()} Press Save to go on."
+    assert extract(f"<body><button>Menu</button><div><p>{LONG}</p></div></body>") == LONG.strip()
+
+
+def test_deep_and_unclosed_nesting_takes_linear_time():
+    import time
+    start = time.process_time()
+    assert len(extract("<div>some words of text " * 130_000)) == 130_000 * len('some words of text ') - 1  # a page of 3 MB
+    extract("<div>" * 40_000 + "<span>a </b>" * 40_000)
+    assert time.process_time() - start < 20
 
 
 def test_truncated_and_unclosed_markup():
