@@ -426,6 +426,16 @@ def failure_log(runs: DataFrame, outputs: DataFrame, details: DataFrame, *, inge
     )
 
 
+def awaits_a_part() -> Column:
+    """True for a log row whose text says that a part had not landed: the run's
+    output, its details, or the output of any of its tasks."""
+    text = F.col("output_error")
+    missing = F.lit(f"get-output error: {NO_OUTPUT}")
+    head = (text == missing) | (text == F.lit(f"get-output multi-task fallback failed: {NO_DETAILS}"))
+    task = (F.col("task_type") == F.lit("multi_task_run")) & text.contains(F.concat(F.lit(": "), missing))
+    return F.coalesce(head | task, F.lit(False))
+
+
 def rows_of_kind(rows: DataFrame, kind: str) -> DataFrame:
     return rows.where(F.col("row_kind") == F.lit(kind)).drop("row_kind", "run_start_time")
 

@@ -137,8 +137,9 @@ def failure_batch_writer(outputs: Callable[[SparkSession], DataFrame],
     """``foreachBatch`` body: enrich a micro-batch of run records and upsert
     their rows. Lookups are re-read through the batch's own session so
     outputs landed since the last trigger are seen. Runs that were logged
-    without an output, and started within ``wait`` before the batch's first
-    run, are taken from ``landed_runs`` and logged anew."""
+    without some part, and started within ``wait`` before the batch's first
+    run, are taken from ``landed_runs`` and logged anew. That reads the landed
+    pages again; ``waiting.start_answer_stream`` keeps what waits as state."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         stamp = ingest_iso() if ingest_iso else datetime.now(timezone.utc).isoformat()
@@ -146,7 +147,7 @@ def failure_batch_writer(outputs: Callable[[SparkSession], DataFrame],
         if landed_runs and table_exists(spark, log_table):
             first = batch.agg(F.min("start_time")).first()[0]
             since = F.to_date(F.timestamp_millis(F.lit(first) - wait // timedelta(milliseconds=1)))
-            waiting = spark.table(log_table).where((F.col(RUN_DATE) >= since) & F.col("output_error").endswith(FL.NO_OUTPUT))
+            waiting = spark.table(log_table).where((F.col(RUN_DATE) >= since) & FL.awaits_a_part())
             known = landed_runs(spark).join(waiting.select("run_id").distinct(), "run_id", "left_semi")
             runs = batch.unionByName(known)
         upsert_runs(dated_log(runs, outputs(spark), details(spark), ingest_iso=stamp), log_table)

@@ -128,15 +128,25 @@ def test_stream_corrects_runs_whose_output_lands_later(spark, scratch):
         spark.catalog.refreshTable("t_late")
         return {(r.run_id, r.child_task_key): r.output_error for r in spark.table("t_late").collect()}
 
-    land(f"{scratch}/pages/p1.json", [{"runs": [run(1), run(2)]}])
-    assert trigger() == {(1, None): "get-output error: no output landed", (2, None): "get-output error: no output landed"}
+    refused = {"http_status": 400, "response_text": "Run with multiple tasks is not supported"}
+    land(f"{scratch}/pages/p1.json", [{"runs": [run(1), run(2), run(4), run(5)]}])
+    land(f"{scratch}/outputs/o4.json", [{"run_id": 4, **refused}, {"run_id": 5, **refused}])
+    land(f"{scratch}/details/d5.json", [{"run_id": 5, "http_status": 200, "body": {"tasks": [
+        {"task_key": "a", "run_id": 51}, {"task_key": "b", "run_id": 52}]}}])
+    land(f"{scratch}/outputs/o52.json", [{"run_id": 52, "http_status": 200, "body": {"error": "E52"}}])
+    first = trigger()
+    assert first[1, None] == first[2, None] == "get-output error: no output landed"
+    assert first[4, None].endswith("no details landed") and first[5, None] == "a: get-output error: no output landed; b: E52"
+    land(f"{scratch}/details/d4.json", [{"run_id": 4, "http_status": 200, "body": {"tasks": []}}])  # a fallback's details
+    land(f"{scratch}/outputs/o51.json", [{"run_id": 51, "http_status": 200, "body": {"error": "E51"}}])  # not the last task's
     land(f"{scratch}/outputs/o1.json", [{"run_id": 1, "http_status": 400, "response_text": "Run with multiple tasks is not supported"},
                                         {"run_id": 11, "http_status": 200, "body": {"error": "E"}}])
     land(f"{scratch}/details/d1.json", [{"run_id": 1, "http_status": 200, "body": {"tasks": [{"task_key": "a", "run_id": 11}, {}]}}])
     land(f"{scratch}/pages/p2.json", [{"runs": [run(3)]}])
     after = trigger()
     assert after[1, None] in ("a: E; unknown_task: no error field", None) and (1, "a") in after
-    assert spark.table("t_late").where("run_id = 1").count() == 3 and len({k[0] for k in after}) == 3
+    assert after[4, None] != first[4, None] and after[5, None] == "a: E51; b: E52"
+    assert spark.table("t_late").where("run_id = 1").count() == 3 and len({k[0] for k in after}) == 5
 
 
 def test_view_and_layout(spark, scratch):
