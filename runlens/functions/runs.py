@@ -74,12 +74,10 @@ def infer_task_type(keys: Column, task_raw: Column | None = None) -> Column:
     """
     cand = keys
     if task_raw is not None:
-        inner = raw_keys(task_raw)
-        cand = F.when(F.coalesce(F.size(inner), F.lit(0)) > 0, inner).otherwise(keys)
-    out = F.lit(None).cast("string")
-    for k in reversed(RUN_TASK_KINDS):
-        out = F.when(F.coalesce(F.array_contains(cand, k), F.lit(False)), F.lit(k)).otherwise(out)
-    return out
+        # a lambda's variable: the payloads are parsed once, not again for every kind
+        cand = F.element_at(F.transform(F.array(raw_keys(task_raw)), lambda inner: F.when(F.size(inner) > 0, inner).otherwise(keys)), 1)
+    kinds = F.array(*[F.lit(k) for k in RUN_TASK_KINDS])
+    return F.try_element_at(F.array_intersect(kinds, cand), F.lit(1))
 
 
 def attempt_number(*candidates: Column) -> Column:

@@ -79,6 +79,14 @@ def test_infer_task_type(spark, payload, kind):
     assert got == kind
 
 
+def test_infer_task_type_parses_a_payload_once(spark):
+    df = spark.createDataFrame([('{"sql_task":{}}',), (None,)], "p string")
+    out = df.select(R.infer_task_type(R.raw_keys("p"), F.get_json_object("p", "$.task")).alias("kind"))
+    assert [r.kind for r in out.collect()] == ["sql_task", None]
+    project = out._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert project.count("p#") == 2  # its own keys and its task, where each kind read both again
+
+
 def test_retry_fields(spark):
     rows = [("0", "0", None, "2", None, None, 7),      # an attempt > 0
             (None, None, None, None, None, "5", 5),    # original equals run
