@@ -54,18 +54,19 @@ def last_runs(job_runs: DataFrame) -> DataFrame:
 
 
 def job_inventory(jobs: DataFrame, clusters: DataFrame, workspace_objects: DataFrame,
-                  job_runs: DataFrame) -> DataFrame:
+                  job_runs: DataFrame, tags_as_text: bool = False) -> DataFrame:
     """P10: 13 inventory columns; a job without tasks gives one row whose
-    task fields are null. ``job_tags`` stays a map (see :func:`as_table`)."""
+    task fields are null. ``job_tags`` stays a map (see :func:`as_table`), or
+    with ``tags_as_text`` is made text once per job, before its tasks are rows."""
     tags = F.col("settings.tags")
     ended = ["last_run_duration_seconds", "last_run_status", "last_run_end_time"]
-    rows = jobs.join(last_runs(job_runs), "job_id", "left").select(
-        "job_id", *ended,
-        F.col("settings.name").alias("job_name"),
-        F.when(F.size(tags) > 0, tags).alias("job_tags"),
-        F.col("settings.job_clusters").alias("_jcs"),
-        F.explode_outer("settings.tasks").alias("t"),
-    )
+    tags = J.tags_text(tags) if tags_as_text else F.when(F.size(tags) > 0, tags)
+    # what a task row needs of its job is taken out first: exploded beside the
+    # settings, every task row would carry all tasks of its job
+    of_job = jobs.select("job_id", F.col("settings.name").alias("job_name"), tags.alias("job_tags"),
+                         F.col("settings.job_clusters").alias("_jcs"), F.col("settings.tasks").alias("_tasks"))
+    rows = of_job.join(last_runs(job_runs), "job_id", "left").select(
+        "job_id", *ended, "job_name", "job_tags", "_jcs", F.explode_outer("_tasks").alias("t"))
     t = F.col("t")
     has_task = t.isNotNull()
     ttype = F.when(has_task, J.task_type(t))

@@ -4,8 +4,8 @@ The reference reads the whole inventory into pandas and loops over groups
 on the driver. Here it is one window and two grouped aggregations, no join:
 
     mark the first row of each (job, task key)   -> distinct count as a sum
-    group by (job keys, language)                -> counters, versions, vote inputs
-    group by job keys                            -> merge + language vote
+    group by (job keys, language, version)       -> counters
+    group by job keys                            -> merge, versions, votes
 
 Over a stored inventory the aggregates are partial (map-side) first, so a job
 owning a large share of the rows is collapsed before the shuffle, and the
@@ -63,7 +63,7 @@ def job_summary(inventory: DataFrame, as_of, only_recent: bool = False) -> DataF
     as_of_col = as_of if not isinstance(as_of, str) else F.lit(as_of).cast("timestamp")
     if only_recent:
         inventory = inventory.where(J.recency_flag(F.col("last_run_end_time"), as_of_col) == F.lit("Y"))
-    by_language, by_job, stages = _levels()
+    counted, by_job, stages = _levels()
     base = inventory.select(*_base())
     # Each distinct (job, task key) is marked once, by a window partitioned
     # on that pair: the distinct count becomes a plain sum, so no set of a
@@ -73,7 +73,7 @@ def job_summary(inventory: DataFrame, as_of, only_recent: bool = False) -> DataF
                                                        F.col("dbr_version").asc_nulls_first())
     ) == 1
     marked = base.withColumn("_first", first & F.col("task_key").isNotNull())
-    out = marked.groupBy(*GROUP, "lang").agg(*by_language).groupBy(*GROUP).agg(*by_job)
+    out = marked.groupBy(*GROUP, "lang", "dbr_version").agg(*counted).groupBy(*GROUP).agg(*by_job)
     for stage in stages:
         out = out.select(*stage)
     return out.withColumn("ran_last_6_months", J.recency_flag(F.col("last_run_end_time"), as_of_col)).select(
@@ -103,36 +103,39 @@ def _levels() -> tuple[list, list, list[list]]:
     version = F.col("dbr_version")
     vkey = J.version_key(version)
     pivots = _pivots()
-    # Level 1, per (job, language): counters, runtime versions (a small closed
-    # vocabulary), earliest parseable version; partial aggregation first.
-    by_language = [
+    # Level 1, per (job, language, runtime version): counters alone, numbers of
+    # fixed width that one hash aggregation keeps in place; partial first.
+    counted = [
         F.count(F.lit(1)).alias("n"),
         F.count_if("_first").alias("keys"),
-        F.collect_set("dbr_version").alias("versions"),
-        F.min(F.when(vkey.isNotNull(), F.struct(vkey.getField("major").alias("major"),
-                                                 vkey.getField("minor").alias("minor"),
-                                                 version.alias("v")))).alias("min_v"),
         F.max("last_run_end_time").alias("end"),
         F.bool_or(F.coalesce(F.col("task_type").isin(*J.INVESTIGATION_TYPES), F.lit(False))).alias("inv"),
         *[F.count_if(c).alias(n) for n, c in pivots],
     ]
-    # Level 2, per job: merge, and the language vote over the level-1 rows
-    # (one per language, so the collected names are a handful).
+    # Level 2, per job: merge the level-1 rows (one per language and version,
+    # so the collected versions and votes are a handful).
     voting = F.col("lang").isNotNull() & (F.col("lang") != F.lit(J.INVESTIGATION_MARKER))
     by_job = [
         F.sum("keys").alias("num_tasks"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("versions")))).alias("versions"),
-        F.min("min_v").getField("v").alias("min_dbr_version"),
+        F.sort_array(F.collect_set("dbr_version")).alias("versions"),
+        F.min(F.when(vkey.isNotNull(), F.struct(vkey.getField("major").alias("major"),
+                                                 vkey.getField("minor").alias("minor"),
+                                                 version.alias("v")))).getField("v").alias("min_dbr_version"),
         F.max("end").alias("last_run_end_time"),
         F.bool_or("inv").alias("inv"),
         F.bool_or(F.coalesce(F.col("lang") == F.lit(J.INVESTIGATION_MARKER), F.lit(False))).alias("flagged"),
-        F.count(F.when(voting, F.lit(1))).alias("n_langs"),
         F.sum(F.when(voting, F.col("n")).otherwise(F.lit(0))).alias("total"),
-        F.max_by(F.when(voting, F.col("lang")), F.when(voting, F.col("n"))).alias("top_lang"),
-        F.max(F.when(voting, F.col("n"))).alias("top_count"),
-        F.array_sort(F.collect_list(F.when(voting, F.col("lang")))).alias("pair"),
+        F.collect_list(F.when(voting, F.struct("lang", "n"))).alias("votes"),
         *[F.sum(n).alias(n) for n, _ in pivots],
     ]
+    voted = [F.col("*"), F.sort_array(F.array_distinct(F.col("votes.lang"))).alias("pair")]
+    # The largest count is asked for where there are several languages; a label
+    # names its language only if it has most of the votes, so ties tell nothing.
+    votes = F.transform("pair", lambda x: F.struct(F.aggregate(
+        "votes", F.lit(0).cast("bigint"), lambda sofar, v: sofar + F.when(v.getField("lang") == x, v.getField("n")).otherwise(0)
+    ).alias("n"), x.alias("lang")))
+    topped = [F.col("*"), F.when(F.size("pair") > 1, F.array_max(votes)).otherwise(
+        F.struct(F.col("total").alias("n"), F.try_element_at("pair", F.lit(1)).alias("lang"))).alias("top")]
     keys = [F.col("*"), F.when(~F.col("_gname_null"), F.col("_gname")).alias("job_name"),
             F.when(~F.col("_gtags_null"), F.col("_gtags")).alias("job_tags")]
     # Parsed tags and name issues are computed once here and read by name
@@ -144,7 +147,7 @@ def _levels() -> tuple[list, list, list[list]]:
         *KEYS,
         F.col("num_tasks").cast("bigint").alias("num_tasks"),
         "last_run_end_time",
-        J.vote_label(F.col("n_langs"), F.col("top_lang"), F.col("top_count"), F.col("total"),
+        J.vote_label(F.size("pair"), F.col("top.lang"), F.col("top.n"), F.col("total"),
                      F.col("pair"), F.col("flagged")).alias("job_language"),
         F.when(F.col("inv"), F.lit("Y")).otherwise(F.lit("N")).alias("investigation_needed"),
         F.when(F.col("job_name_issues").isNotNull(), F.lit("Y")).otherwise(F.lit("N")).alias("job_name_flag"),
@@ -155,7 +158,7 @@ def _levels() -> tuple[list, list, list[list]]:
         "min_dbr_version",
         *[F.col(n).cast("bigint").alias(n) for n, _ in pivots],
     ]
-    return by_language, by_job, [keys, staged, out]
+    return counted, by_job, [voted, topped, keys, staged, out]
 
 
 def job_language(summary: DataFrame) -> DataFrame:

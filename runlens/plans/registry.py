@@ -65,13 +65,17 @@ from ..session import cut_lineage, shared_dir  # noqa: E402
 from ..sinks import zorder as Z  # noqa: E402
 
 
-def inventory(spark: SparkSession, d: str) -> DataFrame:
+def inventory(spark: SparkSession, d: str, tags_as_text: bool = False) -> DataFrame:
     return INV.job_inventory(X.jobs(spark, d), X.clusters(spark, d), X.workspace_objects(spark, d),
-                             X.job_runs(spark, d))
+                             X.job_runs(spark, d), tags_as_text)
+
+
+def inventory_table(spark: SparkSession, d: str) -> DataFrame:
+    return inventory(spark, d, tags_as_text=True)
 
 
 def summary(spark: SparkSession, d: str) -> DataFrame:
-    return SUM.job_summary(INV.as_table(inventory(spark, d)), X.AS_OF)
+    return SUM.job_summary(inventory_table(spark, d), X.AS_OF)
 
 
 def tracker(spark: SparkSession, d: str) -> DataFrame:
@@ -83,7 +87,7 @@ SUMMARY_COLS = ", ".join(SUM.summary_columns())
 
 @register("job_inventory", O.job_sql(f"SELECT {O.INVENTORY_COLS} FROM inventory"))
 def q_job_inventory(spark: SparkSession, d: str) -> DataFrame:
-    return INV.as_table(inventory(spark, d))
+    return inventory_table(spark, d)
 
 
 @register("job_summary", O.job_sql(f"SELECT {SUMMARY_COLS} FROM summary"))
@@ -142,7 +146,7 @@ def _migration_sql(cost_key: str) -> str:
 
 
 def _migration(spark: SparkSession, d: str, cost_key: str) -> DataFrame:
-    recent = SUM.job_summary(INV.as_table(inventory(spark, d)), X.AS_OF, only_recent=True)
+    recent = SUM.job_summary(inventory_table(spark, d), X.AS_OF, only_recent=True)
     return OWN.migration_list(recent, tracker(spark, d), X.job_cost(spark, d), cost_key)
 
 
@@ -159,7 +163,7 @@ def q_migration_list_by_name(spark: SparkSession, d: str) -> DataFrame:
 @register("migration_list_split", _migration_sql("job_id"))
 def q_migration_list_split(spark: SparkSession, d: str) -> DataFrame:
     """The ownership view where names of more than 50 jobs or owners are split on both sides."""
-    recent = cut_lineage(SUM.job_summary(INV.as_table(inventory(spark, d)), X.AS_OF, only_recent=True))
+    recent = cut_lineage(SUM.job_summary(inventory_table(spark, d), X.AS_OF, only_recent=True))
     return OWN.migration_list(recent, tracker(spark, d), X.job_cost(spark, d), heavy_rows=50)
 
 
@@ -167,7 +171,7 @@ def q_migration_list_split(spark: SparkSession, d: str) -> DataFrame:
 def q_summary_refreshed(spark: SparkSession, d: str) -> DataFrame:
     """The job summary brought up to date from one of an earlier inventory: without every seventh job, with every
     fifth job's tasks of another kind, rows twice for every eleventh job, and jobs that are gone since."""
-    now = cut_lineage(INV.as_table(inventory(spark, d)))
+    now = cut_lineage(inventory_table(spark, d))
     job = F.col("job_id")
     old = now.where(job % 7 != 0).withColumn("task_type", F.when(job % 5 == 0, "sql").otherwise(F.col("task_type")))
     before = cut_lineage(old.unionByName(now.where(job % 11 == 0)).unionByName(

@@ -354,8 +354,8 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(_version(F.substring_index(jc_key, "-", -1).try_cast("int"), F.lit(1)).alias("spark_version")).alias("new_cluster"),
     ))
     nested = t.groupBy("job_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "task"))).alias("_tasks"),
-        F.array_sort(F.collect_set(shared)).alias("job_clusters"),
+        F.sort_array(F.collect_list(F.struct("pos", "task"))).alias("_tasks"),
+        F.sort_array(F.collect_set(shared)).alias("job_clusters"),
     )
     okey = F.col("o_orderkey")
     return o.select((okey + 1).alias("job_id"), _job_name(okey).alias("name"), _tags(okey).alias("tags")).join(
@@ -365,7 +365,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(
             F.col("name"), F.col("tags"),
             F.col("job_clusters"),
-            F.transform(F.col("_tasks"), lambda e: e.getField("task")).alias("tasks"),
+            F.col("_tasks.task").alias("tasks"),
         ).alias("settings"),
     )
 

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from runlens.plans import registry
+from runlens.sources import fixtures as X
 
 SF = "/root/testdata/sf0.001"
 HEADLINE = ["failure_log", "job_inventory", "job_summary", "migration_list"]
@@ -25,6 +26,30 @@ def test_no_python_udf(spark, name):
         assert node not in p
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
+def test_task_rows_do_not_carry_their_jobs_settings(spark):
+    generate = [x for x in optimized(E.queries()["job_inventory"](spark, SF)).splitlines() if "Generate explode" in x]
+    assert len(generate) == 1 and "settings" not in generate[0]
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
+def test_only_the_merge_per_job_gathers_lists(spark):
+    """Counters per language and version are kept in place; two object aggregates, partial and final, gather the rest
+    (and two the tasks of the job definitions)."""
+    assert plan_text(E.queries()["job_summary"](spark, SF)).count("ObjectHashAggregate") == 4
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables absent")
+@pytest.mark.parametrize("shape", ["jobs", "run_details"])
+def test_nested_tasks_are_sorted_and_taken_without_lambdas(spark, shape):
+    plan = optimized(getattr(X, shape)(spark, SF))
+    assert "sort_array" in plan and "lambdafunction" not in plan
+
+
 def test_every_query_has_oracle():
     assert set(registry.QUERIES) == set(registry.ORACLE)
     assert set(registry.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())

@@ -44,6 +44,13 @@ def test_refreshed_summary(spark):
     assert summary_rows(same) == summary_rows(SUM.job_summary(old, AS_OF))  # the recency flag is of the day
 
 
+def test_votes_add_up_over_versions(spark):
+    rows = [task(1, n, "spark_python", version) for n, version in enumerate(["9.1.x", "9.1.x", "10.4.x", None])]
+    rows += [task(1, 8, "sql", "9.1.x"), *[task(2, n, "sql", f"{n}.0") for n in range(2)], task(2, 7, "spark_python", "1.0")]
+    found = {r.job_id: (r.job_language, r.num_tasks, r.dbr_version_count) for r in SUM.job_summary(inventory(spark, rows), AS_OF).collect()}
+    assert found == {1: ("mostly_python", 5, 2), 2: ("python_and_sql", 3, 2)}
+
+
 def test_unchanged_jobs_are_not_summed_up_again(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(REF, "job_summary", lambda rows, as_of: seen.append({r.job_id for r in rows.collect()}) or SUM.job_summary(rows, as_of))
