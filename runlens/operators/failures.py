@@ -212,7 +212,7 @@ def task_error_text(task_errs: DataFrame) -> DataFrame:
     return task_errs.groupBy(F.col("parent_run_id").alias("run_id")).agg(
         F.array_join(
             F.transform(
-                F.array_sort(F.collect_list(F.struct("pos", "task_error_text"))),
+                F.sort_array(F.collect_list(F.struct("pos", "task_error_text"))),
                 lambda x: x.getField("task_error_text"),
             ),
             "; ",

@@ -250,7 +250,6 @@ def run_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = run_tasks(spark, sf_dir)
     tid = F.col("task_run_id")
     elem = F.struct(
-        F.col("pos").alias("pos"),
         F.col("task_key").alias("task_key"),
         F.when(F.col("pos") % 2 == 0, tid).alias("run_id"),
         F.when(F.col("pos") % 2 == 1, tid).alias("task_run_id"),
@@ -259,8 +258,8 @@ def run_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         # every seventh payload names its first kind with a null value: present, though its field is null
         F.when(F.col("p") % 7 == 0, F.array(F.lit("task_key"), F.lit(RUN_TASK_KINDS[0]))).alias("payload_keys"),
     )
-    nested = t.groupBy("run_id").agg(F.array_sort(F.collect_list(elem)).alias("tasks"))
-    tasks = F.transform(F.col("tasks"), lambda e: e.dropFields("pos"))
+    nested = t.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("pos", elem.alias("task")))).alias("tasks"))
+    tasks = F.col("tasks.task")
     k = F.col("_k")
     status = F.when(k % 5 == 1, 404).otherwise(200)
     job_id = F.col("job_id")
