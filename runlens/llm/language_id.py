@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stored
+from .common import bounded_batches, matrix, stored
 
 UNDETERMINED = "und"
 #: Characters from which on a text is long enough to tell that it is in none of the languages.
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, learn: Column | None = None, sample: int = 3200, landma
                                 _kernels(marks, docs.sparkSession)("text").alias("_kernels")).toArrow()
     sample_rows = sample_rows.sort_by([("_order", "ascending")])
     lang = np.array(sample_rows.column("_lang").to_pylist(), object)
-    x = np.array(sample_rows.column("_kernels").to_pylist())
+    x = matrix(sample_rows.column("_kernels"))
     languages = sorted(set(lang))
     values, vectors = np.linalg.eigh(marks.among())
     good = values > 1e-6 * values.max()

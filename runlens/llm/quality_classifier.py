@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import BATCH_ROWS, bounded_batches, matrix
 
 PUNCTUATION = ".,!|*&%$#@-_:;'\"()<>/=+?"
 OTHER = 5 + len(PUNCTUATION)
@@ -110,6 +110,23 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
 
 
+def _gathered(terms: pa.ChunkedArray) -> np.ndarray:
+    """The weights of gathered term counts (with the size last), made block by block in the one matrix that is held."""
+    x, at = np.empty((len(terms), N_TERMS)), 0
+    for chunk in terms.chunks:
+        for begin in range(0, len(chunk), BATCH_ROWS):
+            part = matrix(chunk.slice(begin, BATCH_ROWS))
+            x[at:at + len(part)] = _weights(part[:, :-1], part[:, -1])
+            at += len(part)
+    return x
+
+
+def _to_unit(x: np.ndarray) -> None:
+    """:func:`_unit` in place."""
+    for begin in range(0, len(x), BATCH_ROWS):
+        x[begin:begin + BATCH_ROWS] = _unit(x[begin:begin + BATCH_ROWS])
+
+
 @dataclass
 class Model:
     idf: np.ndarray  # weight of each term
@@ -161,13 +178,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Colum
     if not rows.num_rows:
         none = np.zeros((0, 0))
         return Model(none, none, none, none, 0.5 if known is None else float(known), power)
-    counts = np.array(rows.column("_terms").to_pylist(), np.float64)
     y = rows.column("_label").to_numpy().astype(int)
-    size, counts = counts[:, -1], counts[:, :-1]
-    x = _weights(counts, size)
+    x = _gathered(rows.column("_terms"))
+    del rows
     seen = (x > 0).sum(axis=0)
     idf = np.where(seen > 0, np.log((1 + len(x)) / (1 + seen)) + 0.1, 0.0)
-    x = _unit(x * idf)
+    x *= idf
+    _to_unit(x)
     _, basis = np.linalg.eigh(x.T @ x)
     basis = basis[:, -dims:]
     share = np.bincount(y, minlength=2) / len(y)
