@@ -61,7 +61,7 @@ from ..operators import inventory as INV  # noqa: E402
 from ..operators import ownership as OWN  # noqa: E402
 from ..operators import refresh as REF  # noqa: E402
 from ..operators import summary as SUM  # noqa: E402
-from ..session import cut_lineage, shared_dir  # noqa: E402
+from ..session import cut_lineage, shared_dir, stored  # noqa: E402
 from ..sinks import zorder as Z  # noqa: E402
 
 
@@ -171,11 +171,11 @@ def q_migration_list_split(spark: SparkSession, d: str) -> DataFrame:
 def q_summary_refreshed(spark: SparkSession, d: str) -> DataFrame:
     """The job summary brought up to date from one of an earlier inventory: without every seventh job, with every
     fifth job's tasks of another kind, rows twice for every eleventh job, and jobs that are gone since."""
-    now = cut_lineage(inventory_table(spark, d))
+    now = stored(inventory_table(spark, d), "inventory")
     job = F.col("job_id")
     old = now.where(job % 7 != 0).withColumn("task_type", F.when(job % 5 == 0, "sql").otherwise(F.col("task_type")))
-    before = cut_lineage(old.unionByName(now.where(job % 11 == 0)).unionByName(
-        now.where(job % 13 == 0).withColumn("job_id", job + 1_000_000_000)))
+    before = old.unionByName(now.where(job % 11 == 0)).unionByName(
+        now.where(job % 13 == 0).withColumn("job_id", job + 1_000_000_000))
     return REF.refreshed_summary(SUM.job_summary(before, X.AS_OF), REF.job_digests(before), now, X.AS_OF)
 
 

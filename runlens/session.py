@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back, for rows that several steps read: a
+    checkpoint holds whole rows uncompressed, and every later step reads all of their columns."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/runlens-stored/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def prepared(build):
     """Keep the columns that ``build`` makes, by its arguments. A column names
     what it reads and holds no data, so it serves any number of plans; making
