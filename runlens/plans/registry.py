@@ -163,7 +163,7 @@ def q_migration_list_by_name(spark: SparkSession, d: str) -> DataFrame:
 @register("migration_list_split", _migration_sql("job_id"))
 def q_migration_list_split(spark: SparkSession, d: str) -> DataFrame:
     """The ownership view where names of more than 50 jobs or owners are split on both sides."""
-    recent = cut_lineage(SUM.job_summary(inventory_table(spark, d), X.AS_OF, only_recent=True))
+    recent = stored(SUM.job_summary(inventory_table(spark, d), X.AS_OF, only_recent=True), "summary")
     return OWN.migration_list(recent, tracker(spark, d), X.job_cost(spark, d), heavy_rows=50)
 
 
