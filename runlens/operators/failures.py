@@ -21,6 +21,8 @@ status of each call:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -400,26 +402,34 @@ def err_basis_expr(is_single: Column, st: Column, output_error: Column) -> Colum
 
 
 def failure_rows(runs: DataFrame, outputs: DataFrame, details: DataFrame, *,
-                 window: tuple[int | None, int | None] | None = None) -> DataFrame:
+                 window: tuple[int | None, int | None] | None = None,
+                 keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """All failure rows with a ``row_kind`` column naming the branch and the
     ``run_start_time`` of the run each row came from.
 
     ``runs`` are landed run records (page entries), ``outputs`` and
     ``details`` the landed API answers (schemas in ``runlens.schemas``).
+
+    The enriched runs are read for the rows and for the lookups of tasks, which
+    Spark plans apart: it enriches up to four times. ``keep`` (such as
+    ``session.stored``) holds them, so that it is done once.
     """
     r = failed_runs(runs)
     if window is not None:
         r = runs_in_window(r, *window)
     e = enrich_runs(latest_records(r), outputs, details, asked=r)
+    if keep is not None:
+        e = keep(e, "enriched")
     texts = task_error_text(task_errors(e, outputs)).withColumnRenamed("error_text", "_task_text")
     e = e.join(texts, "run_id", "left")
     return _rows(e)
 
 
 def failure_log(runs: DataFrame, outputs: DataFrame, details: DataFrame, *, ingest_iso: str,
-                window: tuple[int | None, int | None] | None = None) -> DataFrame:
+                window: tuple[int | None, int | None] | None = None,
+                keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """P1 + P8 + P9: the typed 25-column failure log."""
-    rows = failure_rows(runs, outputs, details, window=window)
+    rows = failure_rows(runs, outputs, details, window=window, keep=keep)
     return rows.select(
         *[F.col(n).cast(t).alias(n) for n, t in FAILURE_FIELDS],
         F.lit(ingest_iso).alias("row_added_at"),

@@ -15,6 +15,7 @@ from ..functions import jobs as J
 from ..functions import runs as R
 from ..operators import failures as FL
 from ..operators.masking import masked_view
+from ..session import stored
 from ..sources import fixtures as X
 from ..sinks.versions import newest_versions
 from ..sources.pages import page_chains
@@ -102,8 +103,9 @@ def q_task_error_text(spark: SparkSession, d: str) -> DataFrame:
 
 def _two_ingests(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     lo, hi = (C.to_epoch_ms_strict(x) for x in X.WINDOW)
-    a = FL.failure_log(*_landed(spark, d), ingest_iso=X.INGEST_ISO, window=(lo, hi))
-    b = FL.failure_log(*_landed(spark, d), ingest_iso=X.REINGEST_ISO)
+    landed = X.landed_once(spark, d)
+    a = FL.failure_log(*landed, ingest_iso=X.INGEST_ISO, window=(lo, hi), keep=stored)
+    b = FL.failure_log(*landed, ingest_iso=X.REINGEST_ISO, keep=stored)
     return a, b
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jobs import JOB_TASK_KINDS
 from ..functions.runs import RUN_TASK_KINDS
+from ..session import stored
 
 # Fixed window, as-of time and ingest stamps used by the registered queries.
 WINDOW = ("2024-01-10T00:00:00Z", "2024-01-20T00:00:00Z")
@@ -215,7 +216,10 @@ def _metadata(k: Column, r: Column) -> Column:
 @landed
 def run_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed get-output answers: one per run, plus one per addressable task."""
-    r = runs(spark, sf_dir)
+    return _outputs_of(runs(spark, sf_dir), run_tasks(spark, sf_dir))
+
+
+def _outputs_of(r: DataFrame, t: DataFrame) -> DataFrame:
     k = F.col("_k")
     status = F.when(k % 7 == 0, 400).when(k % 11 == 1, 500).otherwise(200)
     run_level = r.select(
@@ -228,7 +232,6 @@ def run_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
             _metadata(k, F.struct(*[F.col(c) for c in ("job_id", "start_time", "end_time", "state")])).alias("metadata"),
         )).alias("body"),
     )
-    t = run_tasks(spark, sf_dir)
     by_id = F.col("task_run_id").isNotNull()
     task_level = t.where(by_id | F.col("task_key").isNotNull()).select(
         F.when(by_id, F.col("task_run_id")).otherwise(F.col("run_id")).alias("run_id"),
@@ -246,8 +249,10 @@ def run_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @landed
 def run_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed runs/get answers: one per run, tasks nested in position order."""
-    r = runs(spark, sf_dir).select("run_id", "job_id", "_k")
-    t = run_tasks(spark, sf_dir)
+    return _details_of(runs(spark, sf_dir).select("run_id", "job_id", "_k"), run_tasks(spark, sf_dir))
+
+
+def _details_of(r: DataFrame, t: DataFrame) -> DataFrame:
     tid = F.col("task_run_id")
     elem = F.struct(
         F.col("task_key").alias("task_key"),
@@ -281,6 +286,17 @@ def run_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_once(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Runs, outputs and details for a query that reads them many times. Where they are not landed already, the tasks
+    and the details are written once as Parquet: deriving them takes three shuffles, which every read would repeat."""
+    if spark.conf.get(LANDED_CONF, None):
+        return run_records(spark, sf_dir), run_outputs(spark, sf_dir), run_details(spark, sf_dir)
+    r, t = runs(spark, sf_dir), stored(run_tasks(spark, sf_dir), "tasks")
+    # tasks are shuffled before they are nested, which makes them more than twice as large
+    details = _details_of(r.select("run_id", "job_id", "_k"), t.repartition("run_id"))
+    return run_records(spark, sf_dir), _outputs_of(r, t), stored(details, "details")
+
+
 # ---------------------------------------------------------------- job side
 
 def _job_name(okey: Column) -> Column:

@@ -1,10 +1,14 @@
 """Rows kept between steps, and the digests of the refreshed summary."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
+from runlens.operators import failures as FL
 from runlens.operators import refresh as REF
-from runlens.plans import registry
+from runlens.plans import registry, rules
 from runlens.session import stored
+from runlens.sources import fixtures as X
 
 
 def test_stored_rows_are_read_by_column(spark):
@@ -44,3 +48,35 @@ def test_summary_refreshed_keeps_no_whole_rows(spark, scratch, monkeypatch):
     assert made == [1] and "ExistingRDD" not in plan and "notebook_path" not in plan
     want = registry.SUM.job_summary(rows, registry.X.AS_OF)
     assert sorted(map(repr, found.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def driver_tables(spark, folder):
+    """Events of every outcome inside and outside the window, and their tasks, some twice or with null keys."""
+    n, at = F.col("id"), F.timestamp_seconds(F.lit(1_704_672_000) + F.col("id") * 21_600)
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("error", "view", "error", "signup")]), (n % 4 + 1).cast("int"))
+    spark.range(80).select(
+        n.alias("event_id"), at.alias("ts"), (n % 9).alias("user_id"), kind.alias("event_type"),
+        (n / 8).alias("value"), F.format_string('{"k":%d}', (n * 5) % 41).alias("props"),
+    ).write.parquet(f"{folder}/events.parquet")
+    lines = spark.range(240).select(
+        (n % 90).alias("l_orderkey"), (n * 7 % 61).alias("l_partkey"), n.alias("l_suppkey"), (n % 3 + n % 2 + 1).cast("int").alias("l_linenumber"))
+    lines.unionByName(lines.where("l_suppkey % 10 = 0").withColumn("l_partkey", F.col("l_partkey") + 3)).unionByName(
+        lines.where("l_suppkey < 2").withColumn("l_orderkey", F.lit(None).cast("long"))).write.parquet(f"{folder}/lineitem.parquet")
+
+
+def test_two_ingests_derive_tasks_details_and_enriched_runs_once(spark, scratch, monkeypatch):
+    """Both logs read kept rows: the plan has no scan of the task table and enriches no run; the rows are those of logs derived apart."""
+    driver_tables(spark, scratch)
+    lo, hi = (int(datetime.fromisoformat(x).timestamp() * 1000) for x in X.WINDOW)
+    landed = X.run_records(spark, scratch), X.run_outputs(spark, scratch), X.run_details(spark, scratch)
+    a = FL.failure_log(*landed, ingest_iso=X.INGEST_ISO, window=(lo, hi))
+    b = FL.failure_log(*landed, ingest_iso=X.REINGEST_ISO)
+    made, enrich = [], FL.enrich_runs
+    monkeypatch.setattr(FL, "enrich_runs", lambda *args, **named: made.append(1) or enrich(*args, **named))
+    found = rules.q_new_only(spark, scratch)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert made == [1, 1] and "l_partkey" not in plan and "end_time#" not in "".join(x for x in plan.splitlines() if "Window" in x)
+    want = FL.new_only(b, a, FL.event_key(b))
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(found) == rows(want) and a.count() and want.where("child_task_run_id is not null").count()
+    assert all(rows(x) == rows(y) for x, y in zip(rules._two_ingests(spark, scratch), (a, b)))
