@@ -15,6 +15,8 @@ tasks are exploded: one row per job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,10 +56,15 @@ def last_runs(job_runs: DataFrame) -> DataFrame:
 
 
 def job_inventory(jobs: DataFrame, clusters: DataFrame, workspace_objects: DataFrame,
-                  job_runs: DataFrame, tags_as_text: bool = False) -> DataFrame:
+                  job_runs: DataFrame, tags_as_text: bool = False,
+                  keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """P10: 13 inventory columns; a job without tasks gives one row whose
     task fields are null. ``job_tags`` stays a map (see :func:`as_table`), or
-    with ``tags_as_text`` is made text once per job, before its tasks are rows."""
+    with ``tags_as_text`` is made text once per job, before its tasks are rows.
+
+    ``keep`` (:func:`runlens.session.stored`) keeps the rows before the two
+    lookups and those that ask for one after them: the others take no part in
+    the lookups' shuffles, and who reads the inventory many times derives it once."""
     tags = F.col("settings.tags")
     ended = ["last_run_duration_seconds", "last_run_status", "last_run_end_time"]
     tags = J.tags_text(tags) if tags_as_text else F.when(F.size(tags) > 0, tags)
@@ -83,13 +90,29 @@ def job_inventory(jobs: DataFrame, clusters: DataFrame, workspace_objects: DataF
         F.when(ttype == "notebook", nb_path).alias("notebook_path"),
     )
     path = F.col("notebook_path")
-    out = (
+    if keep is None:
+        return _looked_up(rows, clusters, workspace_objects, ended)
+    rows = keep(rows, "task-rows")
+    asks = F.coalesce((F.col("_own_version").isNull() & F.col("_uses_existing")) | (path != ""), F.lit(False))
+    others = rows.where(~asks).withColumns({"spark_version": F.lit(None).cast("string"), "language": F.lit(None).cast("string")})
+    return _table(others, ended).unionByName(
+        keep(_looked_up(rows.where(asks), clusters, workspace_objects, ended), "looked-up"))
+
+
+def _looked_up(rows: DataFrame, clusters: DataFrame, workspace_objects: DataFrame, ended: list[str]) -> DataFrame:
+    found = (
         rows.withColumns({"cluster_id": spread_key(F.col("_cluster_id"), "job_id", "task_key"),
-                          "path": spread_key(path, "job_id", "task_key")})
+                          "path": spread_key(F.col("notebook_path"), "job_id", "task_key")})
         .join(unique_lookup(clusters, "cluster_id", "spark_version"), "cluster_id", "left")
         .join(unique_lookup(workspace_objects, "path", "language"), "path", "left")
     )
-    return out.select(
+    return _table(found, ended)
+
+
+def _table(rows: DataFrame, ended: list[str]) -> DataFrame:
+    """The inventory's columns of rows with the answers ``spark_version`` and ``language``."""
+    path = F.col("notebook_path")
+    return rows.select(
         "job_id", "job_name", "job_tags", "task_key", "task_type", "cluster_type",
         F.coalesce(F.col("_own_version"), F.when(F.col("_uses_existing"), F.col("spark_version"))).alias("dbr_version"),
         "notebook_path",

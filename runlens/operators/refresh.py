@@ -16,11 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jobs as J
-from .summary import KEYS, _pivots, job_summary, pivot_names, summary_columns
-
-#: The columns of the inventory that the summary reads.
-READ = ["job_id", "job_name", "job_tags", "task_key", "task_type", "cluster_type", "dbr_version", "notebook_language",
-        "last_run_end_time"]
+from ..session import stored
+from .summary import KEYS, READ, _pivots, job_summary, pivot_names, summary_columns
 
 
 def job_digests(inventory: DataFrame) -> DataFrame:
@@ -35,29 +32,30 @@ def job_digests(inventory: DataFrame) -> DataFrame:
 
 def changed_jobs(before: DataFrame, after: DataFrame) -> DataFrame:
     """(job_id, change): the jobs whose digests differ, as 'inserted', 'edited' or 'deleted'."""
-    old = before.select(F.col("job_id").alias("old_id"), F.struct("n_rows", "digest").alias("old"))
-    new = after.select("job_id", F.struct("n_rows", "digest").alias("new"))
-    both = new.join(old, F.col("job_id").eqNullSafe(F.col("old_id")), "full_outer").where(~F.col("old").eqNullSafe(F.col("new")))
-    return both.select(
-        F.when(F.col("new").isNull(), F.col("old_id")).otherwise(F.col("job_id")).alias("job_id"),
-        F.when(F.col("old").isNull(), "inserted").when(F.col("new").isNull(), "deleted").otherwise("edited").alias("change"))
-
-
-def _of_jobs(rows: DataFrame, jobs: DataFrame, how: str) -> DataFrame:
-    wanted = jobs.select(F.col("job_id").alias("_job"))
-    return rows.join(wanted, F.col("job_id").eqNullSafe(F.col("_job")), how)
+    # united and grouped, not joined: both sides are dealt by job already, and a null id is a group like any other
+    digest, none = F.struct("n_rows", "digest"), F.lit(None).cast("struct<n_rows:bigint,digest:string>")
+    sides = before.select("job_id", digest.alias("old"), none.alias("new")).unionByName(
+        after.select("job_id", none.alias("old"), digest.alias("new")))
+    both = sides.groupBy("job_id").agg(F.max("old").alias("old"), F.max("new").alias("new"))
+    return both.where(~F.col("old").eqNullSafe(F.col("new"))).select(
+        "job_id", F.when(F.col("old").isNull(), "inserted").when(F.col("new").isNull(), "deleted").otherwise("edited").alias("change"))
 
 
 def refreshed_summary(previous: DataFrame, digests: DataFrame, inventory: DataFrame, as_of) -> DataFrame:
     """The summary of ``inventory``, given a ``previous`` summary and the digests of the inventory it was made from."""
-    changed = changed_jobs(digests, job_digests(inventory)).select("job_id")
+    changed = stored(changed_jobs(digests, job_digests(inventory)).select(F.col("job_id").alias("_job")), "changed")
     as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+    # Joined on the plain id, by which the summary's rows are dealt before and after the joins. A null id matches
+    # nothing: rows without an id are summed up again in any case.
+    same, null = F.col("job_id") == F.col("_job"), F.col("job_id").isNull()
     # the recency flag is of the day, whether or not the job changed
-    kept = _of_jobs(previous, changed, "left_anti").withColumn(
+    kept = previous.where(~null).join(changed, same, "left_anti").withColumn(
         "ran_last_6_months", J.recency_flag(F.col("last_run_end_time"), as_of_col))
-    fresh = job_summary(_of_jobs(inventory, changed, "left_semi"), as_of)
     columns = summary_columns()
-    return kept.select(columns).unionByName(fresh.select(columns))
+    # kept for itself: the shuffles of the earlier summary are gone before those of the changed jobs' rows are written
+    kept = stored(kept.select(columns), "kept")
+    fresh = job_summary(inventory.join(changed, same, "left").where(F.col("_job").isNotNull() | null).drop("_job"), as_of)
+    return kept.unionByName(fresh.select(columns))
 
 
 def counters(inventory: DataFrame, weight: int = 1) -> DataFrame:

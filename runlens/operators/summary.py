@@ -3,27 +3,30 @@
 The reference reads the whole inventory into pandas and loops over groups
 on the driver. Here it is one window and two grouped aggregations, no join:
 
-    mark the first row of each (job, task key)   -> distinct count as a sum
-    group by (job keys, language, version)       -> counters
-    group by job keys                            -> merge, versions, votes
-
-Over a stored inventory the aggregates are partial (map-side) first, so a job
-owning a large share of the rows is collapsed before the shuffle, and the
-window is dealt by (job, task key). Where the input is already partitioned by
-job (the inventory computed in the same plan), Spark keeps that partitioning:
-a job's rows then meet in one task. The only collected lists are runtime
-versions and language names, small closed vocabularies.
+    mark the first row of each (job, task key)     -> distinct count as a sum
+    group by job keys, kind of task and version    -> counters
+    group by job keys                              -> merge, versions, votes
+
+All three are dealt by job: one shuffle, of the columns that the summary reads,
+or none where the input is already partitioned by job. A job's rows meet in one
+task, as they did before in the one record that its tasks came in; a null id's
+rows too. The only collected lists are runtime versions and language names,
+small closed vocabularies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import jobs as J
 from ..session import prepared
 
 KEYS = ["job_id", "job_name", "job_tags"]
+#: The columns of the inventory that the summary reads.
+READ = [*KEYS, "task_key", "task_type", "cluster_type", "dbr_version", "notebook_language", "last_run_end_time"]
 
 
 def pivot_names() -> list[str]:
@@ -64,38 +67,25 @@ def job_summary(inventory: DataFrame, as_of, only_recent: bool = False) -> DataF
     if only_recent:
         inventory = inventory.where(J.recency_flag(F.col("last_run_end_time"), as_of_col) == F.lit("Y"))
     counted, by_job, stages = _levels()
-    base = inventory.select(*_base())
-    # Each distinct (job, task key) is marked once, by a window partitioned
-    # on that pair: the distinct count becomes a plain sum, so no set of a
-    # job's keys is built.
-    first = F.row_number().over(
-        Window.partitionBy(*GROUP, "task_key").orderBy(F.col("lang").asc_nulls_first(),
-                                                       F.col("dbr_version").asc_nulls_first())
-    ) == 1
-    marked = base.withColumn("_first", first & F.col("task_key").isNotNull())
-    out = marked.groupBy(*GROUP, "lang", "dbr_version").agg(*counted).groupBy(*GROUP).agg(*by_job)
+    # Each distinct (job, task key) is marked once, where it differs from the
+    # row's before: the distinct count becomes a plain sum, so no set of a
+    # job's keys is built. The window is dealt by job, as the aggregates need it.
+    earlier = Window.partitionBy("job_id").orderBy(*KEYS[1:], "task_key")
+    again = functools.reduce(Column.__and__, [F.lag(c).over(earlier).eqNullSafe(F.col(c)) for c in (*KEYS[1:], "task_key")])
+    marked = inventory.select(*READ, (F.col("task_key").isNotNull() & ~again).alias("_first"))
+    out = marked.groupBy(*KEYS, *ALIKE).agg(*counted).select("*", _lang()).groupBy(*KEYS).agg(*by_job)
     for stage in stages:
         out = out.select(*stage)
     return out.withColumn("ran_last_6_months", J.recency_flag(F.col("last_run_end_time"), as_of_col)).select(
         summary_columns())
 
 
-# Null-free grouping keys (value + is-null flag per nullable key): both
-# aggregates are then hash-partitioned on the same columns and the step
-# between them needs no further shuffle.
-GROUP = ["job_id", "_gname", "_gname_null", "_gtags", "_gtags_null"]
+# Level 1: tasks of a job that are alike in these are one row with their number.
+ALIKE = ["dbr_version", "task_type", "cluster_type", "notebook_language"]
 
 
-@prepared
-def _base() -> list:
-    lang = J.task_language(F.col("task_type"), F.col("notebook_language"))
-    return [
-        "job_id",
-        F.coalesce(F.col("job_name"), F.lit("")).alias("_gname"), F.col("job_name").isNull().alias("_gname_null"),
-        F.coalesce(F.col("job_tags"), F.lit("")).alias("_gtags"), F.col("job_tags").isNull().alias("_gtags_null"),
-        "task_key", "task_type", "cluster_type", "dbr_version", "notebook_language", "last_run_end_time",
-        lang.alias("lang"),
-    ]
+def _lang() -> Column:
+    return J.task_language(F.col("task_type"), F.col("notebook_language")).alias("lang")
 
 
 @prepared
@@ -103,17 +93,15 @@ def _levels() -> tuple[list, list, list[list]]:
     version = F.col("dbr_version")
     vkey = J.version_key(version)
     pivots = _pivots()
-    # Level 1, per (job, language, runtime version): counters alone, numbers of
-    # fixed width that one hash aggregation keeps in place; partial first.
+    # Level 1, per job and kind of task: counters alone, numbers of fixed width
+    # that one hash aggregation keeps in place.
     counted = [
         F.count(F.lit(1)).alias("n"),
         F.count_if("_first").alias("keys"),
         F.max("last_run_end_time").alias("end"),
-        F.bool_or(F.coalesce(F.col("task_type").isin(*J.INVESTIGATION_TYPES), F.lit(False))).alias("inv"),
-        *[F.count_if(c).alias(n) for n, c in pivots],
     ]
-    # Level 2, per job: merge the level-1 rows (one per language and version,
-    # so the collected versions and votes are a handful).
+    # Level 2, per job: merge the level-1 rows (one per kind of task, so the
+    # collected versions and votes are a handful).
     voting = F.col("lang").isNotNull() & (F.col("lang") != F.lit(J.INVESTIGATION_MARKER))
     by_job = [
         F.sum("keys").alias("num_tasks"),
@@ -122,11 +110,11 @@ def _levels() -> tuple[list, list, list[list]]:
                                                  vkey.getField("minor").alias("minor"),
                                                  version.alias("v")))).getField("v").alias("min_dbr_version"),
         F.max("end").alias("last_run_end_time"),
-        F.bool_or("inv").alias("inv"),
+        F.bool_or(F.coalesce(F.col("task_type").isin(*J.INVESTIGATION_TYPES), F.lit(False))).alias("inv"),
         F.bool_or(F.coalesce(F.col("lang") == F.lit(J.INVESTIGATION_MARKER), F.lit(False))).alias("flagged"),
         F.sum(F.when(voting, F.col("n")).otherwise(F.lit(0))).alias("total"),
         F.collect_list(F.when(voting, F.struct("lang", "n"))).alias("votes"),
-        *[F.sum(n).alias(n) for n, _ in pivots],
+        *[F.sum(F.when(c, F.col("n")).otherwise(F.lit(0))).alias(n) for n, c in pivots],
     ]
     voted = [F.col("*"), F.sort_array(F.array_distinct(F.col("votes.lang"))).alias("pair")]
     # The largest count is asked for where there are several languages; a label
@@ -136,8 +124,6 @@ def _levels() -> tuple[list, list, list[list]]:
     ).alias("n"), x.alias("lang")))
     topped = [F.col("*"), F.when(F.size("pair") > 1, F.array_max(votes)).otherwise(
         F.struct(F.col("total").alias("n"), F.try_element_at("pair", F.lit(1)).alias("lang"))).alias("top")]
-    keys = [F.col("*"), F.when(~F.col("_gname_null"), F.col("_gname")).alias("job_name"),
-            F.when(~F.col("_gtags_null"), F.col("_gtags")).alias("job_tags")]
     # Parsed tags and name issues are computed once here and read by name
     # below (each tag column and the flag would otherwise re-evaluate them).
     staged = [F.col("*"), J.parse_tags(F.col("job_tags")).alias("_tags"),
@@ -158,7 +144,7 @@ def _levels() -> tuple[list, list, list[list]]:
         "min_dbr_version",
         *[F.col(n).cast("bigint").alias(n) for n, _ in pivots],
     ]
-    return counted, by_job, [voted, topped, keys, staged, out]
+    return counted, by_job, [voted, topped, staged, out]
 
 
 def job_language(summary: DataFrame) -> DataFrame:

@@ -65,13 +65,13 @@ from ..session import cut_lineage, shared_dir, stored  # noqa: E402
 from ..sinks import zorder as Z  # noqa: E402
 
 
-def inventory(spark: SparkSession, d: str, tags_as_text: bool = False) -> DataFrame:
+def inventory(spark: SparkSession, d: str, tags_as_text: bool = False, keep=None) -> DataFrame:
     return INV.job_inventory(X.jobs(spark, d), X.clusters(spark, d), X.workspace_objects(spark, d),
-                             X.job_runs(spark, d), tags_as_text)
+                             X.job_runs(spark, d), tags_as_text, keep)
 
 
-def inventory_table(spark: SparkSession, d: str) -> DataFrame:
-    return inventory(spark, d, tags_as_text=True)
+def inventory_table(spark: SparkSession, d: str, keep=None) -> DataFrame:
+    return inventory(spark, d, True, keep)
 
 
 def summary(spark: SparkSession, d: str) -> DataFrame:
@@ -171,7 +171,7 @@ def q_migration_list_split(spark: SparkSession, d: str) -> DataFrame:
 def q_summary_refreshed(spark: SparkSession, d: str) -> DataFrame:
     """The job summary brought up to date from one of an earlier inventory: without every seventh job, with every
     fifth job's tasks of another kind, rows twice for every eleventh job, and jobs that are gone since."""
-    now = stored(inventory_table(spark, d), "inventory")
+    now = inventory_table(spark, d, stored)
     job = F.col("job_id")
     old = now.where(job % 7 != 0).withColumn("task_type", F.when(job % 5 == 0, "sql").otherwise(F.col("task_type")))
     before = old.unionByName(now.where(job % 11 == 0)).unionByName(

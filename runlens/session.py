@@ -8,6 +8,7 @@ session's settings here.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
@@ -87,15 +88,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back, for rows that several steps read: a
     checkpoint holds whole rows uncompressed, and every later step reads all of their columns."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/runlens-stored/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Shuffle files of what runs inside are removed at its end: Spark keeps them else until the driver collects its
+    garbage, beside those of all later steps."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def prepared(build):
     """Keep the columns that ``build`` makes, by its arguments. A column names
     what it reads and holds no data, so it serves any number of plans; making

@@ -333,7 +333,9 @@ def _version(major: Column, minor: Column) -> Column:
 
 def job_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task definitions from lineitem rows (job = order)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    # dealt by job as they are: made tasks before, they would be several times as large
+    li = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") + 1).alias("job_id"), "l_partkey", "l_suppkey", "l_linenumber").repartition("job_id")
     p, s = F.col("l_partkey"), F.col("l_suppkey")
     type_ix, compute_ix = p % 14, s % 7
     kind_fields = {
@@ -355,7 +357,7 @@ def job_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(type_ix == 0, F.struct(F.when(p % 11 != 0, nb_path).alias("notebook_path"))).alias("notebook_task"),
         *[c.alias(n) for n, c in kind_fields.items()],
     )
-    return li.select((F.col("l_orderkey") + 1).alias("job_id"), F.col("l_linenumber").alias("pos"), task.alias("task"))
+    return li.select("job_id", F.col("l_linenumber").alias("pos"), task.alias("task"))
 
 
 @landed
